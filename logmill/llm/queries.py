@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 
 from .codec import encode_and_decode
 from .exact_dedup import exact_groups
+from .fuzzy_hash import compare_with_edits
 from .packing import pack_documents
 from .token_counts import count_tokens
+from .warc import archive_and_read_back
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = archive_and_read_back(_table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -31,18 +38,37 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = compare_with_edits(_table(spark, sf_dir, "documents"))
+    return both.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op3_packing": op3_packing,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_token_counts": op5_token_counts,
+    "op7_fingerprints": op7_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (
+          SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+          FROM pages),
+        g AS (
+          SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+        FROM g""",
     "op9_exact_dedup": """
         WITH t AS (
           SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
