@@ -13,6 +13,7 @@ from .exact_dedup import exact_groups
 from .fuzzy_hash import compare_with_edits
 from .packing import pack_documents
 from .token_counts import count_tokens
+from .toxicity import toxicity
 from .warc import archive_and_read_back
 
 
@@ -25,6 +26,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -51,6 +56,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_token_counts": op5_token_counts,
