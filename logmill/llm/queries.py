@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .codec import encode_and_decode
 from .exact_dedup import exact_groups
 from .fuzzy_hash import compare_with_edits
+from .lm import score_texts
 from .packing import pack_documents
 from .token_counts import count_tokens
 from .toxicity import toxicity
@@ -54,6 +55,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op7_fingerprints": op7_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 ORACLE_SQL: dict[str, str] = {
