@@ -12,6 +12,7 @@ from .codec import encode_and_decode
 from .exact_dedup import exact_groups
 from .fuzzy_hash import compare_with_edits
 from .lm import score_texts
+from .near_dedup import near_classes
 from .packing import pack_documents
 from .token_counts import count_tokens
 from .toxicity import toxicity
@@ -44,6 +45,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(_table(spark, sf_dir, "documents"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = compare_with_edits(_table(spark, sf_dir, "documents"))
     return both.select(
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_token_counts": op5_token_counts,
+    "op6_near_dedup": op6_near_dedup,
     "op7_fingerprints": op7_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_lm_scores": op10_lm_scores,
