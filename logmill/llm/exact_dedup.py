@@ -86,20 +86,24 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", few: int = 200_000) -> DataFrame:
     """The rows of ``docs`` that stay, all columns kept; of fully repeated rows (equal id and text) one stays.
 
-    Rows are matched with ``exact_groups`` by id and digest. Rows that are certainly alone are only tested against a
-    list of the ids that go, which is far smaller than the table.
+    Rows are matched with ``exact_groups`` by id and digest. The list of ids that go is far smaller than the table; it is broadcast while it
+    has at most ``few`` rows, and joined beyond.
     """
+
+    def side(df: DataFrame) -> DataFrame:
+        df = df.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
+        return F.broadcast(df) if df.count() <= few else df
+
     groups = written(exact_groups(docs, id_col, text_col), "exact")
-    going = groups.where(~F.col("kept")).select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
     sha = F.sha2(ascii_lower(text_or_empty(text_col)), 256)
-    stay = docs.join(going, (F.col(id_col).eqNullSafe(F.col("_id"))) & (sha == F.col("_sha")), "left_anti")
+    on = F.col(id_col).eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
+    stay = docs.join(side(groups.where(~F.col("kept")).distinct()), on, "left_anti")
     doubled = groups.where("kept").groupBy(id_col, "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if doubled.isEmpty():
         return stay
-    again = F.broadcast(doubled.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))) if doubled.count() <= 10_000 else doubled.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-    on = (F.col(id_col).eqNullSafe(F.col("_id"))) & (sha == F.col("_sha"))
+    again = side(doubled)
     ones = stay.join(again, on, "left_semi").withColumn("_key", sha).dropDuplicates([id_col, "_key"]).drop("_key")
     return stay.join(again, on, "left_anti").unionByName(ones)

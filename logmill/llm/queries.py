@@ -14,6 +14,7 @@ from .fuzzy_hash import compare_with_edits
 from .lm import score_texts
 from .near_dedup import near_classes
 from .packing import pack_documents
+from .suffix_dedup import repeat_report
 from .token_counts import count_tokens
 from .toxicity import toxicity
 from .warc import archive_and_read_back
@@ -56,6 +57,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_near_dedup": op6_near_dedup,
     "op7_fingerprints": op7_fingerprints,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_lm_scores": op10_lm_scores,
 }
