@@ -31,7 +31,8 @@ from .graphs import components
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no bucket with probability (1 - 0.8**5)**32 = 3e-6
 REGISTERS = BANDS * ROWS
-WEAK, STRONG = 0.5, 0.84  # estimated similarity: a star keeps links from WEAK on; a text from STRONG on leaves the bucket
+WEAK, STRONG = 0.35, 0.68  # estimated similarity: a star keeps links from WEAK on; a text from STRONG on leaves the bucket. They differ by
+# what similarity can change along a link (1 - THRESHOLD) and 3.3 standard errors, so a text that leaves needs no other one of the bucket
 STAR_ROUNDS = 3
 LARGEST = 50_000  # texts of a component that one task takes
 
