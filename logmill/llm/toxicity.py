@@ -25,7 +25,7 @@ from .common import fold, slices, text_or_empty
 BUCKETS = 1 << 17  # of hashed n-grams
 WINDOW = 5  # words; a shorter text is filled up with zeros
 NGRAMS = (3, 4, 5)
-ROWS_PER_CLASS = 5_000  # labelled rows of each class that a fit takes at most
+ROWS_PER_CLASS = 2_500  # labelled rows of each class that a fit takes at most
 LONGEST = 1 << 20  # bytes; longer texts are not trained on (they are scored whole)
 
 
@@ -63,12 +63,31 @@ def subwords(cps: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
 
 
 class Words:
-    """Distinct words of some texts as subword buckets, and each text as a row of their numbers."""
+    """Distinct words of some texts as subword buckets, and each text as a row of their numbers. Texts are taken a few at a time."""
 
     def __init__(self, texts: list[str]):
-        cps, starts, ends, self.bounds = words_of(texts)
-        _, at, self.kind = np.unique(span_hashes(cps, starts, ends), return_index=True, return_inverse=True)
-        self.buckets, self.size = subwords(cps, starts[at], ends[at])
+        hashes, distinct, buckets, sizes, counts = [], [], [], [], []
+        for a, b in slices(texts):
+            cps, starts, ends, bounds = words_of(texts[a:b])
+            found = span_hashes(cps, starts, ends)
+            new, at = np.unique(found, return_index=True)
+            sub, size = subwords(cps, starts[at], ends[at])
+            hashes.append(found)
+            distinct.append(new)
+            buckets.append(sub.astype(np.int32))
+            sizes.append(size)
+            counts.append(np.diff(bounds))
+        self.bounds = np.concatenate([[0], *map(np.cumsum, [np.concatenate(counts)] if counts else [])]).astype(np.int64)
+        if len(hashes) <= 1:
+            self.buckets, self.size = (buckets[0], sizes[0]) if buckets else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+            self.kind = np.searchsorted(distinct[0], hashes[0]) if hashes else np.zeros(0, np.int64)
+        else:
+            known, at = np.unique(np.concatenate(distinct), return_index=True)
+            size = np.concatenate(sizes)
+            first, self.size = (np.cumsum(size) - size)[at], size[at]
+            take = np.repeat(first - (np.cumsum(self.size) - self.size), self.size) + np.arange(int(self.size.sum()))
+            self.buckets = np.concatenate(buckets)[take]
+            self.kind = np.concatenate([np.searchsorted(known, h).astype(np.int32) for h in hashes])
         self.first = np.cumsum(self.size) - self.size
 
     def word_scores(self, share: np.ndarray) -> np.ndarray:
