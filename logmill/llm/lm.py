@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import code_points, span_hashes
-from .common import fold, partitions, slices, text_or_empty, written
+from .common import fold, most_frequent, partitions, slices, text_or_empty, written
 
 HEAD = 896  # words that are symbols of their own, with the end token
 CLASSES = 128  # of all other words
@@ -124,7 +124,7 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     all_ = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(TABLE).toPandas()
+    top = most_frequent(counts, "c", TABLE).toPandas().sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
     head = set(top["word"][: HEAD - 1]) | {END}
     mass = {r["class"]: (r["n"], r["v"]) for r in counts.where(~F.col("word").isin(list(head))).groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     cps, bounds = code_points(list(top["word"]))

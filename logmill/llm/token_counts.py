@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_level_starts, code_points, library, span_hashes, specials
-from .common import partitions, slices, text_or_empty
+from .common import dropped, most_frequent, partitions, slices, text_or_empty, written
 
 TABLE = 1 << 17  # pre-tokens in the table of frequent ones
 SAMPLE_ROWS = 20_000  # documents from which that table's pre-tokens are chosen
@@ -75,8 +75,9 @@ def frequent_pre_tokens(docs: DataFrame, path: str, text_col: str = "text", tabl
     plain = docs.select(text_or_empty(text_col).alias("text"))
     if share > 1:
         plain = plain.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
-    top = plain.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "piece").limit(table)
-    words = [r["piece"] for r in top.select("piece").toLocalIterator()]
+    counts = written(plain.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1"), "pieces")
+    words = sorted(most_frequent(counts, "n", table).select("piece").toPandas()["piece"])
+    dropped(counts)
     cps, bounds = code_points(words)
     hashes = span_hashes(cps, bounds[:-1], bounds[1:])
     order = np.argsort(hashes)
