@@ -160,6 +160,7 @@ def _anchored(df: DataFrame, key: str, time: str, order: Sequence[str], machine,
     """Rows that a sequential machine of each key takes, with its number as ``column``. Rows stream sorted through their task."""
     rows = df.withColumn("_us", F.unix_micros(F.col(time).cast("timestamp"))).repartition(F.col(key)).sortWithinPartitions(key, time, *order)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + (f", {column} long" if column else "")
+    names = df.columns
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -171,9 +172,9 @@ def _anchored(df: DataFrame, key: str, time: str, order: Sequence[str], machine,
                 if k != last:
                     last, state = k, machine()
                 found.append(state.take((us or 0) / 1e6))
-            out = [batch.column(c) for c in df.columns]
-            full = pa.RecordBatch.from_arrays([*out, pa.array(found, pa.int64())], names=[*df.columns, "_found"]).filter(pa.array([x is not None for x in found]))
-            yield full.rename_columns([*df.columns, column]) if column else full.select(df.columns)
+            out = [batch.column(c) for c in names]
+            full = pa.RecordBatch.from_arrays([*out, pa.array(found, pa.int64())], names=[*names, "_found"]).filter(pa.array([x is not None for x in found]))
+            yield full.rename_columns([*names, column]) if column else full.select(names)
 
     return rows.mapInArrow(run, kinds)
 

@@ -115,6 +115,10 @@ def capture_input(df: DataFrame, column: str = "input", method: str = "http_meth
     return df.withColumn("request_input", F.when(F.upper(method).isin("POST", "PUT", "PATCH") & (F.size(left) > 0), F.left(F.to_json(left), F.lit(4096))))
 
 
+def _without(entries: Column, key: str) -> Column:
+    return F.map_filter(entries, lambda k, _: k != key)
+
+
 def promote_extra(df: DataFrame, extra: str = "extra_map") -> DataFrame:
     """``extra`` as JSON text of the map ``extra`` without the promoted keys, with user, user_label and command columns put in where there are such."""
     out = F.map_filter(extra, lambda k, _: ~k.isin(*PROMOTED))
@@ -122,7 +126,7 @@ def promote_extra(df: DataFrame, extra: str = "extra_map") -> DataFrame:
         if c in df.columns:
             guard = F.col("user_context").isNotNull() if c == "user_label" and "user_context" in df.columns else F.col("command_name").isNotNull() if c == "command_args" else F.lit(True)
             value = F.col(c).cast("string")
-            out = F.when(F.col(c).isNotNull() & guard, F.map_concat(F.map_filter(out, lambda k, _, key=key: k != key), F.create_map(F.lit(key), value))).otherwise(out)
+            out = F.when(F.col(c).isNotNull() & guard, F.map_concat(_without(out, key), F.create_map(F.lit(key), value))).otherwise(out)
     return df.withColumn("extra", F.when(F.size(out) > 0, F.to_json(out)))
 
 

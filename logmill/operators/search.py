@@ -38,6 +38,10 @@ def search_by_json(df: DataFrame, path: str, value: str) -> DataFrame:
     return df.where(F.get_json_object(column, "$." + keys) == value)
 
 
+def _times(tokens: str, word: str):
+    return F.size(F.filter(tokens, lambda t: t == word))
+
+
 def search_text(df: DataFrame, query: str, id_col: str, text_col: str, k: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The ``k`` best rows by BM25: id, score. Words are lower-cased runs of letters and digits; ties go by id.
 
@@ -47,7 +51,7 @@ def search_text(df: DataFrame, query: str, id_col: str, text_col: str, k: int =
     if not words:
         return df.select(id_col, F.lit(0.0).alias("score")).limit(0)
     tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
-    rows = df.select(id_col, tokens.alias("t")).select(id_col, F.size("t").alias("n"), *[F.size(F.filter("t", lambda t, w=w: t == w)).alias(f"f{i}") for i, w in enumerate(words)])
+    rows = df.select(id_col, tokens.alias("t")).select(id_col, F.size("t").alias("n"), *[_times("t", w).alias(f"f{i}") for i, w in enumerate(words)])
     stats = rows.agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean"), *[F.count(F.when(F.col(f"f{i}") > 0, 1)).alias(f"d{i}") for i in range(len(words))])
     met = rows.where(reduce(lambda x, y: x | y, [F.col(f"f{i}") > 0 for i in range(len(words))])).join(F.broadcast(stats))  # one row
     part = lambda i: F.log(1 + (F.col("docs") - F.col(f"d{i}") + 0.5) / (F.col(f"d{i}") + 0.5)) * F.col(f"f{i}") * (k1 + 1) / (F.col(f"f{i}") + k1 * (1 - b + b * F.col("n") / F.col("mean")))

@@ -69,9 +69,9 @@ def trace_markdown(df: DataFrame, key_patterns: Sequence[str] = KEY_PATTERNS, va
 def span_edges(df: DataFrame) -> DataFrame:
     """trace_id, span_id, parent_span_id, one row a span; a parent that has no rows is null here, which makes its children roots."""
     spans = df.where("span_id is not null").groupBy("trace_id", "span_id").agg(F.min("parent_span_id").alias("parent_span_id"))
-    there = spans.select("trace_id", F.col("span_id").alias("_parent"))
-    met = spans.join(there, (spans.trace_id == there.trace_id) & (spans.parent_span_id == F.col("_parent")) & (spans.span_id != F.col("_parent")), "left")
-    return met.select(spans.trace_id, "span_id", F.col("_parent").alias("parent_span_id"))
+    there = spans.select(F.col("trace_id").alias("_trace"), F.col("span_id").alias("_parent"))
+    met = spans.join(there, (F.col("trace_id") == F.col("_trace")) & (F.col("parent_span_id") == F.col("_parent")) & (F.col("span_id") != F.col("_parent")), "left")
+    return met.select("trace_id", "span_id", F.col("_parent").alias("parent_span_id"))
 
 
 def span_tree(df: DataFrame, max_depth: int = 20) -> DataFrame:
@@ -80,9 +80,9 @@ def span_tree(df: DataFrame, max_depth: int = 20) -> DataFrame:
     level = edges.where("parent_span_id is null").select("trace_id", "span_id", "parent_span_id", F.col("span_id").alias("root"), F.lit(0).alias("depth"), F.col("span_id").alias("path"))
     out = level
     for depth in range(1, max_depth + 1):
-        above = level.select("trace_id", F.col("span_id").alias("_up"), F.col("root").alias("_root"), F.col("path").alias("_path"))
-        below = edges.join(above, (edges.trace_id == above.trace_id) & (edges.parent_span_id == F.col("_up")))
-        level = below.select(edges.trace_id, "span_id", "parent_span_id", F.col("_root").alias("root"), F.lit(depth).alias("depth"), F.concat("_path", F.lit(" > "), "span_id").alias("path"))
+        above = level.select(F.col("trace_id").alias("_trace"), F.col("span_id").alias("_up"), F.col("root").alias("_root"), F.col("path").alias("_path"))
+        below = edges.join(above, (F.col("trace_id") == F.col("_trace")) & (F.col("parent_span_id") == F.col("_up")))
+        level = below.select("trace_id", "span_id", "parent_span_id", F.col("_root").alias("root"), F.lit(depth).alias("depth"), F.concat("_path", F.lit(" > "), "span_id").alias("path"))
         if level.isEmpty():
             break
         out = out.unionByName(level)

@@ -1,0 +1,26 @@
+"""Where streams keep offsets, state and results."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that ``spark.checkpoint.dir`` names for driver and executors; only where it is unset, a temporary folder."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        found = "file://" + tempfile.mkdtemp(prefix="spark-logmill-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def drained(stream: DataFrame) -> DataFrame:
+    """All that a stream over finished files gives: written to a Parquet sink and read back."""
+    spark = stream.sparkSession
+    path = scratch_path(spark, "stream")
+    query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", scratch_path(spark, "offsets")).outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)

@@ -42,6 +42,7 @@ def chunk_by_bytes(df: DataFrame, max_bytes: int = 524_288, key: str | None = No
         sized = sized.repartition("_key")
     sized = sized.sortWithinPartitions("_key", *(order or []))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", chunk_key string, chunk_no long"
+    names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, chunk, size = object(), 0, 0
@@ -54,7 +55,7 @@ def chunk_by_bytes(df: DataFrame, max_bytes: int = 524_288, key: str | None = No
                     chunk, size = chunk + 1, 0
                 size += n
                 numbers.append(chunk)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in df.columns), batch.column("_key"), pa.array(numbers, pa.int64())], names=[*df.columns, "chunk_key", "chunk_no"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), batch.column("_key"), pa.array(numbers, pa.int64())], names=[*names, "chunk_key", "chunk_no"])
 
     return sized.mapInArrow(run, kinds)
 
