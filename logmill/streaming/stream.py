@@ -1,7 +1,8 @@
 """Structured Streaming forms. Stateless operators run on streams as they are; the sequential ones keep a few numbers per key in the state store.
 
 Event times are timestamps; cast TIMESTAMP_NTZ columns first. Within a micro-batch the rows of a key are sorted by time before the machine
-sees them; across batches they are taken as they arrive.
+sees them; across batches they are taken as they arrive. States go by event time, behind the watermark; rows that are later than it are
+dropped by Spark, so report them first with ``write_with_reports``.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ def stream_collapse(stream: DataFrame, window: str = "2 seconds", watermark: str
     return groups.select("_row.*", "fingerprint", "count", F.when(F.col("count") > 1, F.col("_row.logged_at")).alias("first_at"), F.when(F.col("count") > 1, F.col("_last")).alias("last_at"))
 
 
-def _sequential(stream: DataFrame, key: str, columns: str, start: Callable[[str | None], object], save: Callable[[object], str], take: Callable[[object, float], dict | None], idle_s: float, order: Sequence[str] = ("logged_at", "seq")) -> DataFrame:
-    """Rows that a machine of each key takes, with the columns it adds; its state is one JSON text that goes after ``idle_s`` seconds of rest."""
+def _sequential(stream: DataFrame, key: str, columns: str, start: Callable[[str | None], object], save: Callable[[object], str], take: Callable[[object, float], dict | None], idle_s: float, order: Sequence[str] = ("logged_at", "seq"), watermark: str = "1 minute") -> DataFrame:
+    """Rows that a machine of each key takes, with the columns it adds; its state is one JSON text that goes ``idle_s`` seconds of event time after its last row."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields) + f", {columns}"
     names = [c.split()[0] for c in columns.split(", ")]
 
@@ -56,11 +57,14 @@ def _sequential(stream: DataFrame, key: str, columns: str, start: Callable[[str
             keep.append(found is not None)
             added.append(found or dict.fromkeys(names))
         state.update((save(machine),))
-        state.setTimeoutDuration(int(idle_s * 1000))
+        last = rows["logged_at"].max()
+        end = (last.timestamp() if pd.notna(last) else 0.0) + idle_s
+        state.setTimeoutTimestamp(max(int(end * 1000), state.getCurrentWatermarkMs() + 1))
         more = pd.DataFrame(added, index=rows.index, columns=names)
         yield pd.concat([rows, more], axis=1)[keep]
 
-    return stream.groupBy(key).applyInPandasWithState(run, schema, "machine string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    timed = stream.withWatermark("logged_at", watermark)
+    return timed.groupBy(key).applyInPandasWithState(run, schema, "machine string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_rate_cap(stream: DataFrame, per_minute: int = 60, sample_s: float = 30.0) -> DataFrame:
