@@ -26,6 +26,7 @@ BUCKETS = 1 << 17  # of hashed n-grams
 WINDOW = 5  # words; a shorter text is filled up with zeros
 NGRAMS = (3, 4, 5)
 ROWS_PER_CLASS = 2_500  # labelled rows of each class that a fit takes at most
+MIN_TEXTS = 3  # training texts that an n-gram must be in; one that is rarer, or new, counts as zero
 LONGEST = 1 << 20  # bytes; longer texts are not trained on (they are scored whole)
 
 
@@ -90,6 +91,15 @@ class Words:
             self.kind = np.concatenate([np.searchsorted(known, h).astype(np.int32) for h in hashes])
         self.first = np.cumsum(self.size) - self.size
 
+    def texts_with(self) -> np.ndarray:
+        """Of each bucket: how many of the texts have it."""
+        out = np.zeros(BUCKETS, np.int64)
+        for a, b in zip(self.bounds, self.bounds[1:], strict=False):
+            kind = np.unique(self.kind[a:b])
+            size = self.size[kind]
+            out[np.unique(self.buckets[np.repeat(self.first[kind] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))])] += 1
+        return out
+
     def word_scores(self, share: np.ndarray) -> np.ndarray:
         """Of each word in the texts: the mean of its subwords' shares."""
         if not len(self.size):
@@ -160,6 +170,8 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float | None = None, dim: in
     g_table, g_soft = np.full((BUCKETS, 1), 1e-8, np.float32), np.full((dim, 2), 1e-8, np.float32)
     w = Words(texts)
     n = np.diff(w.bounds)
+    common = (w.texts_with() >= MIN_TEXTS).astype(np.float32)[:, None]
+    table *= common
 
     def learn(spans: np.ndarray, width: np.ndarray, times: int, rate: float) -> None:
         for _ in range(times):
@@ -179,7 +191,7 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float | None = None, dim: in
                 d_small = np.stack([np.bincount(ids, weight * d_hidden[row, j], len(used)) for j in range(dim)], 1).astype(np.float32) / len(part)
                 g_table[used] += (d_small**2).mean(1, keepdims=True)
                 g_soft[...] += d_soft**2
-                table[used] = small - rate * d_small / np.sqrt(g_table[used])
+                table[used] = small - rate * common[used] * d_small / np.sqrt(g_table[used])
                 soft[...] -= rate * d_soft / np.sqrt(g_soft)
                 bias[...] -= 0.05 * p.mean(0)
 
@@ -223,7 +235,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_
     total = sum(found.values())
     ids = None
     for kind in (0, 1):
-        part = known.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        near = int(min(1.0, 1.2 * per_class / max(1, found.get(kind, 0))) * (1 << 30))  # so that tasks send little more than is taken
+        part = known.where((F.col("toxic") == kind) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < near)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
     ids = ids.select(F.col("doc_id").alias("_id"), "toxic")
     rows = docs.select("doc_id", text_or_empty().alias("text")).where(F.octet_length("text") <= LONGEST)
