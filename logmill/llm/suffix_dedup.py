@@ -166,14 +166,18 @@ def _only(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def _open_starts(docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """x, data, k, first, n: the bytes of the open and needed contexts; n is 0 for one that is only compared with. A hot anchor's go one by one."""
+    """x, data, k, first, n, alone: the bytes of the open and needed contexts; n is 0 for one that is only compared with.
+
+    A hot anchor's starts go one by one (alone), each by a hash of its own string.
+    """
     wanted = marked.where("state <> 1")
     hot = wanted.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("h", F.lit(True).alias("hot"))
     places = wanted.join(F.broadcast(hot) if hot.count() <= 100_000 else hot, "h", "left")
     lists = written(places.groupBy("k").agg(F.collect_list(F.struct("h", "p", "state", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("places")), "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+        names = ["x", "data", "k", "first", "n", "alone"]
         for batch in batches:
             rows: list[tuple] = []
             size = 0
@@ -185,22 +189,22 @@ def _open_starts(docs: DataFrame, marked: DataFrame) -> DataFrame:
                         part = np.frombuffer(data, np.uint8)[first : first + n + LENGTH - 1]
                         at = np.arange(len(part) - LENGTH + 1)
                         for i, x in enumerate(span_hashes(part, at, at + LENGTH).view(np.int64).tolist()):
-                            rows.append((x, data[first + i : first + i + LENGTH], k, first + i, 1 if place["state"] == 0 else 0))
+                            rows.append((x, data[first + i : first + i + LENGTH], k, first + i, 1 if place["state"] == 0 else 0, True))
                         size += n * LENGTH
                     else:
-                        rows.append((place["h"], data[first : first + n + LENGTH - 1], k, first, n if place["state"] == 0 else 0))
+                        rows.append((place["h"], data[first : first + n + LENGTH - 1], k, first, n if place["state"] == 0 else 0, False))
                         size += n + LENGTH
                     if size > 4_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["x", "data", "k", "first", "n"])
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
                         rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["x", "data", "k", "first", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return _only(docs, lists.select("k")).join(lists, "k").select("k", "text", "places").mapInArrow(run, "x long, data binary, k long, first long, n int")
+    return _only(docs, lists.select("k")).join(lists, "k").select("k", "text", "places").mapInArrow(run, "x long, data binary, k long, first long, n int, alone boolean")
 
 
-def _sorted_starts(rows: DataFrame) -> DataFrame:
-    """k, first, last: ranges of open starts that are repeated."""
+def _sorted_starts(rows: DataFrame, most: int = SORTED) -> DataFrame:
+    """k, first, last: ranges of open starts that are repeated. About ``most`` starts are sorted together, whole anchors always."""
 
     def decide(rows: list[tuple]) -> pa.RecordBatch:
         data = np.frombuffer(b"".join(r[1] for r in rows), np.uint8)
@@ -221,12 +225,12 @@ def _sorted_starts(rows: DataFrame) -> DataFrame:
         rows: list[tuple] = []
         starts = 0
         for batch in batches:
-            for r in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if starts > SORTED and (r[0] != rows[-1][0] or len(r[1]) == LENGTH and starts > 4 * SORTED):
+            for r in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if starts > most and (r[0] != rows[-1][0] or (r[5] and rows[-1][5])):
                     last = rows[-1]
                     yield decide(rows)
-                    # of equal strings that go on, one stays to compare with
-                    rows = [(*last[:4], 0)] if last[0] == r[0] else []
+                    # rows that are alone and go to one place hold one string: of those that go on, one stays to compare with
+                    rows = [(*last[:4], 0, True)] if last[0] == r[0] else []
                     starts = len(rows)
                 rows.append(r)
                 starts += len(r[1]) - LENGTH + 1
