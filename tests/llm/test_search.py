@@ -134,6 +134,14 @@ def test_repeats(spark, monkeypatch):
     assert suffix_dedup.repeat_report(df.limit(0)).count() == 0
 
 
+def test_many_equal_strings_are_sorted_in_parts(spark):
+    one, other = b"a" * 200, b"b" * 200
+    rows = [(5, one, k, 0, 1, True) for k in range(9)] + [(6, other, 99, 0, 1, True), (7, b"c" * 230, 1, 7, 31, False), (7, b"c" * 200 + b"d", 2, 0, 2, False)]
+    df = spark.createDataFrame(rows, "x long, data binary, k long, first long, n int, alone boolean")
+    found = sorted(map(tuple, suffix_dedup._sorted_starts(df, most=2).collect()))
+    assert found == sorted([(k, 0, 0) for k in range(9)] + [(1, 7, 37), (2, 0, 0)])
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.binary(max_size=300).map(lambda b: bytes(x % 3 for x in b)), st.sampled_from([8, 40, 64]))
 def test_suffix_order(data, depth):
