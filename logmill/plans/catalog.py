@@ -15,7 +15,7 @@ from ..operators import filters as L
 from ..operators import redact as R
 from ..operators import search as Q
 from ..operators import traces as T
-from ..sources import batch_by_count, chunk_by_bytes, format_lines, parse_lines, retain_newest
+from ..sources import batch_by_count, chunk_by_bytes, format_lines, parse_lines, read_log_stream, read_logs_jsonl, read_payloads, retain_newest, write_logs_jsonl, write_payloads
 from ..streaming import stream_collapse, stream_count_or_time, stream_debounce, stream_n_plus_one, stream_pipeline, stream_rate_cap, write_with_reports
 from . import views as V
 from .scratch import drained, scratch_path
@@ -41,6 +41,30 @@ def register(sql: str | None = None):
 
 # ---- Sources and sinks ----
 
+_ROW = "seq long, message string, level int, context string"
+_ROWS = V.duck("logs") + "SELECT seq, message, level, context FROM logs"
+
+
+@register(_ROWS)
+def s1_jsonl_round_trip(spark, d):
+    path = scratch_path(spark, "jsonl")
+    write_logs_jsonl(V.logs(spark, d).select("seq", "message", "level", "context"), path)
+    return read_logs_jsonl(spark, path, _ROW)
+
+
+@register(_ROWS)
+def s2_payload_round_trip(spark, d):
+    path = scratch_path(spark, "payloads")
+    write_payloads(chunk_by_bytes(V.logs(spark, d).select("seq", "message", "level", "context", "app_env"), 65_536, "app_env", ["seq"]).drop("app_env"), path, ["seq"])
+    return read_payloads(spark, path, _ROW)
+
+
+@register(_ROWS)
+def s3_log_stream(spark, d):
+    path = scratch_path(spark, "jsonl")
+    write_logs_jsonl(V.logs(spark, d).select("seq", "message", "level", "context").repartition(3), path)
+    return drained(read_log_stream(spark, path, 2, _ROW))
+
 
 @register(V.duck("logs") + "SELECT seq, (row_number() OVER (ORDER BY logged_at, seq) - 1) // 256 AS batch_no FROM logs")
 def s5_batch_by_count(spark, d):

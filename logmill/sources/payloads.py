@@ -12,9 +12,12 @@ from pyspark.sql.window import Window as W
 from ..schema import LOG_SCHEMA
 
 
-def read_payloads(spark: SparkSession, path: str, schema: str = LOG_SCHEMA) -> DataFrame:
-    """Documents ``{"logs": [...]}``, plain or gzipped, one row per log; a document that is no JSON has none."""
-    body = spark.read.text(path, wholetext=True)
+def read_payloads(spark: SparkSession, path: str, schema: str = LOG_SCHEMA, whole: bool = False) -> DataFrame:
+    """Documents ``{"logs": [...]}``, plain or gzipped, one row per log; a document that is no JSON has none.
+
+    A document is a line, or with ``whole`` a file.
+    """
+    body = spark.read.text(path, wholetext=whole)
     return body.select(F.inline(F.from_json("value", f"logs array<struct<{schema.replace(chr(10), ' ')}>>")["logs"]))
 
 
