@@ -54,6 +54,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores put before it until no column of ``df`` has it in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        out.append(n)
+        taken.add(n.lower())
+    return out
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

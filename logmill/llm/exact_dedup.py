@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, text_or_empty, written
+from .common import fresh, shared_dir, text_or_empty, written
 
 SEGMENT_BITS = 8 * 4096  # of one bitmap of bitmap_construct_agg
 
@@ -93,17 +93,19 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     has at most ``few`` rows, and joined beyond.
     """
 
+    own_id, own_sha, key = fresh(docs, "_id", "_sha", "_key")
+
     def side(df: DataFrame) -> DataFrame:
-        df = df.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
+        df = df.select(F.col(id_col).alias(own_id), F.col("text_sha256").alias(own_sha))
         return F.broadcast(df) if df.count() <= few else df
 
     groups = written(exact_groups(docs, id_col, text_col), "exact")
     sha = F.sha2(ascii_lower(text_or_empty(text_col)), 256)
-    on = F.col(id_col).eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
+    on = F.col(id_col).eqNullSafe(F.col(own_id)) & (sha == F.col(own_sha))
     stay = docs.join(side(groups.where(~F.col("kept")).distinct()), on, "left_anti")
     doubled = groups.where("kept").groupBy(id_col, "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if doubled.isEmpty():
         return stay
     again = side(doubled)
-    ones = stay.join(again, on, "left_semi").withColumn("_key", sha).dropDuplicates([id_col, "_key"]).drop("_key")
+    ones = stay.join(again, on, "left_semi").withColumn(key, sha).dropDuplicates([id_col, key]).drop(key)
     return stay.join(again, on, "left_anti").unionByName(ones)

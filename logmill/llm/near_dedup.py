@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import code_points, mixed, span_hashes
-from .common import dropped, partitions, slices, text_or_empty, written
+from .common import dropped, fresh, slices, text_or_empty, written
 from .graphs import components
 
 WORDS, THRESHOLD = 5, 0.8
@@ -34,6 +34,7 @@ REGISTERS = BANDS * ROWS
 WEAK, STRONG = 0.35, 0.68  # estimated similarity: a star keeps links from WEAK on; a text from STRONG on leaves the bucket. They differ by
 # what similarity can change along a link (1 - THRESHOLD) and 3.3 standard errors, so a text that leaves needs no other one of the bucket
 STAR_ROUNDS = 3
+FEW = 1_000_000  # ids that may be broadcast
 LARGEST = 50_000  # texts of a component that one task takes
 
 
@@ -335,5 +336,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     If several rows carry that id, or all ids of a class are null, these rows all stay.
     """
-    going = near_classes(docs, id_col, text_col).where((F.col("class_size") > 1) & ~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(written(going, "going"), F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+    own_id = fresh(docs, "_id")[0]
+    going = near_classes(docs, id_col, text_col).where((F.col("class_size") > 1) & ~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias(own_id)).distinct()
+    going = written(going, "going")
+    return docs.join(F.broadcast(going) if going.count() <= FEW else going, F.col(id_col).eqNullSafe(F.col(own_id)), "left_anti")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import mixed, span_hashes
-from .common import partitions, slices, text_or_empty, written
+from .common import fresh, partitions, slices, text_or_empty, written
 from .suffix_sort import repeated
 
 LENGTH = 200
@@ -320,14 +320,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A character that a removed span cuts goes with it. A null text stays null, and a text that loses all is empty.
     """
-    done = remove_repeats(docs, id_col, text_col).select(F.col("m").alias("_m"), F.col("kept").alias("_kept"))
+    own_m, own_kept = fresh(docs, "_m", "_kept")
+    done = remove_repeats(docs, id_col, text_col).select("m", "kept")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.decode("utf-8", "ignore") for x in batch.column(1).to_pylist()], pa.string())], names=["_m", "_kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.decode("utf-8", "ignore") for x in batch.column(1).to_pylist()], pa.string())], names=["m", "kept"])
 
-    plain = done.mapInArrow(decode, "_m string, _kept string")
-    out = docs.join(plain, F.md5(text_or_empty(text_col).cast("binary")) == F.col("_m"), "left").withColumn(text_col, F.coalesce("_kept", F.col(text_col)))
+    plain = done.mapInArrow(decode, "m string, kept string").toDF(own_m, own_kept)
+    out = docs.join(plain, F.md5(text_or_empty(text_col).cast("binary")) == F.col(own_m), "left").withColumn(text_col, F.coalesce(own_kept, F.col(text_col)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
