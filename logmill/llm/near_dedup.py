@@ -31,7 +31,7 @@ from .graphs import components
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no bucket with probability (1 - 0.8**5)**32 = 3e-6
 REGISTERS = BANDS * ROWS
-WEAK, STRONG = 0.35, 0.68  # estimated similarity: a star keeps links from WEAK on; a text from STRONG on leaves the bucket. They differ by
+WEAK, STRONG = 0.5, 0.83  # estimated similarity: a star keeps links from WEAK on; a text from STRONG on leaves the bucket. They differ by
 # what similarity can change along a link (1 - THRESHOLD) and 3.3 standard errors, so a text that leaves needs no other one of the bucket
 STAR_ROUNDS = 3
 FEW = 1_000_000  # ids that may be broadcast
@@ -172,7 +172,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in slices(texts, 2_000_000):
+            for a, b in slices(texts):
                 text, hashes, weight, keys = shingles(texts[a:b])
                 sig = prob_min_hash(text, hashes, weight, b - a)
                 band = np.zeros((b - a, BANDS), np.uint64)
@@ -203,7 +203,10 @@ def _estimates(stars: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def candidate_links(texts: DataFrame) -> DataFrame:
-    """Links a, b whose components hold every pair of ``texts`` (rid, bands, mark) that shares a bucket and may reach the threshold."""
+    """Links a, b whose components hold every pair of ``texts`` (rid, bands, mark) that shares a bucket and may reach the threshold.
+
+    The centre of a bucket's next star is the text most like the last centre, which among copies of one original is the original.
+    """
     buckets = texts.select("rid", F.explode("bands").alias("bucket"))
     many = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first")).where("n > 1")
     members = written(buckets.join(many.select("bucket", "first"), "bucket").where("rid <> first"), "buckets")
@@ -214,10 +217,10 @@ def candidate_links(texts: DataFrame) -> DataFrame:
         likely = written(_estimates(stars, marks), "stars")
         kept = likely.where(F.col("likely") >= WEAK).select("a", "b")
         found = kept if found is None else found.union(kept)
-        settled = likely.where(F.col("likely") >= STRONG).select(F.col("a").alias("rid"), F.col("b").alias("first"))
-        rest = members.join(settled, ["rid", "first"], "left_anti").select("rid", "bucket")
-        again = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first")).where("n > 1").select("bucket", "first")
-        members = written(rest.join(again, "bucket").where("rid <> first"), "buckets")
+        told = members.join(likely.select(F.col("a").alias("rid"), F.col("b").alias("first"), "likely"), ["rid", "first"]).select("rid", "bucket", "likely")
+        stays = F.col("likely") < STRONG
+        hubs = told.groupBy("bucket").agg(F.count(F.when(stays, 1)).alias("n"), F.max_by("rid", F.struct("likely", -F.col("rid"))).alias("first")).where("n > 1").select("bucket", "first")
+        members = written(told.where(stays).select("rid", "bucket").join(hubs, "bucket").where("rid <> first"), "buckets")
         if members.isEmpty():
             break
     else:
