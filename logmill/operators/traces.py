@@ -170,9 +170,17 @@ def attach_dimension(df: DataFrame, dim: DataFrame, on: tuple[str, str], attribu
 
 
 def deploy_at(df: DataFrame, deploys: DataFrame, by: str = "app_env") -> DataFrame:
-    """``git_sha`` of each row, or where it is null the sha of the last deploy (``by``, deployed_at, git_sha) before it."""
-    rows = df.withColumns({"_at": F.col("logged_at").cast("timestamp"), "_sha": F.lit(None).cast("string"), "_row": F.lit(1)})
-    marks = deploys.select(F.col(by), F.col("deployed_at").cast("timestamp").alias("_at"), F.col("git_sha").alias("_sha"), F.lit(0).alias("_row"))
-    w = W.partitionBy(by).orderBy("_at", "_row").rowsBetween(W.unboundedPreceding, W.currentRow)
-    met = rows.unionByName(marks, allowMissingColumns=True).withColumn("_last", F.last("_sha", ignorenulls=True).over(w))
-    return met.where("_row = 1").withColumn("git_sha", F.coalesce("git_sha", "_last")).drop("_at", "_sha", "_row", "_last")
+    """``git_sha`` of each row, or where it is null the sha of the last deploy (``by``, deployed_at, git_sha) at or before it.
+
+    A deploy holds until the next one of its ``by``, of equal times the larger sha; it is a row for each day that it holds, so rows find theirs
+    by a hash join on ``by`` and day. No task gets all rows of an environment.
+    """
+    seconds = lambda c: F.unix_micros(c.cast("timestamp"))
+    last = df.agg(F.max(seconds(F.col("logged_at"))).alias("m")).first()["m"] or 0
+    us, day = seconds(F.col("deployed_at")), 86_400_000_000
+    marks = deploys.select(F.col(by).alias("_by"), us.alias("_from"), F.col("git_sha").alias("_sha"))
+    ended = marks.withColumn("_to", F.coalesce(F.lead("_from").over(W.partitionBy("_by").orderBy("_from", "_sha")), F.greatest(F.lit(last + 1), F.col("_from"))))
+    held = ended.where("_from < _to").withColumn("_day", F.explode(F.sequence(F.floor(F.col("_from") / day), F.floor(F.col("_to") / day))))
+    at = seconds(F.col("logged_at"))
+    met = df.join(held, (F.col(by) == F.col("_by")) & (F.floor(at / day) == F.col("_day")) & (at >= F.col("_from")) & (at < F.col("_to")), "left")
+    return met.withColumn("git_sha", F.coalesce("git_sha", "_sha")).drop("_by", "_from", "_to", "_sha", "_day")
