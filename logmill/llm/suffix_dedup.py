@@ -122,7 +122,10 @@ def _meeting_rows(docs: DataFrame) -> DataFrame:
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """Rows whose anchor is repeated: h, k, p, state (1: settled, 2: settled and needed for comparison, 0: open)."""
+    """Rows whose anchor is repeated: h, k, p, state (0: open, 1: settled, 2: settled, and the row that stands for its context at e).
+
+    Contexts of one anchor may meet at different e, so what is seen at one e does not tell whether another one has open contexts.
+    """
 
     def decide(t: dict[str, np.ndarray], before: tuple, after: tuple) -> tuple[np.ndarray, np.ndarray]:
         e, h, c = (np.concatenate([[x], t[n], [y]]) for n, x, y in zip("ehc", before, after, strict=True))
@@ -130,8 +133,8 @@ def _met(rows: DataFrame) -> DataFrame:
         same_c = same_h & (c[1:] == c[:-1])
         settled = (t["flag"] >= SETTLED) | same_c[:-1] | same_c[1:]
         alive = (t["flag"] >= KNOWN) | same_h[:-1] | same_h[1:]
-        needed = settled & ((same_h[:-1] & ~same_c[:-1]) | (same_h[1:] & ~same_c[1:]))
-        return alive, np.where(needed, 2, np.where(settled, 1, 0))
+        stands = settled & ~same_c[:-1] & (t["flag"] != FREE)  # a free row's task has sent a settled one besides
+        return alive, np.where(stands, 2, np.where(settled, 1, 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = (0, 0, 0)
@@ -166,11 +169,15 @@ def _only(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def _open_starts(docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """x, data, k, first, n, alone: the bytes of the open and needed contexts; n is 0 for one that is only compared with.
+    """x, data, k, first, n, alone: the bytes of the open contexts and of each settled one of their anchors; n is 0 for one that is only
+    compared with.
 
     A hot anchor's starts go one by one (alone), each by a hash of its own string.
     """
-    wanted = marked.where("state <> 1")
+    left = marked.where("state = 0")
+    anchors = written(left.select("h").distinct(), "anchors")
+    stand = marked.where("state = 2").join(F.broadcast(anchors) if anchors.count() <= SMALL else anchors, "h", "left_semi")
+    wanted = left.unionByName(stand.select(left.columns))
     hot = wanted.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("h", F.lit(True).alias("hot"))
     places = wanted.join(F.broadcast(hot) if hot.count() <= 100_000 else hot, "h", "left")
     lists = written(places.groupBy("k").agg(F.collect_list(F.struct("h", "p", "state", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("places")), "places")

@@ -134,6 +134,28 @@ def test_repeats(spark, monkeypatch):
     assert suffix_dedup.repeat_report(df.limit(0)).count() == 0
 
 
+def test_contexts_of_an_anchor_meet_however_rows_are_dealt(spark):
+    rnd = random.Random(11)
+    make = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    edited = lambda t, at: "".join(c.upper() if i in at else c for i, c in enumerate(t))
+    around = lambda t: make(50) + t + make(50)
+    plain = make(6000)
+    one = edited(plain, set(range(150, 6000, 330)))
+    both = edited(one, set(range(310, 6000, 330)))
+    anchors = [dict(zip(*(x.tolist() for x in suffix_dedup.contexts(np.frombuffer(t.encode(), np.uint8))[:2]), strict=True)) for t in (plain, one)]
+    orders = {anchors[0][h] < anchors[1][h] for h in anchors[0].keys() & anchors[1].keys() if anchors[0][h] != anchors[1][h]}
+    assert orders == {True, False}
+    for tasks in (
+        [[one, plain], [plain]], [[one, plain], [plain, plain]],  # the settled context is at the anchor's place or at its own
+        [[one, plain], [one, plain], [both]],  # two contexts are settled at two places, a third is open
+    ):
+        dealt = [[around(t) for t in texts] for texts in tasks]
+        df = spark.createDataFrame(spark.sparkContext.parallelize(dealt, len(dealt)).flatMap(lambda x: [(t[:20], t) for t in x]), "doc_id string, text string")
+        texts = [t for x in dealt for t in x]
+        want = collections.Counter((t[:20], *r) for t, r in zip(texts, brute_repeats(texts), strict=True))
+        assert collections.Counter(map(tuple, suffix_dedup.repeat_report(df).collect())) == want
+
+
 def test_many_equal_strings_are_sorted_in_parts(spark):
     one, other = b"a" * 200, b"b" * 200
     rows = [(5, one, k, 0, 1, True) for k in range(9)] + [(6, other, 99, 0, 1, True), (7, b"c" * 230, 1, 7, 31, False), (7, b"c" * 200 + b"d", 2, 0, 2, False)]
