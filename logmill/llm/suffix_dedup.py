@@ -234,10 +234,11 @@ def _sorted_starts(rows: DataFrame, most: int = SORTED) -> DataFrame:
         for batch in batches:
             for r in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 if starts > most and (r[0] != rows[-1][0] or (r[5] and rows[-1][5])):
-                    last = rows[-1]
+                    last, met = rows[-1], len(rows) > 1 and rows[-2][0] == rows[-1][0]
                     yield decide(rows)
-                    # rows that are alone and go to one place hold one string: of those that go on, one stays to compare with
-                    rows = [(*last[:4], 0, True)] if last[0] == r[0] else []
+                    # rows that are alone and go to one place hold one string: of those that go on, one stays to compare with, and is
+                    # still to be judged itself if it was the first
+                    rows = [(*last[:4], 0 if met else last[4], True)] if last[0] == r[0] else []
                     starts = len(rows)
                 rows.append(r)
                 starts += len(r[1]) - LENGTH + 1

@@ -164,6 +164,15 @@ def test_many_equal_strings_are_sorted_in_parts(spark):
     assert found == sorted([(k, 0, 0) for k in range(9)] + [(1, 7, 37), (2, 0, 0)])
 
 
+def test_a_chunk_may_end_between_two_equal_strings(spark, monkeypatch):
+    rows = [(k, bytes([k]) * 200, k, 0, 1, True) for k in range(3)] + [(5, b"a" * 200, k, 0, 1, True) for k in (11, 12)]
+    df = spark.createDataFrame(rows, "x long, data binary, k long, first long, n int, alone boolean")
+    monkeypatch.setattr(suffix_dedup, "partitions", lambda _: 1)
+    for most in (2, 3, 4):
+        found = sorted(map(tuple, suffix_dedup._sorted_starts(df, most=most).collect()))
+        assert found == [(11, 0, 0), (12, 0, 0)]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.binary(max_size=300).map(lambda b: bytes(x % 3 for x in b)), st.sampled_from([8, 40, 64]))
 def test_suffix_order(data, depth):
