@@ -166,8 +166,10 @@ def spanning_links(sets: Sets, threshold: float = THRESHOLD) -> list[tuple[int,
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """id, key (of the words; null: none), bands (one hash each), mark (one byte of each register) for every row of ``docs`` (id, text)."""
-    schema = f"id {docs.schema['id'].dataType.simpleString()}, key binary, bands array<long>, mark binary"
+    """id, key (of the words; null: none), bands (one hash each), mark (one byte of each register) for every row of ``docs`` (id, text, and
+    any others, which are kept)."""
+    others = [c for c in docs.columns if c not in ("id", "text")]
+    schema = ", ".join([f"id {docs.schema['id'].dataType.simpleString()}, key binary, bands array<long>, mark binary", *(f"{c} {docs.schema[c].dataType.simpleString()}" for c in others)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,11 +184,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                 mark = (mixed(sig) >> np.uint64(56)).astype(np.uint8)
                 offsets = pa.array(np.arange(0, (b - a + 1) * BANDS, BANDS), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(band.reshape(-1).view(np.int64))), pa.array([m.tobytes() for m in mark], pa.binary())],
-                    names=["id", "key", "bands", "mark"],
+                    [batch.column(0).slice(a, b - a), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(band.reshape(-1).view(np.int64))), pa.array([m.tobytes() for m in mark], pa.binary())]
+                    + [batch.column(2 + i).slice(a, b - a) for i in range(len(others))],
+                    names=["id", "key", "bands", "mark", *others],
                 )
 
-    return docs.select("id", "text").mapInArrow(run, schema)
+    return docs.select("id", "text", *others).mapInArrow(run, schema)
 
 
 def _estimates(stars: DataFrame, marks: DataFrame) -> DataFrame:
@@ -307,7 +310,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     class. Null ids are ignored in class_id unless a class has no other. An empty table gives an empty result; only the two named
     columns are read.
     """
-    plain = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    return _classes(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")), threshold, largest).withColumnRenamed("id", id_col)
+
+
+def _classes(plain: DataFrame, threshold: float = THRESHOLD, largest: int = LARGEST) -> DataFrame:
+    """``near_classes`` of ``plain`` (id, text, and any others, which are kept)."""
+    others = [c for c in plain.columns if c not in ("id", "text")]
     rows = written(signatures(plain), "signatures")
     named = rows.where("key is not null")
     texts = written(named.dropDuplicates(["key"]).select("key", "bands", "mark", F.monotonically_increasing_id().alias("rid")), "texts")
@@ -324,9 +332,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     per_text = named.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")).join(labelled, "key")
     per_class = per_text.groupBy("class").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
     found = per_text.join(per_class, "class").where("class_size > 1").select("key", "class_id", "class_size", "copies")
-    out = rows.select("id", "key").join(written(found, "classes"), "key", "left")
+    out = rows.select("id", "key", *others).join(written(found, "classes"), "key", "left")
     return out.select(
-        F.col("id").alias(id_col), F.when(F.col("class_size").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        "id", *others, F.when(F.col("class_size").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"),
     )
 
@@ -334,9 +342,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns kept: of each class the one with the smallest id. Rows alone in their class stay.
 
-    If several rows carry that id, or all ids of a class are null, these rows all stay.
+    If several rows carry that id, or all ids of a class are null, these rows all stay. Rows go by id and digest of the text, so one that
+    shares its id with a copy of another text stays.
     """
-    own_id = fresh(docs, "_id")[0]
-    going = near_classes(docs, id_col, text_col).where((F.col("class_size") > 1) & ~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias(own_id)).distinct()
+    own_id, own_digest = fresh(docs, "_id", "_digest")
+    digest = F.unhex(F.md5(text_or_empty(text_col).cast("binary")))
+    classes = _classes(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), digest.alias("digest")))
+    going = classes.where((F.col("class_size") > 1) & ~F.col("id").eqNullSafe(F.col("class_id"))).select(F.col("id").alias(own_id), F.col("digest").alias(own_digest)).distinct()
     going = written(going, "going")
-    return docs.join(F.broadcast(going) if going.count() <= FEW else going, F.col(id_col).eqNullSafe(F.col(own_id)), "left_anti")
+    on = F.col(id_col).eqNullSafe(F.col(own_id)) & (digest == F.col(own_digest))
+    return docs.join(F.broadcast(going) if going.count() <= FEW else going, on, "left_anti")

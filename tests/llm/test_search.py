@@ -76,6 +76,14 @@ def test_near_classes(spark):
     assert near_dedup.near_classes(df.limit(0)).count() == 0
 
 
+def test_a_row_that_shares_its_id_with_a_near_copy_stays(spark):
+    base = [f"word{k}" for k in range(100)]
+    texts = [(1, " ".join(base)), (2, " ".join([*base[:-1], "other"])), (2, "a clean text that nothing else is like"), (2, None), (None, " ".join(base).upper()), (None, "alone")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    stay = near_dedup.drop_near_copies(df)
+    assert collections.Counter(map(tuple, stay.collect())) == collections.Counter([texts[0], texts[2], texts[3], texts[5]])
+
+
 def test_signatures_estimate_similarity():
     rnd = random.Random(2)
     a = [f"w{rnd.randrange(300)}" for _ in range(400)]
