@@ -74,15 +74,24 @@ def span_edges(df: DataFrame) -> DataFrame:
     return met.select("trace_id", "span_id", F.col("_parent").alias("parent_span_id"))
 
 
-def span_tree(df: DataFrame, max_depth: int = 20) -> DataFrame:
-    """Spans with root, depth and path, by a join per level while a level has spans, ``max_depth`` at most; spans in a circle are in none."""
-    edges = span_edges(df).persist()
-    level = edges.where("parent_span_id is null").select("trace_id", "span_id", "parent_span_id", F.col("span_id").alias("root"), F.lit(0).alias("depth"), F.col("span_id").alias("path"))
-    out = level
-    for depth in range(1, max_depth + 1):
+def span_tree(df: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """Spans with root, depth and path, by a join per level while a level has spans (``max_depth`` at most, if given); spans in a circle are in
+    none, so the levels end. Each is written to the shared folder."""
+    from ..plans.scratch import scratch_path
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(df.sparkSession, name)
+        rows.write.parquet(path)
+        return df.sparkSession.read.schema(rows.schema).parquet(path)
+
+    edges = written(span_edges(df), "edges")
+    level = written(edges.where("parent_span_id is null").select("trace_id", "span_id", "parent_span_id", F.col("span_id").alias("root"), F.lit(0).alias("depth"), F.col("span_id").alias("path")), "level")
+    out, depth = level, 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         above = level.select(F.col("trace_id").alias("_trace"), F.col("span_id").alias("_up"), F.col("root").alias("_root"), F.col("path").alias("_path"))
         below = edges.join(above, (F.col("trace_id") == F.col("_trace")) & (F.col("parent_span_id") == F.col("_up")))
-        level = below.select("trace_id", "span_id", "parent_span_id", F.col("_root").alias("root"), F.lit(depth).alias("depth"), F.concat("_path", F.lit(" > "), "span_id").alias("path"))
+        level = written(below.select("trace_id", "span_id", "parent_span_id", F.col("_root").alias("root"), F.lit(depth).alias("depth"), F.concat("_path", F.lit(" > "), "span_id").alias("path")), "level")
         if level.isEmpty():
             break
         out = out.unionByName(level)

@@ -158,6 +158,12 @@ def test_measures_are_cumulative(spark):
     assert analytics.measure_totals(df).first().asDict() == {"total_ms": 4.0, "n": 2}
 
 
+def test_deep_spans(spark):
+    links = [("t", f"s{k}", f"s{k - 1}" if k else None) for k in range(24)] + [("t", "x", "y"), ("t", "y", "x")]
+    df = spark.createDataFrame(links, "trace_id string, span_id string, parent_span_id string")
+    assert {r["span_id"]: r["depth"] for r in traces.span_tree(df).collect()} == {f"s{k}": k for k in range(24)}
+
+
 def test_spans_and_jobs(spark):
     df = spark.createDataFrame([("t", "a", None), ("t", "b", "a"), ("t", "c", "b"), ("t", "d", "gone")], "trace_id string, span_id string, parent_span_id string")
     assert {r["span_id"]: (r["root"], r["depth"], r["path"]) for r in traces.span_tree(df).collect()} == {"a": ("a", 0, "a"), "b": ("a", 1, "a > b"), "c": ("a", 2, "a > b > c"), "d": ("d", 0, "d")}
