@@ -116,16 +116,16 @@ def drop_stale(df: DataFrame, now: str, max_age_s: int = 0, recovery: bool | Non
 def shed_during_outage(df: DataFrame, outages: DataFrame, retain: str = "error") -> tuple[DataFrame, DataFrame]:
     """(kept, tally): rows below ``retain`` inside an outage [tripped_at, tripped_at + cooldown_s) go; the tally counts what they stand for.
 
-    Outages are short and few beside the rows. Overlapping ones are joined to disjoint intervals first; rows meet them by the hour, so the
-    interval join is a hash join whatever the number of outages.
+    Outages are short and few beside the rows. Those that overlap are joined to disjoint intervals within each hour; rows meet them by the
+    hour, so the interval join is a hash join whatever the number of outages.
     """
     span = outages.select(F.col("tripped_at").alias("a"), (F.col("tripped_at") + F.make_interval(secs=F.col("cooldown_s"))).alias("b"))
-    w = W.orderBy("a", "b").rowsBetween(W.unboundedPreceding, -1)
-    steps = span.withColumn("new", F.coalesce(F.col("a") > F.max("b").over(w), F.lit(True)).cast("int"))
-    parts = steps.withColumn("g", F.sum("new").over(W.orderBy("a", "b"))).groupBy("g").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("g")
     low = F.coalesce(F.col("level") < LEVELS[retain], F.lit(False))
     hour = lambda c: F.unix_seconds(F.date_trunc("hour", F.col(c)).cast("timestamp"))
-    side = parts.select("a", "b", F.explode(F.sequence(hour("a"), hour("b"), F.lit(3600).cast("long"))).alias("_hour"))
+    hours = span.select("a", "b", F.explode(F.sequence(hour("a"), hour("b"), F.lit(3600).cast("long"))).alias("_hour"))
+    w = W.partitionBy("_hour").orderBy("a", "b")
+    steps = hours.withColumn("new", F.coalesce(F.col("a") > F.max("b").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(True)).cast("int"))
+    side = steps.withColumn("g", F.sum("new").over(w)).groupBy("_hour", "g").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("g")
     inside = low & (hour("logged_at") == F.col("_hour")) & (F.col("logged_at") >= F.col("a")) & (F.col("logged_at") < F.col("b"))
     gone = df.join(side, inside, "left_semi")
     n = F.greatest(F.lit(1).cast("long"), F.coalesce("count", F.lit(1).cast("long")))

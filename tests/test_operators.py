@@ -112,6 +112,14 @@ def test_outage(spark):
     assert sorted(r.seq for r in kept.collect()) == [0, 3, 4] and tally.first()["dropped"] == 6
 
 
+def test_outages_are_joined_by_the_hour(spark):
+    out = spark.createDataFrame([(at(0), 429, "x", 9000), (at(60), 429, "x", 10), (at(8000), 500, "y", 2000)], OUTAGE_SCHEMA)
+    df = rows(spark, *[{"logged_at": at(s), "level": 200} for s in (-1, 0, 3601, 8999, 9999, 10_000)]).withColumn("count", F.lit(2).cast("long"))
+    kept, tally = filters.shed_during_outage(df, out)
+    assert sorted(r.seq for r in kept.collect()) == [0, 5] and tally.first()["dropped"] == 8
+    assert "SinglePartition" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_http_events(spark):
     make = lambda s, e: ("t", "s", T0, "GET", "p", s, e, None)
     df = spark.createDataFrame([make(500, None), make(302, None), make(403, "Denied"), make(500, "Denied")], HTTP_SCHEMA)
