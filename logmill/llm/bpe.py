@@ -135,6 +135,48 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mixed((sums[ends] - sums[starts]) * down + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
+def word_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span [start, end) of ``values``: a sum over mixed pairs of place and value, which no structure of the
+    values can undo as it can with a polynomial. The cost is that of the spans' lengths, so they should not overlap much."""
+    n = ends - starts
+    stop = np.cumsum(n)
+    k = np.arange(int(stop[-1]) if len(stop) else 0) - np.repeat(stop - n, n)
+    sums = np.zeros(len(k) + 1, np.uint64)
+    np.cumsum(mixed(values[np.repeat(starts, n) + k].astype(np.uint64) << np.uint64(32) | (k + 1).astype(np.uint64)), out=sums[1:])
+    return mixed(sums[stop] - sums[stop - n] + n.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+
+
+def equal_spans(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """Whether each span of ``a`` holds the same values as the span of ``b`` at its place."""
+    n = a_end - a_start
+    out = n == b_end - b_start
+    n = np.where(out, n, 0)
+    stop = np.cumsum(n)
+    k = np.arange(int(stop[-1]) if len(stop) else 0) - np.repeat(stop - n, n)
+    wrong = np.flatnonzero(a[np.repeat(a_start, n) + k] != b[np.repeat(b_start, n) + k])
+    out[np.searchsorted(stop, wrong, "right")] = False
+    return out
+
+
+def distinct_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, at, kind): of the distinct spans the hash and the place of one of them, by rising hash, and of each span its number there.
+
+    Hashes only group; the values decide. Where unequal spans share a hash, all spans are told apart by their bytes.
+    """
+    found = span_hashes(values, starts, ends)
+    hashes, at, kind = np.unique(found, return_index=True, return_inverse=True)
+    if not equal_spans(values, starts, ends, values, starts[at[kind]], ends[at[kind]]).all():
+        seen: dict[tuple[int, bytes], int] = {}
+        kind = np.array([seen.setdefault((h, values[s:e].tobytes()), len(seen)) for h, s, e in zip(found.tolist(), starts.tolist(), ends.tolist(), strict=True)], np.int64)
+        _, at = np.unique(kind, return_index=True)
+        order = np.argsort(found[at], kind="stable")
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        at, kind = at[order], back[kind]
+        hashes = found[at]
+    return hashes, at, kind
+
+
 class Specials:
     """Splits a text at the strings of added tokens, as the tokenizers library does by default."""
 

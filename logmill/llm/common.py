@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -14,11 +13,13 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is the one that the cluster names in ``spark.checkpoint.dir``; only where that is unset, as in
-    tests on one machine, a new temporary folder is taken.
+    It is the one that the cluster names in ``spark.checkpoint.dir``; only where that is unset and all runs
+    in one local process, as in tests, a new temporary folder is taken. On a cluster it must be set.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-logmill-")
         spark.conf.set("spark.checkpoint.dir", found)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -87,12 +88,16 @@ def slices(texts: Sequence[str], limit: int = 1_000_000) -> Iterator[tuple[int,
         yield a, len(texts)
 
 
-def local_path(url: str) -> str:
-    return url[len("file://"):] if url.startswith("file://") else url
+def joined(left: DataFrame, right: DataFrame, key: str, how: str = "inner", most: int = 1000) -> DataFrame:
+    """``left``, a table that is cheap to read, joined with ``right``, which has a row a ``key``.
 
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
+    Keys that more than one in ``most`` rows of ``left`` carry are at most ``most``; their rows of ``right`` are broadcast, so no task gets
+    all of a hot key's rows. All other keys meet by a shuffle.
+    """
+    least = max(2, left.count() // most + 1)
+    hot = written(left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= least).select(key), "hot")
+    many = left.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(right.join(F.broadcast(hot), key, "left_semi")), key, how)
+    return many.unionByName(left.join(F.broadcast(hot), key, "left_anti").join(right, key, how))
 
 
 def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:

@@ -7,7 +7,8 @@ soon as it cannot be first anywhere. Two documents agree in a register with thei
 
 1. Documents with the same words are one text from here on (copies, however many, cost nothing further).
 2. Texts that agree in a band of registers share a bucket. A bucket is a star around its first text: signatures prune the star, and the
-   texts that the first one cannot speak for stay in the bucket for another round. No pairs within a bucket are made.
+   texts that the first one cannot speak for stay in the bucket for another round. No pairs within a bucket are made. A text and a first
+   one are one row, with the list of their common buckets, however many these are.
 3. Components of these stars are candidates only. Inside a component the shingle sets decide exactly: a search over unvisited texts
    finds a spanning forest of the links with similarity of the threshold or more. The triangle inequality says which texts need a look.
    Components too large for a task first lose, round by round, the texts that are linked to a pivot, wherever those texts lie.
@@ -24,8 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import code_points, mixed, span_hashes
-from .common import dropped, fresh, slices, text_or_empty, written
+from .bpe import code_points, mixed, word_hashes
+from .common import dropped, fresh, joined, scratch_path, slices, text_or_empty, written
 from .graphs import components
 
 WORDS, THRESHOLD = 5, 0.8
@@ -35,7 +36,8 @@ WEAK, STRONG = 0.5, 0.83  # estimated similarity: a star keeps links from WEAK o
 # what similarity can change along a link (1 - THRESHOLD) and 3.3 standard errors, so a text that leaves needs no other one of the bucket
 STAR_ROUNDS = 3
 FEW = 1_000_000  # ids that may be broadcast
-LARGEST = 50_000  # texts of a component that one task takes
+LARGEST, LARGEST_BYTES = 50_000, 64 << 20  # texts, and bytes of their sets, of a component that one task takes
+HOT = 1000  # a bucket with over one in so many rows is hot; there are at most as many
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes | None]]:
@@ -66,7 +68,11 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list
     k = np.arange(len(starts)) - word_bounds[:-1][text]
     begin = np.flatnonzero((k + WORDS <= n) | ((k == 0) & (n < WORDS)))
     stop = np.minimum(begin + WORDS - 1, last_word[begin])
-    hashes = span_hashes(cps, starts[begin], ends[stop])
+    words = word_hashes(cps, starts, ends)
+    hashes = (stop - begin + 1).astype(np.uint64)
+    for i in range(WORDS):
+        at = np.minimum(begin + i, len(words) - 1)
+        hashes = np.where(begin + i <= stop, mixed(hashes * np.uint64(0x9FB21C651E98DF25) + words[at]), hashes)
     owner = text[begin]
     order = np.lexsort((hashes, owner))
     owner, hashes = owner[order], hashes[order]
@@ -192,39 +198,49 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text", *others).mapInArrow(run, schema)
 
 
+def _stars(members: DataFrame) -> DataFrame:
+    """rid, first, buckets of ``members`` (rid, bucket): each text with the first ones of its buckets, a row for each of these and the list of
+    the buckets where it is first. First ones, and texts alone in a bucket, have no row there."""
+    many = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first")).where("n > 1"), "buckets")
+    least = (many.agg(F.sum("n").alias("n")).first()["n"] or 0) // HOT + 1
+    hot, other = many.where(F.col("n") >= least).select("bucket", "first"), many.where(F.col("n") < least).select("bucket", "first")
+    tagged = members.join(F.broadcast(hot), "bucket", "left")
+    met = tagged.where("first is not null").unionByName(tagged.where("first is null").drop("first").join(other, "bucket"))
+    return met.where("rid <> first").groupBy("rid", "first").agg(F.collect_list("bucket").alias("buckets"))
+
+
 def _estimates(stars: DataFrame, marks: DataFrame) -> DataFrame:
-    """``stars`` (a, b) with the share of registers that agree (their bytes; chance agreement of 1/256 taken off)."""
+    """``stars`` (rid, first, buckets) with ``likely``: the share of registers that agree (their bytes; chance agreement of 1/256 taken off)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            m, n = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in ("ma", "mb"))
+            m, n = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in ("mark", "other"))
             same = ((m == n).mean(1) - 1 / 256) / (1 - 1 / 256)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same)], names=["a", "b", "likely"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rid", "first", "buckets")), pa.array(same)], names=["rid", "first", "buckets", "likely"])
 
-    left, right = marks.select(F.col("rid").alias("a"), F.col("mark").alias("ma")), marks.select(F.col("rid").alias("b"), F.col("mark").alias("mb"))
-    return stars.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(run, "a long, b long, likely double")
+    met = joined(stars, marks.select(F.col("rid").alias("first"), F.col("mark").alias("other")), "first").join(marks, "rid")
+    return met.select("rid", "first", "buckets", "mark", "other").mapInArrow(run, "rid long, first long, buckets array<long>, likely double")
 
 
 def candidate_links(texts: DataFrame) -> DataFrame:
-    """Links a, b whose components hold every pair of ``texts`` (rid, bands, mark) that shares a bucket and may reach the threshold."""
-    buckets = texts.select("rid", F.explode("bands").alias("bucket"))
-    many = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first")).where("n > 1")
-    members = written(buckets.join(many.select("bucket", "first"), "bucket").where("rid <> first"), "buckets")
-    marks = texts.select("rid", "mark")
+    """Links a, b whose components hold every pair of ``texts`` (rid, bands, mark) that shares a bucket and may reach the threshold.
+
+    Rows are at most a text and bucket in each round, whatever the sizes of buckets.
+    """
+    link = lambda df: df.select(F.col("rid").alias("a"), F.col("first").alias("b"))
+    members = texts.select("rid", F.explode("bands").alias("bucket"))
     found: DataFrame | None = None
-    for turn in range(STAR_ROUNDS):
-        stars = members.select(F.col("rid").alias("a"), F.col("first").alias("b")).distinct()
-        likely = written(_estimates(stars, marks), "stars")
-        kept = likely.where(F.col("likely") >= WEAK).select("a", "b")
+    for _ in range(STAR_ROUNDS):
+        stars = written(_stars(members), "stars")
+        likely = written(_estimates(stars, texts.select("rid", "mark")), "likely")
+        dropped(stars)
+        kept = link(likely.where(F.col("likely") >= WEAK))
         found = kept if found is None else found.union(kept)
-        settled = likely.where(F.col("likely") >= STRONG).select(F.col("a").alias("rid"), F.col("b").alias("first"))
-        rest = members.join(settled, ["rid", "first"], "left_anti").select("rid", "bucket")
-        again = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first")).where("n > 1").select("bucket", "first")
-        members = written(rest.join(again, "bucket").where("rid <> first"), "buckets")
+        members = likely.where(F.col("likely") < STRONG).select("rid", F.explode("buckets").alias("bucket"))
         if members.isEmpty():
             break
     else:
-        found = found.union(members.select(F.col("rid").alias("a"), F.col("first").alias("b")))  # what is left is not pruned
+        found = found.union(link(_stars(members)))  # what is left is not pruned
     return found.distinct()
 
 
@@ -251,8 +267,11 @@ def _search(table: pa.Table) -> pa.Table:
     return pa.table({"a": rid[links[:, 0]], "b": rid[links[:, 1]]})
 
 
-def _to_pivots(members: DataFrame, pivots: DataFrame) -> DataFrame:
-    """``members`` (rid, component, hashes, weights) with ``far``: 1 minus the similarity to their component's pivot."""
+def _to_pivots(members: DataFrame, pivots: DataFrame, salts: int = 64) -> DataFrame:
+    """``members`` (rid, component, hashes, weights) with ``far``: 1 minus the similarity to their component's pivot.
+
+    Pivots are broadcast while their sets have at most ``LARGEST_BYTES``; beyond, they meet their members by a join on component and salt.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,47 +279,55 @@ def _to_pivots(members: DataFrame, pivots: DataFrame) -> DataFrame:
             far = [1 - probability_jaccard(*x) for x in zip(*sets, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("component"), batch.column("pivot"), pa.array(far, pa.float64())], names=["rid", "component", "pivot", "far"])
 
-    met = members.join(F.broadcast(pivots) if pivots.count() <= 1000 else pivots, "component")
+    if (pivots.agg(F.sum(F.octet_length("ph") + F.octet_length("pw")).alias("n")).first()["n"] or 0) <= LARGEST_BYTES:
+        met = members.join(F.broadcast(pivots), "component")
+    else:
+        salted = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        met = members.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(salts)).cast("int")).join(salted, ["component", "salt"])
     return met.select("rid", "component", "pivot", "hashes", "weights", "ph", "pw").mapInArrow(run, "rid long, component long, pivot long, far double")
 
 
+def _too_large(sets: DataFrame, largest: int) -> DataFrame:
+    sizes = sets.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("hashes").cast("long") + F.octet_length("weights")).alias("bytes"))
+    return sizes.where((F.col("n") > largest) | ((F.col("bytes") > LARGEST_BYTES) & (F.col("n") > 1))).select("component")
+
+
 def verified_links(sets: DataFrame, threshold: float = THRESHOLD, largest: int = LARGEST) -> DataFrame:
     """Links a, b that span all pairs of ``threshold`` or more inside each component of ``sets`` (rid, component, hashes, weights).
 
-    A component of over ``largest`` texts goes through rounds in which every text is compared with a pivot, by a join, in whatever task it
-    lies. Texts linked to the pivot leave, unless a text that stays could be linked to them by the triangle inequality. The next pivot is the
-    text that stayed or left nearest to the last one, which in a group of copies of one original is the original.
+    A component of over ``largest`` texts or ``LARGEST_BYTES`` goes through rounds in which every text is compared with a pivot, by a join,
+    in whatever task it lies. Texts linked to the pivot leave, unless a text that stays could be linked to them by the triangle inequality.
+    The next pivot is the text that stayed or left nearest to the last one, which in a group of copies of one original is the original.
+    Every round adds its links, and the components that have become small, to tables in the shared folder.
     """
     reach = 1 - threshold
-    sizes = sets.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    hot = written(sizes.where(F.col("n") > largest).select("component"), "hot")
-    links: list[DataFrame] = []
-    if not hot.isEmpty():
-        large = sets.join(F.broadcast(hot), "component", "left_semi")
-        sets = sets.join(F.broadcast(hot), "component", "left_anti")
-        used: DataFrame | None = None
-        chosen = large.groupBy("component").agg(F.min("rid").alias("pivot"))
-        while True:
-            pivots = chosen.join(large.select("component", F.col("rid").alias("pivot"), F.col("hashes").alias("ph"), F.col("weights").alias("pw")), ["component", "pivot"])
-            used = pivots.select("pivot") if used is None else used.union(pivots.select("pivot"))
-            far = written(_to_pivots(large, pivots), "far")
-            links.append(far.where((F.col("far") <= reach + 1e-12) & (F.col("rid") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("rid").alias("b")))
-            outer = far.where(F.col("far") > reach + 1e-12).groupBy("component").agg(F.min("far").alias("least"))
-            stay = far.join(outer, "component").where((F.col("far") > reach + 1e-12) | (F.col("far") >= F.col("least") - reach - 1e-9)).where(F.col("rid") != F.col("pivot"))
-            large = written(large.join(stay.select("rid"), "rid", "left_semi"), "large")
-            used = written(used, "used")
-            sizes = large.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-            small = sizes.where(F.col("n") <= largest).select("component")
-            sets = sets.unionByName(large.join(small, "component", "left_semi").select(sets.columns))
-            large = written(large.join(small, "component", "left_anti"), "large")
-            if large.isEmpty():
-                break
-            near = far.join(used.withColumnRenamed("pivot", "rid"), "rid", "left_anti").join(large.select("rid"), "rid", "left_semi")
-            chosen = near.groupBy("component").agg(F.min_by("rid", F.struct("far", "rid")).alias("pivot"))
-    inside = sets.select("component", "rid", "hashes", "weights").groupBy("component").applyInArrow(_search, "a long, b long")
-    for more in links:
-        inside = inside.union(more)
-    return inside
+    hot = written(_too_large(sets, largest), "hot")
+    if hot.isEmpty():
+        return sets.select("component", "rid", "hashes", "weights").groupBy("component").applyInArrow(_search, "a long, b long")
+    spark = sets.sparkSession
+    paths = {name: scratch_path(spark, name) for name in ("pivots", "links", "small")}
+    add = lambda df, name: df.write.mode("append").parquet(paths[name])
+    read = lambda name: spark.read.parquet(paths[name])
+    large = sets.join(F.broadcast(hot), "component", "left_semi")
+    add(sets.join(F.broadcast(hot), "component", "left_anti").select("component", "rid", "hashes", "weights"), "small")
+    chosen = large.groupBy("component").agg(F.min("rid").alias("pivot"))
+    while True:
+        pivots = written(chosen.join(large.select("component", F.col("rid").alias("pivot"), F.col("hashes").alias("ph"), F.col("weights").alias("pw")), ["component", "pivot"]), "pivots")
+        add(pivots.select("pivot"), "pivots")
+        far = written(_to_pivots(large, pivots), "far")
+        add(far.where((F.col("far") <= reach + 1e-12) & (F.col("rid") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("rid").alias("b")), "links")
+        outer = far.where(F.col("far") > reach + 1e-12).groupBy("component").agg(F.min("far").alias("least"))
+        stay = far.join(outer, "component").where((F.col("far") > reach + 1e-12) | (F.col("far") >= F.col("least") - reach - 1e-9)).where(F.col("rid") != F.col("pivot"))
+        rest = written(large.join(stay.select("rid"), "rid", "left_semi"), "large")
+        still = written(_too_large(rest, largest), "hot")
+        add(rest.join(still, "component", "left_anti").select("component", "rid", "hashes", "weights"), "small")
+        large = written(rest.join(still, "component", "left_semi"), "large")
+        dropped(rest)
+        if large.isEmpty():
+            break
+        near = far.join(read("pivots").withColumnRenamed("pivot", "rid"), "rid", "left_anti").join(large.select("rid"), "rid", "left_semi")
+        chosen = written(near.groupBy("component").agg(F.min_by("rid", F.struct("far", "rid")).alias("pivot")), "chosen")
+    return read("small").groupBy("component").applyInArrow(_search, "a long, b long").union(read("links"))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, largest: int = LARGEST) -> DataFrame:
@@ -321,7 +348,8 @@ def _classes(plain: DataFrame, threshold: float = THRESHOLD, largest: int = LARG
     texts = written(named.dropDuplicates(["key"]).select("key", "bands", "mark", F.monotonically_increasing_id().alias("rid")), "texts")
     links = written(candidate_links(texts.select("rid", "bands", "mark")), "candidates")
     groups = components(links)
-    wanted = texts.join(groups, texts.rid == groups.node).select("key", "rid", "component")
+    wanted = written(texts.join(groups, texts.rid == groups.node).select("key", "rid", "component"), "wanted")
+    dropped(links)
     ids = named.join(wanted.select("key"), "key", "left_semi").select(F.col("id").alias("i")).distinct()
     chosen = plain.join(ids, F.col("id").eqNullSafe(F.col("i")), "left_semi")
     sets = written(_shingle_sets(chosen).join(wanted, "key").dropDuplicates(["rid"]).select("rid", "component", "hashes", "weights"), "sets")
@@ -329,11 +357,14 @@ def _classes(plain: DataFrame, threshold: float = THRESHOLD, largest: int = LARG
     dropped(sets)
     classes = components(exact).select(F.col("node").alias("rid"), "component")
     labelled = texts.select("key", "rid").join(classes, "rid", "left").select("key", F.coalesce("component", "rid").alias("class"))
-    per_text = named.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")).join(labelled, "key")
+    per_text = written(named.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")).join(labelled, "key"), "labelled")
     per_class = per_text.groupBy("class").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
-    found = per_text.join(per_class, "class").where("class_size > 1").select("key", "class_id", "class_size", "copies")
-    out = rows.select("id", "key", *others).join(written(found, "classes"), "key", "left")
-    return out.select(
+    found = written(joined(per_text, per_class, "class").where("class_size > 1").select("key", "class_id", "class_size", "copies"), "classes")
+    for done in (texts, wanted, exact, per_text):
+        dropped(done)
+    with_class = joined(named.select("id", "key", *others), found, "key", "left")
+    alone = rows.where("key is null").select("id", "key", *others).withColumns({"class_id": F.lit(None).cast(plain.schema["id"].dataType)} | {c: F.lit(None).cast("long") for c in ("class_size", "copies")})
+    return with_class.unionByName(alone).select(
         "id", *others, F.when(F.col("class_size").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"),
     )
