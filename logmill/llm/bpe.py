@@ -11,13 +11,29 @@ import numpy as np
 
 # The code points with the Unicode property White_Space.
 WHITE_SPACE = (9, 10, 11, 12, 13, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288)
-OTHER, SPACE, LETTER, NUMBER = 0, 1, 2, 3
+OTHER, SPACE, LETTER, NUMBER, UNASSIGNED = 0, 1, 2, 3, 4
 
 
 def _class_of(cp: int) -> int:
     if cp in WHITE_SPACE:
         return SPACE
-    return {"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(cp))[0], OTHER)
+    kind = unicodedata.category(chr(cp))
+    return UNASSIGNED if kind == "Cn" else {"L": LETTER, "N": NUMBER}.get(kind[0], OTHER)
+
+
+@lru_cache(1 << 14)
+def _library_class(path: str, cp: int) -> int:
+    """The class that the tokenizer of ``path`` (byte-level) gives a code point: whether it joins a letter, a digit, a full stop or none."""
+    pieces = library(path).pre_tokenizer.pre_tokenize_str
+    return next((kind for kind, before in ((LETTER, "a"), (NUMBER, "1"), (OTHER, ".")) if len(pieces(before + chr(cp))) == 1), SPACE)
+
+
+@lru_cache(1)
+def unassigned():
+    """Search for a code point that Python's Unicode tables do not know; a library with newer tables may."""
+    known = np.array([unicodedata.category(chr(c)) != "Cn" for c in range(0x110000)])
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], known, [True]]).astype(np.int8)))
+    return re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b - 1))}" for a, b in edges.reshape(-1, 2).tolist()) + "]").search
 
 
 @lru_cache(1)
@@ -25,13 +41,16 @@ def _bmp_classes() -> np.ndarray:
     return np.fromiter(map(_class_of, range(0x10000)), np.uint8, 0x10000)
 
 
-def classes(cps: np.ndarray) -> np.ndarray:
-    """OTHER, SPACE, LETTER or NUMBER of each code point."""
+def classes(cps: np.ndarray, path: str | None = None) -> np.ndarray:
+    """OTHER, SPACE, LETTER or NUMBER of each code point; what Python's tables do not know is asked of the tokenizer in ``path``, if given."""
     table = _bmp_classes()
     out = table[np.minimum(cps, 0xFFFF)]
     if len(high := np.flatnonzero(cps > 0xFFFF)):
         values, where = np.unique(cps[high], return_inverse=True)
         out[high] = np.fromiter(map(_class_of, values.tolist()), np.uint8, len(values))[where]
+    if len(new := np.flatnonzero(out == UNASSIGNED)):
+        values, where = np.unique(cps[new], return_inverse=True)
+        out[new] = np.array([_library_class(path, c) if path else OTHER for c in values.tolist()], np.uint8)[where]
     return out
 
 
@@ -58,7 +77,7 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32), ends
 
 
-def byte_level_starts(cps: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def byte_level_starts(cps: np.ndarray, bounds: np.ndarray, path: str | None = None) -> np.ndarray:
     """Where the pre-tokens start: contractions, runs of letters, of numbers or of others with one space before, runs of white space.
 
     A run of white space gives its last character away if something follows: a plain space to the run behind it, another one as a
@@ -67,7 +86,7 @@ def byte_level_starts(cps: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     n = len(cps)
     if not n:
         return np.zeros(0, np.int64)
-    kind = classes(cps)
+    kind = classes(cps, path)
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
     edge[n] = True
@@ -209,12 +228,15 @@ def library(path: str):
     return found
 
 
+LONG_RUN = 10_000  # characters of white space in a row
+
+
 @lru_cache(4)
 def fast_encoder(path: str):
     """text -> ids of the byte-level BPE in ``path``, equal to the tokenizers library's, computed by tiktoken from the same file.
 
     tiktoken takes ids as merge ranks; that holds if the merges of the file stand in the order of their products' ids, which is checked
-    here. Texts on which it fails go to the tokenizers library.
+    here. Texts with runs of white space that its pattern cannot take, and any on which it gives up, go to the tokenizers library.
     """
     import public_tokenizers
     import tiktoken
@@ -230,11 +252,16 @@ def fast_encoder(path: str):
     extra = specials(path).ids
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=extra)
     names = set(extra)
+    long_run = re.compile(rf"\s{{{LONG_RUN}}}").search
 
     def encode(text: str) -> list[int]:
+        if len(text) >= LONG_RUN and long_run(text):
+            return library(path).encode(text, add_special_tokens=False).ids
         try:
             return encoding.encode(text, allowed_special=names, disallowed_special=()) if any(s in text for s in names) else encoding.encode_ordinary(text)
-        except Exception:  # noqa: BLE001  it gives up on some very long runs
+        except BaseException as e:
+            if type(e).__name__ != "PanicException":  # of its native code; no subclass of Exception
+                raise
             return library(path).encode(text, add_special_tokens=False).ids
 
     return encode
@@ -338,9 +365,13 @@ class ForcedBoundaryBpe:
         return [self.vocab[p] for p in parts if p is not None]
 
     def pre_tokens(self, text: str) -> list[str]:
-        if self.wide(text):
-            return self.find_wide(library(self.path).normalizer.normalize_str(text))
-        return self.find_narrow(text.lower())
+        low = text.lower()
+        if text.isascii() or not (self.wide(text) or self.wide(low)):  # some narrow capitals have wide small letters, and the reverse
+            return self.find_narrow(low)
+        plain = library(self.path).normalizer.normalize_str(text)
+        if unassigned()(plain):
+            return [plain[a:b] for _, (a, b) in library(self.path).pre_tokenizer.pre_tokenize_str(plain)]
+        return self.find_wide(plain)
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
