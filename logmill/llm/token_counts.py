@@ -2,8 +2,8 @@
 
 A byte-level BPE encodes each pre-token by itself, so a text has as many tokens as its pre-tokens have pieces. Pieces are counted once for
 each distinct pre-token and summed over the text's pre-token frequencies. The most frequent pre-tokens (a table of bounded size, counted
-beforehand) are looked up where the text is read. All other pre-tokens meet by a shuffle on the pre-token itself: there each distinct one
-is encoded once, and its pieces go back to the documents that hold it as sums.
+beforehand over all documents) are looked up where the text is read. All other pre-tokens meet by a shuffle on the pre-token itself: there
+each distinct one is encoded once, and its pieces go back to the documents that hold it as sums. Hashes only find; characters decide.
 
 Which pre-tokens are in the table decides only the way that a count takes, never the count.
 """
@@ -19,11 +19,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import byte_level_starts, code_points, library, span_hashes, specials
+from .bpe import byte_level_starts, code_points, distinct_spans, equal_spans, library, span_hashes, specials
 from .common import dropped, most_frequent, partitions, slices, text_or_empty, written
 
 TABLE = 1 << 17  # pre-tokens in the table of frequent ones
-SAMPLE_ROWS = 20_000  # documents from which that table's pre-tokens are chosen
+HELD = 500_000  # distinct pre-tokens whose counts a task holds before it sends them
 
 
 def _parts(texts: list[str], path: str) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -45,9 +45,9 @@ def pre_token_counts(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarra
     """For a few texts: (text, distinct pre-token, frequency) as three arrays, each distinct pre-token's hash and span, and the joined text."""
     parts, owner, added = _parts(texts, path)
     cps, bounds = code_points(parts)
-    starts = byte_level_starts(cps, np.unique(bounds[:-1][np.diff(bounds) > 0]))
+    starts = byte_level_starts(cps, np.unique(bounds[:-1][np.diff(bounds) > 0]), path)
     ends = np.append(starts[1:], len(cps)) if len(starts) else starts
-    hashes, at, kind = np.unique(span_hashes(cps, starts, ends), return_index=True, return_inverse=True)
+    hashes, at, kind = distinct_spans(cps, starts, ends)
     text = owner[np.searchsorted(bounds, starts, "right") - 1] if len(starts) else np.zeros(0, np.int64)
     pair, n = np.unique(text * max(1, len(hashes)) + kind, return_counts=True)
     spans = np.stack([starts[at], ends[at]]) if len(starts) else np.zeros((2, 0), np.int64)
@@ -59,32 +59,41 @@ def n_pieces(words: list[str], path: str) -> list[int]:
     return [len(e.ids) for e in library(path).encode_batch(words, add_special_tokens=False)] if words else []
 
 
-def frequent_pre_tokens(docs: DataFrame, path: str, text_col: str = "text", table: int = TABLE, rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and numbers of pieces of at most ``table`` pre-tokens that are frequent in about ``rows`` documents."""
-    total = docs.count()
-    share = max(1, total // rows)
+def frequent_pre_tokens(docs: DataFrame, path: str, text_col: str = "text", table: int = TABLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of at most ``table`` pre-tokens, the most frequent ones of all documents, by rising hash: hashes, numbers of pieces, code points, and
+    where each one starts and ends in these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            words, counts = list(seen), list(seen.values())
+            for a in range(0, len(words), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(words[a : a + 50_000], pa.string()), pa.array(counts[a : a + 50_000], pa.int64())], names=["piece", "n"])
+            seen.clear()
+
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in slices(texts):
                 (_, kind, n), hashes, spans, _, _, joined = pre_token_counts(texts[a:b], path)
-                seen = np.bincount(kind, n, len(hashes)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([joined[s:e] for s, e in spans.T.tolist()], pa.string()), pa.array(seen)], names=["piece", "n"])
+                for (s, e), c in zip(spans.T.tolist(), np.bincount(kind, n, len(hashes)).astype(np.int64).tolist(), strict=True):
+                    word = joined[s:e]
+                    seen[word] = seen.get(word, 0) + c
+                if len(seen) > HELD:
+                    yield from sent()
+        yield from sent()
 
     plain = docs.select(text_or_empty(text_col).alias("text"))
-    if share > 1:
-        plain = plain.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
     counts = written(plain.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1"), "pieces")
     words = sorted(most_frequent(counts, "n", table).select("piece").toPandas()["piece"])
     dropped(counts)
     cps, bounds = code_points(words)
     hashes = span_hashes(cps, bounds[:-1], bounds[1:])
-    order = np.argsort(hashes)
-    return hashes[order], np.array(n_pieces(words, path), np.int64)[order]
+    order = np.argsort(hashes, kind="stable")
+    return hashes[order], np.array(n_pieces(words, path), np.int64)[order], cps, bounds[:-1][order], bounds[1:][order]
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text", table: int = TABLE, rows: int = SAMPLE_ROWS) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text", table: int = TABLE) -> DataFrame:
     """One row per row of ``docs``: its id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
     A null text counts as empty: 0 bytes, 0 tokens. Ids may be null or repeat; every row gives its own. Strings of added tokens inside a
@@ -92,18 +101,18 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     columns are read.
     """
     spark = docs.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_pre_tokens(docs, path, text_col, table, rows))  # at most ``table`` pairs of numbers
+    frequent = spark.sparkContext.broadcast(frequent_pre_tokens(docs, path, text_col, table))  # at most ``table`` pre-tokens
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, pieces = frequent.value
+        known, pieces, letters, begin, end = frequent.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts):
-                (text, kind, n), hashes, spans, base, _, joined = pre_token_counts(texts[a:b], path)
+                (text, kind, n), hashes, spans, base, cps, joined = pre_token_counts(texts[a:b], path)
                 at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-                hit = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+                hit = (known[at] == hashes) & equal_spans(cps, *spans, letters, begin[at], end[at]) if len(known) else np.zeros(len(hashes), bool)
                 value = np.where(hit, pieces[at], 0) if len(known) else np.zeros(len(hashes), np.int64)
                 base += np.bincount(text, n * value[kind], b - a).astype(np.int64)
                 rare = np.flatnonzero(~hit)
