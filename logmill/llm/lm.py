@@ -21,7 +21,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import code_points, span_hashes
+from .bpe import code_points, distinct_spans, equal_spans, span_hashes
 from .common import fold, most_frequent, partitions, slices, text_or_empty, written
 
 HEAD = 896  # words that are symbols of their own, with the end token
@@ -38,14 +38,14 @@ WARM = 16  # one text in so many is in the first round of training
 
 @dataclass
 class Tokens:
-    """Tokens of a few texts: hash, class and text of each, the distinct hashes with spans, and the joined text."""
+    """Tokens of a few texts: which distinct token each is, hash, span and class of the distinct ones (the last is the end, an empty span)."""
 
-    hashes: np.ndarray
     kind: np.ndarray  # of each token: index into distinct
     distinct: np.ndarray
     spans: np.ndarray
     classes: np.ndarray  # of distinct
     bounds: np.ndarray  # of each text's tokens
+    cps: np.ndarray
     text: str
 
     def words(self, at: np.ndarray) -> pa.Array:
@@ -79,13 +79,13 @@ def tokens_of(texts: list[str]) -> Tokens:
     own = np.concatenate([[0], np.cumsum(n)])
     is_end = np.zeros(own[-1], bool)
     is_end[own[1:] - 1] = True
-    hashes = np.full(own[-1], end_hash(), np.uint64)
-    hashes[~is_end] = span_hashes(cps, starts, ends)
-    spans = np.zeros((own[-1], 2), np.int64)
-    spans[~is_end, 0], spans[~is_end, 1] = starts, ends
-    distinct, at, kind = np.unique(hashes, return_index=True, return_inverse=True)
-    spans = spans[at]
-    return Tokens(hashes, kind, distinct, spans, tail_classes(cps, spans[:, 0], spans[:, 1]), own, cps.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass"))
+    hashes, at, words_kind = distinct_spans(cps, starts, ends)
+    kind = np.full(own[-1], len(hashes), np.int64)
+    kind[~is_end] = words_kind
+    spans = np.zeros((len(hashes) + 1, 2), np.int64)
+    spans[:-1, 0], spans[:-1, 1] = starts[at], ends[at]
+    distinct = np.append(hashes, np.uint64(end_hash()))
+    return Tokens(kind, distinct, spans, tail_classes(cps, spans[:, 0], spans[:, 1]), own, cps, cps.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass"))
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -103,9 +103,12 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Counts that every task holds: of the TABLE most frequent words, of the classes, and in all."""
+    """Counts that every task holds: of the TABLE most frequent words, of the classes, and in all. Words are by rising hash, no two with
+    the same; hashes find a word and characters decide."""
 
     hashes: np.ndarray
+    cps: np.ndarray
+    spans: np.ndarray  # of the words in cps, an empty one for the end
     counts: np.ndarray
     symbols: np.ndarray  # of the hashes: below HEAD, or -1 for a word that is only in its class
     class_mass: np.ndarray  # N + 0.5 (V + 1) of each class
@@ -116,7 +119,7 @@ class Vocabulary:
     def find(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """Of the distinct tokens: count (-1 if it is not in the table) and symbol."""
         at = np.minimum(np.searchsorted(self.hashes, t.distinct), max(0, len(self.hashes) - 1))
-        hit = self.hashes[at] == t.distinct if len(self.hashes) else np.zeros(len(t.distinct), bool)
+        hit = (self.hashes[at] == t.distinct) & equal_spans(t.cps, *t.spans.T, self.cps, *self.spans[at].T) if len(self.hashes) else np.zeros(len(t.distinct), bool)
         count = np.where(hit, self.counts[at], -1) if len(self.hashes) else np.full(len(t.distinct), -1)
         symbol = np.where(hit, self.symbols[at], -1) if len(self.hashes) else np.full(len(t.distinct), -1)
         return count, np.where(symbol >= 0, symbol, HEAD + t.classes)
@@ -125,10 +128,14 @@ class Vocabulary:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     all_ = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     top = most_frequent(counts, "c", TABLE).toPandas().sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
-    head = set(top["word"][: HEAD - 1]) | {END}
-    mass = {r["class"]: (r["n"], r["v"]) for r in counts.where(~F.col("word").isin(list(head))).groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     cps, bounds = code_points(list(top["word"]))
     hashes = span_hashes(cps, bounds[:-1], bounds[1:])
+    spans = np.stack([bounds[:-1], np.where(top["word"] == END, bounds[:-1], bounds[1:])], 1)
+    _, first = np.unique(hashes, return_index=True)  # a word with another one's hash is joined like a rare one
+    first.sort()
+    top, hashes, spans = top.iloc[first].reset_index(drop=True), hashes[first], spans[first]
+    head = set(top["word"][: HEAD - 1]) | {END}
+    mass = {r["class"]: (r["n"], r["v"]) for r in counts.where(~F.col("word").isin(list(head))).groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     number = {w: i for i, w in enumerate(sorted(head))}
     symbols = np.array([number.get(w, -1) for w in top["word"]], np.int64)
     order = np.argsort(hashes)
@@ -138,7 +145,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     for k, (n, v) in mass.items():
         class_mass[k] = n + 0.5 * (v + 1)
         noise[HEAD + k] += n
-    return Vocabulary(hashes[order], top["c"].to_numpy(np.int64)[order], symbols[order], class_mass, noise / noise.sum(), all_["n"] or 0, all_["v"])
+    return Vocabulary(hashes[order], cps, spans[order], top["c"].to_numpy(np.int64)[order], symbols[order], class_mass, noise / noise.sum(), all_["n"] or 0, all_["v"])
 
 
 class LogBilinear:
