@@ -46,7 +46,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def dropped(df: DataFrame) -> None:
     """Remove a table of ``written`` once what was made of it is written itself."""
-    spark, path = df.sparkSession, df._scratch
+    removed(df.sparkSession, df._scratch)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared one and all in it."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 

@@ -4,8 +4,9 @@ Pass one sets two bit positions for every text's digest and keeps the positions
 that occurs twice hits each of its positions twice, so a row with a position outside that set is certainly unique and
 passes straight through. Pass two sends only the other rows through a shuffle, where the digests themselves decide.
 
-The set of positions is broadcast while it is within ``filter_bytes``; beyond that the same test runs as a join on the
-filter's segments, which moves an id and two numbers for a row and no text.
+Digests are dealt to ranges by a hash, each with a filter of its own that is small enough to be broadcast, and the narrow table of digests is
+gone over once per range. So one path serves any number of rows, and the rows themselves never move to be tested. Digests lie sorted by
+range in their files, so a pass skips the pages of other ranges.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, shared_dir, text_or_empty, written
+from .common import dropped, fresh, joined, scratch_path, text_or_empty, written
 
 SEGMENT_BITS = 8 * 4096  # of one bitmap of bitmap_construct_agg
+FILTER_BYTES = 32 << 20  # of the filter of one range
+BITS_PER_ROW = 16
 
 
 def ascii_lower(text: Column) -> Column:
@@ -29,32 +32,39 @@ def _bit(bitmap: Column, position: Column) -> Column:
     return F.coalesce(F.getbit(byte, (position % 8).cast("int")), F.lit(0)) == 1
 
 
-def mark_possible_repeats(rows: DataFrame, digest: str = "digest", bits_per_row: int = 16, filter_bytes: int = 8 << 20) -> DataFrame:
-    """``rows`` with a boolean ``maybe``; where it is false, no other row has the same 16-byte-or-longer digest."""
-    spark = rows.sparkSession
-    n = rows.count()
-    segments = max(1, -(-n * bits_per_row // SEGMENT_BITS))
-    bits = segments * SEGMENT_BITS
-    h = [F.pmod(F.xxhash64(F.col(digest), F.lit(i)), F.lit(bits)) for i in (1, 2)]
+def mark_possible_repeats(rows: DataFrame, digest: str = "digest", filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """``rows`` with a boolean ``maybe``; where it is false, no other row has the same 16-byte-or-longer digest.
+
+    Rows are narrow: they are written, once as they are and once marked. Equal digests are counted in the tasks first, so one that a third
+    of all rows have is a row a task. The filters of all ranges are made together.
+    """
+    spark, n = rows.sparkSession, rows.count()
+    ranges = max(1, -(-n * BITS_PER_ROW // (8 * filter_bytes)))
+    segments = max(1, -(-n * BITS_PER_ROW // (ranges * SEGMENT_BITS)))
+    place = lambda i: F.pmod(F.xxhash64(F.col(digest), F.lit(i)), F.lit(segments * SEGMENT_BITS))
+    placed = rows.withColumns({"_range": F.pmod(F.xxhash64(F.col(digest), F.lit(0)), F.lit(ranges)), "_h1": place(1), "_h2": place(2)})
+    placed = written(placed.sortWithinPartitions("_range") if ranges > 1 else placed, "placed")
     hit = (
-        rows.select(F.explode(F.array(*h)).alias("p"))
-        .groupBy("p").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select(F.floor(F.col("p") / SEGMENT_BITS).alias("segment"), (F.col("p") % SEGMENT_BITS).alias("bit"))
-        .groupBy("segment").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+        placed.select("_range", F.explode(F.array("_h1", "_h2")).alias("p"))
+        .groupBy("_range", "p").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        .groupBy("_range", F.floor(F.col("p") / SEGMENT_BITS).alias("segment")).agg(F.bitmap_construct_agg(F.col("p") % SEGMENT_BITS).alias("bitmap"))
     )
-    small = segments * (SEGMENT_BITS // 8) <= filter_bytes
-    out = rows.withColumn("_h1", h[0]).withColumn("_h2", h[1])
-    if small:
-        hit = written(hit, "bloom")
-    for k in ("_h1", "_h2"):
-        side = hit.select(F.col("segment").alias(f"{k}s"), F.col("bitmap").alias(f"{k}b"))
-        side = F.broadcast(side) if small else side.hint("shuffle_hash")
-        out = out.withColumn(f"{k}x", F.floor(F.col(k) / SEGMENT_BITS)).join(side, F.col(f"{k}x") == F.col(f"{k}s"), "left")
-        out = out.withColumn(f"{k}t", _bit(F.col(f"{k}b"), F.col(k) % SEGMENT_BITS)).drop(f"{k}s", f"{k}b", f"{k}x")
-    return out.withColumn("maybe", F.col("_h1t") & F.col("_h2t")).drop("_h1", "_h2", "_h1t", "_h2t")
-
-
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_groups: int = 1000) -> DataFrame:
+    filters = written(hit, "bloom")
+    path = scratch_path(spark, "marked")
+    for k in range(ranges):
+        out = placed.where(F.col("_range") == k)
+        for h in ("_h1", "_h2"):
+            side = filters.where(F.col("_range") == k).select(F.col("segment").alias(f"{h}s"), F.col("bitmap").alias(f"{h}b"))
+            out = out.join(F.broadcast(side), F.floor(F.col(h) / SEGMENT_BITS) == F.col(f"{h}s"), "left").withColumn(f"{h}t", _bit(F.col(f"{h}b"), F.col(h) % SEGMENT_BITS))
+        out.select(*rows.columns, (F.col("_h1t") & F.col("_h2t")).alias("maybe")).write.mode("append").parquet(path)
+    for done in (placed, filters):
+        dropped(done)
+    marked = spark.read.parquet(path)
+    marked._scratch = path
+    return marked
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """One row per row of ``docs``: its id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal if identical after lower-casing A-Z only; null counts as empty, so null and empty texts form one
@@ -62,22 +72,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the same id and text every one gives a row, and all with the largest id are marked as kept. An empty table gives
     an empty result. Other columns of ``docs`` are neither read nor returned, so their names cannot clash.
 
-    A group that holds over 1/``hot_groups`` of the possibly repeated rows is joined back by broadcast: there are at
-    most ``hot_groups`` such groups, one row each. All others are joined by their digest.
+    Large groups are joined back by broadcast, one row each; their number is bounded (see ``joined``). All others are joined by their digest.
     """
-    spark = docs.sparkSession
-    shared_dir(spark)
     rows = written(docs.select(F.col(id_col).alias("id"), F.unhex(F.sha2(ascii_lower(text_or_empty(text_col)), 256)).alias("digest")), "digests")
-    marked = written(mark_possible_repeats(rows), "marked")
+    marked = mark_possible_repeats(rows, filter_bytes=filter_bytes)
+    dropped(rows)
     alone = marked.where(~F.col("maybe")).select("id", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     again = marked.where("maybe").select("id", "digest")
     groups = written(again.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
-    least = max(2, again.count() // hot_groups + 1)
-    hot = groups.where(F.col("group_size") >= least)
-    tagged = again.join(F.broadcast(hot), "digest", "left")
-    many = tagged.where(F.col("group_size").isNotNull()).select("id", "digest", "keep_id", "group_size")
-    few = tagged.where(F.col("group_size").isNull()).select("id", "digest").join(groups.where(F.col("group_size") < least), "digest").select("id", "digest", "keep_id", "group_size")
-    return alone.unionByName(many).unionByName(few).select(
+    return alone.unionByName(joined(again, groups, "digest").select("id", "digest", "keep_id", "group_size")).select(
         F.col("id").alias(id_col),
         "keep_id",
         "group_size",
