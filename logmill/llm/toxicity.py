@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .bpe import LETTER, classes, code_points, span_hashes
 from .common import fold, slices, text_or_empty
@@ -27,7 +28,7 @@ WINDOW = 5  # words; a shorter text is filled up with zeros
 NGRAMS = (3, 4, 5)
 ROWS_PER_CLASS = 2_500  # labelled rows of each class that a fit takes at most
 MIN_TEXTS = 3  # training texts that an n-gram must be in; one that is rarer, or new, counts as zero
-LONGEST = 1 << 20  # bytes; longer texts are not trained on (they are scored whole)
+FIT_BYTES = 64 << 20  # of the texts of each class that a fit takes at most; rows end before the one that would pass it
 
 
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -224,11 +225,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]
     return float(beta[0] / scale), float(beta[1])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_CLASS, folds: int = 3, held_out: int = 1) -> tuple[list[str], np.ndarray, float]:
-    """Texts and labels to train on, at most ``per_class`` of each class, and the share of toxic ones among all labelled rows.
+def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_CLASS, folds: int = 3, held_out: int = 1, fit_bytes: int = FIT_BYTES) -> tuple[list[str], np.ndarray, float]:
+    """Texts and labels to train on, at most ``per_class`` rows and ``fit_bytes`` bytes of each class, and the share of toxic ones among all
+    labelled rows.
 
     Only rows whose crc32(id as text) modulo ``folds`` is not ``held_out`` are read. A null label or id is no label; of repeated labels of
-    an id the larger one counts. Which rows are taken depends on a hash of the id alone.
+    an id the larger one counts, and of rows that share an id the one with the greatest text. Which rows are taken depends on a hash of the
+    id alone; they are whole texts of any length, taken in that order until rows or bytes are full. Both bounds hold before rows go to the
+    driver.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held_out)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     found = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -239,9 +243,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_
         part = known.where((F.col("toxic") == kind) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < near)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
     ids = ids.select(F.col("doc_id").alias("_id"), "toxic")
-    rows = docs.select("doc_id", text_or_empty().alias("text")).where(F.octet_length("text") <= LONGEST)
-    taken = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic").collect()
-    taken = sorted(taken, key=lambda r: (r["doc_id"], r["text"]))[: 2 * per_class]
+    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    rows = rows.groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))  # at most ``per_class`` of each class
+    so_far = F.sum(F.octet_length("text").cast("long")).over(W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    taken = rows.withColumn("so_far", so_far).where(F.col("so_far") <= fit_bytes).select("doc_id", "text", "toxic").collect()
+    taken.sort(key=lambda r: r["doc_id"])
     return [r["text"] for r in taken], np.array([r["toxic"] for r in taken], np.int64), found.get(1, 0) / total if total else 0.0
 
 
