@@ -18,10 +18,11 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, scratch_path, slices, written
+from .common import dropped, joined, partitions, scratch_path, slices, written
 
 FILE_BYTES = 1 << 30  # an archive is closed beyond this
 GAP, SPAN = 64 << 10, 8 << 20  # ranges with a smaller gap between are read together, up to this many bytes
+FEW = 500_000  # pages that refer to others, if their list is broadcast
 INDEX = "file string, offset long, length long, page_id long, url string, payload_digest string, record_type string"
 
 
@@ -30,17 +31,19 @@ def plan_records(pages: DataFrame, least: int = 1000) -> DataFrame:
 
     Of pages with equal payloads of at least ``least`` bytes the one with the largest page_id is written in full, the others refer to it.
     If several rows carry that page_id, all of them are written in full; a null page_id is smaller than any other, and if all are null all
-    are written in full. Repeated digests are aggregated before they meet their pages, so a hot payload is one row there.
+    are written in full. Which pages refer to others is found on digests alone, without html: hot digests are split (see ``joined``). That
+    list of pages is broadcast while it has at most ``FEW`` rows; beyond, pages meet it by page_id and digest, of which none is hot.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).cast("long").alias("payload_bytes"))
-    again = written(
-        rows.where(F.col("payload_bytes") >= least).groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("digest").alias("d"), "last"),
-        "digests",
-    )
-    side = F.broadcast(again) if again.count() <= 100_000 else again
-    met = rows.join(side, F.col("digest") == F.col("d"), "left")
-    return met.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))).drop("d", "last")
+    long = written(rows.where(F.col("payload_bytes") >= least).select("page_id", F.unhex("digest").alias("key")), "digests")
+    again = written(long.groupBy("key").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "last"), "repeated")
+    revisits = joined(long, again, "key").where(F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))).distinct()
+    revisits = written(revisits.select(F.col("page_id").alias("p"), "key", F.col("last").alias("refers_to")), "revisits")
+    dropped(long)
+    dropped(again)
+    side = F.broadcast(revisits) if revisits.count() <= FEW else revisits
+    return rows.join(side, F.col("page_id").eqNullSafe(F.col("p")) & (F.unhex("digest") == F.col("key")), "left").drop("p", "key")
 
 
 def _record(page_id: int | None, url: str | None, html: str, digest: str, size: int, refers_to: int | None) -> bytes:
@@ -168,7 +171,8 @@ def read_archives(selected: DataFrame, folder: str, stretch: int = 64 << 20) ->
 def archive_and_read_back(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write all ``pages`` as archives in a new folder of the shared one (or in ``folder``) and read every record back.
 
-    A null html is an empty payload, a null url an empty target; extra columns are ignored. Result as of ``read_archives``.
+    A null html is an empty payload, a null url an empty target; extra columns are ignored. Result as of ``read_archives``. The archives
+    stay, as the result is read from them; remove the folder once that is done with.
     """
     folder = folder or scratch_path(pages.sparkSession, "warc")
     index = write_archives(plan_records(pages), folder)
