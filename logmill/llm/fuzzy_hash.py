@@ -117,6 +117,7 @@ def with_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows are in the order of falling id, null ids last, equal ids by text. The range bounds are ids: a list that has one for about
     ``per_range`` documents, and ``most_ranges`` at most. Only a range's first row is sent twice. The first row of all closes the last range.
+    Ids are integers. All null ids are one range, as nothing tells their rows' order but the texts.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
@@ -135,7 +136,8 @@ def with_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = dealt.join(to, (F.col("range") == F.col("r")) & F.col("id").eqNullSafe(F.col("first")), "left")
     places = F.array(F.struct(F.col("range").alias("range"), F.lit(False).alias("guest")), F.struct(F.col("to").alias("range"), F.lit(True).alias("guest")))
     both = met.select("id", "text", F.explode(F.when(F.col("to").isNull(), F.slice(places, 1, 1)).otherwise(places)).alias("at")).select("at.range", "at.guest", "id", "text")
-    return both.repartition(max(partitions(spark), min(ranges, 4 * partitions(spark))), "range").sortWithinPartitions("range", "guest", F.desc_nulls_last("id"), "text")
+    tasks = max(1, min(ranges, 4 * partitions(spark)))  # ranges go round, so that each task gets as many
+    return both.repartitionById(tasks, F.pmod(F.col("range"), F.lit(tasks))).sortWithinPartitions("range", "guest", F.desc_nulls_last("id"), "text")
 
 
 def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
