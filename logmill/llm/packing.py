@@ -1,4 +1,8 @@
-"""Packing documents into training windows by best-fit decreasing."""
+"""Packing documents into training windows by best-fit decreasing.
+
+Overlong documents are first cut into full windows, which have their place where they are cut. Only the rests, each shorter than a window,
+meet in blocks, where they are packed.
+"""
 
 from __future__ import annotations
 
@@ -13,26 +17,28 @@ from pyspark.sql import functions as F
 from .bpe import fast_encoder
 from .common import slices, text_or_empty, written
 
-BLOCK = 20_000  # documents that are packed together; the unfilled windows at a block's end are its only extra padding
+BLOCK = 20_000  # rests that are packed together; the unfilled windows at a block's end are its only extra padding
+FULL = 1 << 62  # full windows are numbered from here on: partition and place in it
 
 
 def token_pieces(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document as ids (the tokenizer's and ``end_id``), cut into full windows and a rest.
 
     Columns: the id, start, length, ids (binary, little-endian unsigned 32-bit integers), doc_tokens, spread (a number that deals
-    documents out evenly, whatever their ids are). A null or empty text is one piece with the end id alone; of repeated rows each gives its
-    own pieces. No row moves between tasks.
+    documents out evenly, whatever their ids are), full (number of a full window, null for a rest). A null or empty text is one piece with
+    the end id alone; of repeated rows each gives its own pieces. No row moves between tasks.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    names = ["id", "start", "length", "ids", "doc_tokens", "spread"]
+    names = ["id", "start", "length", "ids", "doc_tokens", "spread", "full"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = fast_encoder(path)
         row = TaskContext.get().partitionId() << 33
+        number = FULL + (TaskContext.get().partitionId() << 40)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts, 2_000_000):
-                owner, start, length, data, total, spread = [], [], [], [], [], []
+                owner, start, length, data, total, spread, full = [], [], [], [], [], [], []
                 for i in range(a, b):
                     ids = np.array([*encode(texts[i]), end_id], "<u4")
                     row += 1
@@ -44,13 +50,15 @@ def token_pieces(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1
                         data.append(part.tobytes())
                         total.append(len(ids))
                         spread.append(row)
+                        full.append(number if len(part) == window else None)
+                        number += len(part) == window
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(data, pa.binary()), pa.array(total, pa.int64()), pa.array(spread, pa.int64())],
+                    [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(data, pa.binary()), pa.array(total, pa.int64()), pa.array(spread, pa.int64()), pa.array(full, pa.int64())],
                     names=names,
                 )
 
     plain = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return plain.mapInArrow(run, f"id {id_type}, start long, length long, ids binary, doc_tokens long, spread long").withColumnRenamed("id", id_col)
+    return plain.mapInArrow(run, f"id {id_type}, start long, length long, ids binary, doc_tokens long, spread long, full long").withColumnRenamed("id", id_col)
 
 
 class OpenWindows:
@@ -107,14 +115,15 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return window, offset
 
 
-def pack(pieces: DataFrame, capacity: int = 2048, block: int = BLOCK, id_col: str = "doc_id") -> DataFrame:
-    """``pieces`` (columns length and spread, and any others) with sequence_id and offset in place of spread.
+def pack(pieces: DataFrame, capacity: int = 2048, block: int = BLOCK) -> DataFrame:
+    """``pieces`` (columns length, spread and full, and any others) with sequence_id and offset in place of spread and full.
 
-    Blocks of about ``block`` documents are packed each by itself; documents are dealt to blocks by ``spread``, so no id, source or length
-    makes a block large. The number of blocks grows with the table. An empty table gives an empty result.
+    Full windows pass as they are. Blocks of about ``block`` rests are packed each by itself; rests are dealt to blocks by ``spread``, so no
+    id, source or length makes a block large. The number of blocks grows with the table. An empty table gives an empty result.
     """
-    blocks = max(1, pieces.select("spread").distinct().count() // block)
-    carried = [c for c in pieces.columns if c != "spread"]
+    rests = pieces.where("full is null").drop("full")
+    blocks = max(1, rests.count() // block)
+    carried = [c for c in rests.columns if c != "spread"]
     schema = ", ".join(f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in carried) + ", sequence_id long, offset long"
 
     def run(table: pa.Table) -> pa.Table:
@@ -124,8 +133,9 @@ def pack(pieces: DataFrame, capacity: int = 2048, block: int = BLOCK, id_col: st
         out = table.select(carried)
         return out.append_column("sequence_id", pa.array(window + (first << 32))).append_column("offset", pa.array(offset))
 
-    dealt = pieces.withColumn("_block", F.pmod(F.xxhash64("spread"), F.lit(blocks)))
-    return dealt.groupBy("_block").applyInArrow(run, schema)
+    dealt = rests.withColumn("_block", F.pmod(F.xxhash64("spread"), F.lit(blocks)))
+    whole = pieces.where("full is not null").select(*carried, F.col("full").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return dealt.groupBy("_block").applyInArrow(run, schema).unionByName(whole)
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1) -> DataFrame:
