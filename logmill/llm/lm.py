@@ -289,24 +289,33 @@ def train_round(docs: DataFrame, shared: Broadcast, start: np.ndarray) -> np.nda
 _prepared: dict[str, LogBilinear] = {}
 
 
+def train(texts: DataFrame) -> tuple[DataFrame, Vocabulary, np.ndarray]:
+    """Counts of all words of ``texts`` (column text), what tasks hold of them, and the parameters of a model trained on all texts."""
+    counts = written(count_words(texts), "counts")
+    v = vocabulary(counts)
+    shared = texts.sparkSession.sparkContext.broadcast(v)
+    vector = LogBilinear.start(v.noise).vector
+    vector = train_round(texts.where(F.pmod(F.xxhash64("text"), F.lit(WARM)) == 0), shared, vector)
+    return counts, v, train_round(texts, shared, vector)
+
+
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1) -> DataFrame:
     """One row per row of ``docs``: its id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learning is from the rows whose crc32(id as text) modulo ``folds`` is not ``held_out``; a null id counts as the empty text there. A
     null text counts as empty, which is one end token. Equal rows each give their own. With no training rows, counts are 0 and the model
-    is the starting one. An empty table gives an empty result.
+    is the starting one. An empty table gives an empty result. The model is an average over tasks, so it depends slightly on how
+    texts are dealt to them; for one model, scores depend on nothing but the texts.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), (fold(id_col, folds) == held_out).alias("held_out"))
-    learn = rows.where(~F.col("held_out"))
-    counts = written(count_words(learn), "counts")
-    v = vocabulary(counts)
-    shared = spark.sparkContext.broadcast(v)
-    vector = LogBilinear.start(v.noise).vector
-    vector = train_round(learn.where(F.pmod(F.xxhash64("text"), F.lit(WARM)) == 0), shared, vector)
-    vector = train_round(learn, shared, vector)
-    final, name = spark.sparkContext.broadcast(vector), uuid.uuid4().hex
-    schema = f"row long, id {docs.schema[id_col].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, base double, model double, words array<string>, freqs array<int>"
+    return score_with(rows, *train(rows.where(~F.col("held_out")))).withColumnRenamed("id", id_col)
+
+
+def score_with(rows: DataFrame, counts: DataFrame, v: Vocabulary, vector: np.ndarray) -> DataFrame:
+    """``score_texts`` of ``rows`` (id, text, held_out) with what ``train`` gave."""
+    spark = rows.sparkSession
+    shared, final, name = spark.sparkContext.broadcast(v), spark.sparkContext.broadcast(vector), uuid.uuid4().hex
+    schema = f"row long, id {rows.schema["id"].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, base double, model double, words array<string>, freqs array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = shared.value
@@ -352,7 +361,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     met = apart.join(rare, "w", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     add = F.sum(F.col("freq") * F.log10(F.col("c") + 0.5))
     out = met.groupBy("row").agg(
-        F.max("id").alias(id_col),
+        F.max("id").alias("id"),
         F.max("held_out").alias("held_out"),
         F.max("n_tokens").alias("n_tokens"),
         (F.max("n_known") + F.sum(F.when(F.col("c") > 0, F.col("freq")).otherwise(0))).alias("n_known"),
@@ -360,4 +369,4 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.max("model") + add).alias("score"),
     )
     share = float(np.log10(v.total + 0.5 * (v.distinct + 1)))
-    return out.select(id_col, "held_out", "n_tokens", "n_known", F.lit(v.total).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * share).alias("base_score"), "score")
+    return out.select("id", "held_out", "n_tokens", "n_known", F.lit(v.total).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * share).alias("base_score"), "score")
