@@ -239,7 +239,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_
     total = sum(found.values())
     ids = None
     for kind in (0, 1):
-        near = int(min(1.0, 1.2 * per_class / max(1, found.get(kind, 0))) * (1 << 30))  # so that tasks send little more than is taken
+        near = int(min(1.0, (1.2 * per_class + 100) / max(1, found.get(kind, 0))) * (1 << 30))  # so that tasks send little more than is taken
         part = known.where((F.col("toxic") == kind) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < near)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
     ids = ids.select(F.col("doc_id").alias("_id"), "toxic")

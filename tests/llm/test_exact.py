@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logmill.llm import codec, exact_dedup, fuzzy_hash, lm, packing, queries, token_counts, warc
-from logmill.llm.bpe import byte_level_starts, code_points, fast_encoder, forced_boundary_bpe, library
+from logmill.llm.bpe import byte_level_starts, code_points, distinct_spans, fast_encoder, forced_boundary_bpe, library, span_hashes, word_hashes
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -48,7 +48,9 @@ def test_exact_dedup_odd(odd, none):
     last = {d: max((i for i in g if i is not None), default=None) for d, g in groups.items()}
     want = multiset((i, last[digest(t)], len(groups[digest(t)]), i == last[digest(t)], digest(t)) for i, t in rows)
     assert multiset(map(tuple, exact_dedup.exact_groups(odd).collect())) == want
-    joined = exact_dedup.mark_possible_repeats(exact_dedup.exact_groups(odd).select(F.unhex("text_sha256").alias("digest")), filter_bytes=0)
+    for filter_bytes in (1, 8, 1 << 20):  # up to one range for each half row
+        assert multiset(map(tuple, exact_dedup.exact_groups(odd, filter_bytes=filter_bytes).collect())) == want
+    joined = exact_dedup.mark_possible_repeats(exact_dedup.exact_groups(odd).select(F.unhex("text_sha256").alias("digest")), filter_bytes=8)
     assert joined.where("maybe").count() >= sum(len(g) for g in groups.values() if len(g) > 1)
     assert exact_dedup.exact_groups(none).count() == 0 and exact_dedup.drop_exact_copies(none).count() == 0
     stay = exact_dedup.drop_exact_copies(odd)
@@ -70,6 +72,65 @@ def test_encoders_agree(texts, odd):
         assert [plain[a:b] for a, b in zip(starts, [*starts[1:], len(plain)], strict=True)] == [plain[a:b] for _, (a, b) in library_byte.pre_tokenizer.pre_tokenize_str(plain)]
 
 
+def test_every_character_as_the_library_takes_it():
+    byte, word, own = library(BYTE), library(WORD), forced_boundary_bpe(WORD)
+    for c in (c for c in range(0x30000) if not 0xD800 <= c < 0xE000):
+        t = f"a{chr(c)}b"
+        assert own.encode(t) == word.encode(t, add_special_tokens=False).ids, hex(c)
+    wide = [f"a{chr(c)}b 1{chr(c)}{chr(c)} {chr(c)}." for c in range(0x80, 0x20000) if not 0xD800 <= c < 0xE000]
+    cps, bounds = code_points(wide)
+    starts = byte_level_starts(cps, bounds[:-1], BYTE)
+    cuts = np.searchsorted(starts, bounds)
+    for k, t in enumerate(wide):
+        own_starts = (starts[cuts[k] : cuts[k + 1]] - bounds[k]).tolist()
+        assert own_starts == [a for _, (a, _) in byte.pre_tokenizer.pre_tokenize_str(t)], t
+        if k % 16 == 0:
+            assert fast_encoder(BYTE)(t) == byte.encode(t, add_special_tokens=False).ids
+    for t in ("Əliyev went ƏLİ", "Ɔkyena Ɛdi", "Ɛdi ɖe Ŋutɔ", "Əliyev 中 Ɔ \u1c89\ua7cb"):
+        assert own.encode(t) == word.encode(t, add_special_tokens=False).ids
+
+
+def test_very_long_texts(spark):
+    tok, word, own = library(BYTE), library(WORD), forced_boundary_bpe(WORD)
+    for t in (" " * 300_000 + "x", "é" * 200_000, "ab" * 100_000, "^" * 100_000 + "\n" * 20_000):
+        assert fast_encoder(BYTE)(t) == tok.encode(t, add_special_tokens=False).ids
+        assert own.encode(t) == word.encode(t, add_special_tokens=False).ids
+    long = "".join(f"{k} word{k % 977}'s " for k in range(250_000))
+    docs = spark.createDataFrame([(1, long), (2, "short")], "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, BYTE).collect()}
+    assert got[1] == len(tok.encode(long, add_special_tokens=False).ids)
+    pieces = packing.pack_documents(docs, BYTE).where("doc_id = 1").collect()
+    assert sum(r.length for r in pieces) == got[1] + 1 and sorted(r.start for r in pieces) == list(range(0, got[1] + 1, 2048))
+    coded = codec.encode_and_decode(docs, WORD).where("doc_id = 1").first()
+    assert coded.n_tokens == len(word.encode(long, add_special_tokens=False).ids)
+
+
+def thue_morse(n):
+    """Two words of 2**n letters with the same value under any polynomial modulo 2**64, for n of 11."""
+    a, b = "a", "e"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_with_one_hash_are_told_apart(spark):
+    one, other = thue_morse(11)
+    cps, bounds = code_points([one, other, one])
+    assert len(set(span_hashes(cps, bounds[:-1], bounds[1:]).tolist())) == 1
+    hashes, at, kind = distinct_spans(cps, bounds[:-1], bounds[1:])
+    assert len(hashes) == 2 and kind[0] == kind[2] != kind[1]
+    assert len(set(word_hashes(cps, bounds[:-1], bounds[1:]).tolist())) == 2
+    docs = spark.createDataFrame([(1, f"{one} x {other} {other}"), (2, one), (3, other), (4, f"{one} {one}")], "doc_id long, text string")
+    tok = library(BYTE)
+    for table in (0, 1, 100):
+        got = token_counts.count_tokens(docs, BYTE, table=table)
+        assert {(r.doc_id, r.n_tokens) for r in got.collect()} == {(i, len(tok.encode(t, add_special_tokens=False).ids)) for i, t in pairs(docs)}
+    counts = {r.word: r.c for r in lm.count_words(docs).collect()}
+    assert (counts[one], counts[other]) == (4, 3)
+    found = {r.doc_id: r.n_known for r in lm.score_texts(docs, held_out=9).collect()}
+    assert found == {1: 5, 2: 2, 3: 2, 4: 3}
+
+
 def test_forced_boundaries_are_safe():
     own = forced_boundary_bpe(WORD)
     units = tuple("abcabcabcab") + ("c</w>",)
@@ -206,3 +267,35 @@ def test_lm_is_normalised():
     every = np.arange(lm.SYMBOLS)
     p = 10 ** model.log10(np.full(lm.SYMBOLS, 3), np.full(lm.SYMBOLS, 5), every)
     assert abs(p.sum() - 1) < 1e-4
+
+
+def test_lm_scores_against_a_slow_version(odd, texts, spark):
+    docs = spark.createDataFrame(texts[:120], "doc_id long, text string").union(odd.select("doc_id", "text"))
+    rows = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("held_out"))
+    counts, v, vector = lm.train(rows)
+    c = {r.word: (r["c"], r["class"]) for r in counts.collect()}
+    symbol = {v.cps[a:b].astype("<u4").tobytes().decode("utf-32-le") if a < b else "\n": int(s) for (a, b), s in zip(v.spans, v.symbols, strict=True)}
+    m = lm.LogBilinear(vector)
+    context, target, bias = m.context.astype(float), m.target.astype(float), m.bias.astype(float)
+    mass = np.full(lm.CLASSES, 0.5)
+    for w, (n, k) in c.items():
+        if symbol.get(w, -1) < 0:
+            mass[k] += n + 0.5
+    of = lambda w: symbol[w] if symbol.get(w, -1) >= 0 else lm.HEAD + int(lm.tokens_of([w]).classes[0])
+    want = collections.Counter()
+    for r in rows.where("length(text) < 1500").collect():
+        words = [*re.findall(r"[^\x20\x09-\x0D]+", r.text.translate(A_Z)), "\n"]
+        total, one, two = 0.0, of("\n"), of("\n")
+        for w in words:
+            s = of(w)
+            logit = (context[one] @ m.c1 + context[two] @ m.c2) @ target.T + bias
+            total += logit[s] - np.log(np.exp(logit - logit.max()).sum()) - logit.max()
+            if s >= lm.HEAD:
+                total += np.log((c.get(w, (0, 0))[0] + 0.5) / mass[s - lm.HEAD])
+            one, two = s, one
+        want[(r.id, r.text, round(total / np.log(10), 1))] += 1
+    scored = lm.score_with(rows, counts, v, vector).select("id", "score").collect()
+    got = {}
+    for r in scored:
+        got.setdefault(r.id, []).append(r.score)
+    assert want and all(any(abs(x - score) < 0.11 + 1e-4 * abs(score) for x in got[i]) for i, _, score in want)

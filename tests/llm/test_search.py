@@ -9,10 +9,12 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from logmill.llm import near_dedup, suffix_dedup, suffix_sort, toxicity
+from logmill.llm.bpe import library
 
 
 def weighted(text):
@@ -142,6 +144,24 @@ def test_repeats(spark, monkeypatch):
     assert suffix_dedup.repeat_report(df.limit(0)).count() == 0
 
 
+def test_a_text_longer_than_a_chunk(spark):
+    rng = np.random.default_rng(4)
+    long = rng.integers(97, 123, suffix_dedup.CHUNK + 300_000).astype(np.uint8).tobytes().decode()
+    part = long[suffix_dedup.CHUNK - 5000 : suffix_dedup.CHUNK + 7000]
+    rows = [(1, long), (2, "before " + part + " after"), (3, None), (4, part[:199])]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.repeat_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (len(long), 12_000, 1), 2: (12_013, 12_000, 1), 3: (0, 0, 0), 4: (199, 0, 0)}
+
+
+def test_texts_that_share_a_key(spark, monkeypatch):
+    rows = repeat_rows()[:60] + [(None, "n" * 300 + str(k % 2)) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = collections.Counter((i, *r) for (i, _), r in zip(rows, brute_repeats([t for _, t in rows]), strict=True))
+    real = suffix_dedup.F.xxhash64
+    monkeypatch.setattr(suffix_dedup.F, "xxhash64", lambda *c: suffix_dedup.F.lit(7).cast("long") if c == ("text",) else real(*c))  # every text has key 7 at first
+    assert collections.Counter(map(tuple, suffix_dedup.repeat_report(df).collect())) == want
+
+
 def test_contexts_of_an_anchor_meet_however_rows_are_dealt(spark):
     rnd = random.Random(11)
     make = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
@@ -209,6 +229,24 @@ def test_toxicity_held_out(spark):
     assert np.mean(english) > 0.8
 
 
+def test_training_rows_are_bounded(spark):
+    rows = [(i, f"text {i} " + "x" * (100 * i)) for i in range(40)] + [(3, "text 3 again"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    learnt = {i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1}
+    texts, y, share = toxicity.training_rows(docs, labels)
+    assert len(texts) == len(learnt) and abs(share - y.mean()) < 1e-9
+    if 3 in learnt:
+        assert max("text 3 again", rows[3][1]) in texts
+    few, y, _ = toxicity.training_rows(docs, labels, per_class=5)
+    assert len(few) == 10 and y.sum() == 5
+    short, y, _ = toxicity.training_rows(docs, labels, fit_bytes=6000)
+    assert 0 < len(short) < len(texts)
+    for kind in (0, 1):
+        assert sum(len(t) for t, k in zip(short, y, strict=True) if k == kind) <= 6000
+    assert any(len(t) > 3000 for t in texts)  # long texts are learnt from too
+
+
 def test_toxicity_odd(spark, odd, none):
     labels = spark.createDataFrame([(3, 1, None), (None, 1, 1), (4, 0, 0), (8, 0, 1), (8, 0, 0)], "doc_id long, quality int, toxic int")
     assert toxicity.toxicity(odd, labels).count() == odd.count()
@@ -224,3 +262,41 @@ def test_pipeline(spark, sf):
         after = stage(spark, docs, sf)
         assert after.columns == docs.columns and 0 < after.count() <= docs.count(), name
     assert {"doc_id", "sequence_id", "offset", "length"} <= set(pipeline.run(spark, sf).columns)
+
+
+def test_pipeline_against_brute_force(spark, sf):
+    """Each stage by a few lines of Python over what the one before keeps; the classifier alone is taken as it is."""
+    pipeline = importlib.import_module("corpus_pipeline")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    score = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+    rows = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert any(x >= 0.7 for x in score.values())
+    rows = {i: t for i, t in rows.items() if score[i] < 0.7}
+    assert {r.doc_id for r in pipeline.toxicity(spark, docs, sf).collect()} == set(rows)
+    last = {}
+    for i, t in sorted(rows.items()):
+        last["".join(c.lower() if "A" <= c <= "Z" else c for c in t)] = i
+    rows = {i: rows[i] for i in last.values()}
+    order = sorted(rows.items())
+    rows = {i: t for (i, t), (first, _) in zip(order, classes(order), strict=True) if first == i}
+    ids = sorted(rows)
+    data = [rows[i].encode() for i in ids]
+    seen = collections.Counter(hash(b[i : i + 200]) for b in data for i in range(len(b) - 199))
+    kept = {}
+    for i, b in zip(ids, data, strict=True):
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - 199):
+            if seen[hash(b[k : k + 200])] > 1:
+                gone[k : k + 200] = True
+        kept[i] = np.frombuffer(b, np.uint8)[~gone].tobytes().decode("utf-8", "ignore")
+    tok = library(public_tokenizers.path("byte_bpe_50k.json"))
+    want = collections.Counter()
+    for i, t in kept.items():
+        x = [*tok.encode(t, add_special_tokens=False).ids, 1]
+        want.update((i, s, len(x[s : s + 2048]), zlib.crc32(np.array(x[s : s + 2048], "<u4").tobytes()), len(x)) for s in range(0, len(x), 2048))
+    out = pipeline.run(spark, sf).collect()
+    assert collections.Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in out) == want
+    windows = collections.defaultdict(list)
+    for r in out:
+        windows[r.sequence_id].append((r.offset, r.length))
+    assert all(sorted(w)[0][0] == 0 and sum(n for _, n in w) == max(o + n for o, n in w) <= 2048 for w in windows.values())
