@@ -31,11 +31,11 @@ from .suffix_sort import big_endian_words, equal_groups, repeated
 
 LENGTH = 200
 GRAM = 64
-CHUNK = 8 << 20  # starts of a text that are taken together
+CHUNK = 2 << 20  # starts of a text that are taken together
 HOT = 20_000  # open contexts of one anchor; beyond, each start goes by a hash of its own string
-HELD = 300_000  # contexts that a task compares among themselves
+HELD = 100_000  # contexts that a task compares among themselves
 SORTED = 400_000  # starts that are sorted together; a whole context counts as ``WEIGHT`` of them
-WEIGHT = 10
+WEIGHT = 40
 SMALL = 4_000_000  # keys that may be broadcast
 
 

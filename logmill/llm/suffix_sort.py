@@ -17,10 +17,9 @@ SHALLOW = 32  # bytes
 
 def big_endian_words(data: np.ndarray) -> np.ndarray:
     """At each position the next eight bytes as one number, zeros after the end; one position more than bytes."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    for k in range(8):
-        out[: max(0, len(data) - k)] |= data[k:].astype(np.uint64) << np.uint64(56 - 8 * k)
-    return out
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), ">u8", padded, strides=(1,)).astype(np.uint64)
 
 
 class _Groups:
