@@ -13,6 +13,7 @@ from ..schema import LEVELS
 
 # What statements lose, in this order.
 SQL_PATTERNS = (r"(?d)'.+?'", r'(?d)"[^"]+?"', r"(?d)\b\d+\b", r"(?i)IN\s*\(\?(?:,\s*\?)*\)")
+TABLE_PATTERN, TABLE_WORDS = r"""(?i)\b{}\s+[`"]?(\w+)""", ("from", "into", "update")
 
 
 def _col(c: Column | str) -> Column:
@@ -85,7 +86,7 @@ def normalize_sql(sql: Column | str, keep_identifiers: bool = False) -> Column:
 
 def sql_table(sql: Column | str) -> Column:
     """The table after the first FROM, else INTO, else UPDATE; else ``unknown``."""
-    found = [F.nullif(F.regexp_extract(_col(sql), rf"(?i)\b{word}\s+[`\"]?(\w+)", 1), F.lit("")) for word in ("from", "into", "update")]
+    found = [F.nullif(F.regexp_extract(_col(sql), TABLE_PATTERN.format(word), 1), F.lit("")) for word in TABLE_WORDS]
     return F.coalesce(*found, F.lit("unknown"))
 
 

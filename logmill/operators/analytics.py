@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +69,10 @@ def list_slow_queries(queries: DataFrame, sort: str = "occurrences", min_duratio
 def detect_n_plus_one(queries: DataFrame, threshold: int = 5, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
     """One report per trace, span and normalised statement that ran ``threshold`` times or more, from its ``threshold``-th run; with the true total."""
     rows = queries.withColumn("statement", normalize_sql("sql"))
-    w = W.partitionBy("trace_id", "span_id", "statement")
-    told = rows.withColumns({"_n": F.row_number().over(w.orderBy(*order)), "total": F.count(F.lit(1)).over(w)})
+    by = ("trace_id", "span_id", "statement")
+    often = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.count(F.lit(1)).alias("total")).where(F.col("total") >= threshold)
+    met = rows.join(often, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]))  # only rows of reports are sorted
+    told = met.withColumn("_n", F.row_number().over(W.partitionBy(*by).orderBy(*order)))
     table = sql_table("sql")
     return told.where(F.col("_n") == threshold).select(
         "trace_id", "span_id", "statement", table.alias("table"), "caller", "connection", "time_ms", "total",
@@ -105,9 +108,15 @@ def measure_snapshots(df: DataFrame) -> DataFrame:
     return longest.select("trace_id", "span_id", F.inline("measures"))
 
 
-def analyze_measures(df: DataFrame) -> DataFrame:
+def _percentile(c: str | Column, p: float, accuracy: int | None) -> Column:
+    """Exact, which holds every distinct value of a group, or with ``accuracy`` from a sketch of bounded size."""
+    return F.percentile(c, p) if accuracy is None else F.percentile_approx(c, p, accuracy).cast("double")
+
+
+def analyze_measures(df: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Percentiles and number of each label's measures; with ``accuracy`` the percentiles are approximate, from sketches of bounded size."""
     return measure_snapshots(df).groupBy("label").agg(
-        F.percentile("duration_ms", 0.5).alias("p50"), F.percentile("duration_ms", 0.95).alias("p95"), F.count(F.lit(1)).alias("n")
+        _percentile("duration_ms", 0.5, accuracy).alias("p50"), _percentile("duration_ms", 0.95, accuracy).alias("p95"), F.count(F.lit(1)).alias("n")
     )
 
 
@@ -119,11 +128,11 @@ def memory_peaks(df: DataFrame, by: Sequence[str] = ("trace_id",)) -> DataFrame:
     return df.groupBy(*by).agg(F.max("memory_peak_mb").alias("memory_peak_mb")).where("memory_peak_mb is not null")
 
 
-def analyze_route_performance(df: DataFrame, route: str, k: int = 5) -> DataFrame:
+def analyze_route_performance(df: DataFrame, route: str, k: int = 5, accuracy: int | None = None) -> DataFrame:
     """section, name, value: percentiles of the route's trace durations, its most frequent errors, its slowest traces."""
     rows = df.where(F.col("route_name") == route)
     traces = rows.groupBy("trace_id").agg(F.max("duration_ms").alias("ms")).where("ms is not null")
-    stats = traces.agg(F.percentile("ms", 0.5).alias("p50"), F.percentile("ms", 0.95).alias("p95"), F.max("ms").cast("double").alias("max"))
+    stats = traces.agg(_percentile("ms", 0.5, accuracy).alias("p50"), _percentile("ms", 0.95, accuracy).alias("p95"), F.max("ms").cast("double").alias("max"))
     parts = stats.select(F.inline(F.array(*[F.struct(F.lit("duration").alias("section"), F.lit(c).alias("name"), F.col(c).alias("value")) for c in ("p50", "p95", "max")])))
     errors = rows.where(F.col("level") >= ERROR).groupBy(F.col("message").alias("name")).agg(_n().cast("double").alias("value")).orderBy(F.desc("value"), "name").limit(k)
     slowest = traces.select(F.col("trace_id").alias("name"), F.col("ms").cast("double").alias("value")).orderBy(F.desc("value"), "name").limit(k)
@@ -155,12 +164,12 @@ def kind_coverage(df: DataFrame, expected: DataFrame, run_id: str | None = None)
     return expected.join(rows.select("event_kind").where("event_kind is not null").distinct(), "event_kind", "left_anti")
 
 
-def ingest_health(df: DataFrame, arrived: str = "arrived_at") -> DataFrame:
+def ingest_health(df: DataFrame, arrived: str = "arrived_at", accuracy: int | None = None) -> DataFrame:
     """One row: delay percentiles in seconds, rows and occurrences, rows without a trace, oldest row, rows per drop reason as total."""
     delay = (F.unix_micros(F.col(arrived).cast("timestamp")) - F.unix_micros(F.col("logged_at").cast("timestamp"))) / 1e6
     dropped = F.when(F.col("message").startswith("agent.dropped_rows: "), F.get_json_object("context", "$.total").cast("long"))
     return df.agg(
-        F.percentile(delay, 0.5).alias("delay_p50_s"), F.percentile(delay, 0.95).alias("delay_p95_s"), F.count(F.lit(1)).alias("rows"), _n().alias("occurrences"),
+        _percentile(delay, 0.5, accuracy).alias("delay_p50_s"), _percentile(delay, 0.95, accuracy).alias("delay_p95_s"), F.count(F.lit(1)).alias("rows"), _n().alias("occurrences"),
         F.count(F.when(F.col("trace_id").isNull(), 1)).alias("without_trace"), F.min("logged_at").alias("oldest"), F.coalesce(F.sum(dropped), F.lit(0).cast("long")).alias("dropped"),
     )
 

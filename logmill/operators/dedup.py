@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -37,22 +40,29 @@ def collapse(df: DataFrame, window: str = "span", order: Sequence[str] = ("logge
 
 
 def rate_cap_aligned(df: DataFrame, per_minute: int = 60, sample_s: int = 30, min_level: str = "warning", order: Sequence[str] = ("logged_at", "seq")) -> DataFrame:
-    """Clock-aligned rate cap on rows with a fingerprint: the first ``per_minute`` of a minute pass, then the first of each sample slot.
+    """Clock-aligned rate cap on rows with a fingerprint: the first ``per_minute`` (one at least) of a minute pass, then the first of each
+    sample slot.
 
-    What is held back is added up in ``suppressed_count`` of the next row that passes. Rows below ``min_level`` pass unmetered.
+    What is held back is added up in ``suppressed_count`` of the next row that passes. Rows below ``min_level`` pass unmetered. All is decided
+    within a minute of a fingerprint; between minutes only what the last one held back at its end goes on, a row a minute.
     """
     minute, slot = F.date_trunc("minute", "logged_at"), F.floor(F.unix_timestamp(F.col("logged_at").cast("timestamp")) / sample_s)
     metered = df.where(F.col("level") >= LEVELS[min_level])
     free = df.where(~F.coalesce(F.col("level") >= LEVELS[min_level], F.lit(False)))
     by = [F.col(c) for c in order]
-    rows = metered.withColumns({"_minute": minute, "_slot": slot}).withColumn("_n", F.row_number().over(W.partitionBy("fingerprint", "_minute").orderBy(*by)))
-    over = rows.withColumn("_k", F.row_number().over(W.partitionBy("fingerprint", "_minute", "_slot", F.col("_n") > per_minute).orderBy(*by)))
-    passes = (F.col("_n") <= per_minute) | (F.col("_k") == 1)
-    told = over.withColumn("_pass", passes)
-    group = F.sum(F.col("_pass").cast("int")).over(W.partitionBy("fingerprint").orderBy(*by).rowsBetween(W.unboundedPreceding, -1))
-    told = told.withColumn("_group", F.coalesce(group, F.lit(0)))
-    held = F.sum(F.when(~F.col("_pass"), 1).otherwise(0)).over(W.partitionBy("fingerprint", "_group"))
-    out = told.withColumn("suppressed_count", F.nullif(held.cast("long"), F.lit(0).cast("long"))).where("_pass").drop("_minute", "_slot", "_n", "_k", "_pass", "_group")
+    inside = W.partitionBy("fingerprint", "_minute")
+    rows = metered.withColumns({"_minute": minute, "_slot": slot}).withColumn("_n", F.row_number().over(inside.orderBy(*by)))
+    over = F.col("_n") > max(1, per_minute)
+    told = rows.withColumn("_pass", ~over | (F.row_number().over(W.partitionBy("fingerprint", "_minute", "_slot", over).orderBy(*by)) == 1))
+    told = told.withColumn("_group", F.coalesce(F.sum(F.col("_pass").cast("int")).over(inside.orderBy(*by).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    held = F.count(F.when(~F.col("_pass"), 1))
+    told = told.withColumns({"_held": held.over(W.partitionBy("fingerprint", "_minute", "_group")), "_passes": F.sum(F.col("_pass").cast("int")).over(inside)})
+    ends = told.groupBy(F.col("fingerprint").alias("_f"), F.col("_minute").alias("_m")).agg(F.count(F.when(~F.col("_pass") & (F.col("_group") == F.col("_passes")), 1)).alias("_rest"))
+    ends = ends.withColumn("_carried", F.lag("_rest").over(W.partitionBy("_f").orderBy("_m"))).where("_carried > 0").drop("_rest")
+    first = F.col("fingerprint").eqNullSafe(F.col("_f")) & F.col("_minute").eqNullSafe(F.col("_m")) & (F.col("_n") == 1)
+    out = told.where("_pass").join(ends, first, "left")
+    n = F.when(F.col("_n") == 1, F.coalesce("_carried", F.lit(0).cast("long"))).otherwise(F.col("_held"))
+    out = out.withColumn("suppressed_count", F.nullif(n, F.lit(0).cast("long"))).select(*[c for c in df.columns if c != "suppressed_count"], "suppressed_count")
     return out.unionByName(free.withColumn("suppressed_count", F.lit(None).cast("long")))
 
 
@@ -83,6 +93,20 @@ class RateCap:
         self.held = 0
         return True, taken
 
+    def admit_all(self, times: np.ndarray) -> np.ndarray:
+        """``admit`` for rising times: -1 for a row that is held back, else how many it stands for. Runs of held-back rows are passed over."""
+        out = np.full(len(times), -1, np.int64)
+        i = 0
+        while i < len(times):
+            ok, n = self.admit(times[i])
+            i += 1
+            if ok:
+                out[i - 1] = n
+            else:
+                end = i + int(np.searchsorted(times[i:], min(self.slot_end, self.hits_end, self.held_end)))
+                self.hits, self.held, i = self.hits + end - i, self.held + end - i, end
+        return out
+
 
 def rate_cap(df: DataFrame, per_minute: int = 60, sample_s: float = 30.0, min_level: str = "warning", order: Sequence[str] = ("logged_at", "seq")) -> DataFrame:
     """The exact cap on collapsed rows (with ``fingerprint``): a sequential machine per fingerprint, over rows sorted by Spark.
@@ -93,26 +117,40 @@ def rate_cap(df: DataFrame, per_minute: int = 60, sample_s: float = 30.0, min_le
     free = df.where(~F.coalesce(F.col("level") >= LEVELS[min_level], F.lit(False)))
     names = [c for c in df.columns if c != "suppressed_count"]
     seconds = F.unix_micros(F.col("logged_at").cast("timestamp"))
-    rows = metered.select(*names).withColumn("_us", seconds).repartition("fingerprint").sortWithinPartitions("fingerprint", *order)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in metered.select(*names).schema.fields)
+    rows = metered.select(*names).withColumn("_us", seconds)
+    capped = _walked(rows, "fingerprint", order, names, lambda: RateCap(per_minute, sample_s), lambda cap, times: cap.admit_all(times), "suppressed_count")
+    capped = capped.withColumn("suppressed_count", F.nullif("suppressed_count", F.lit(0).cast("long")))
+    return capped.unionByName(free.select(*names).withColumn("suppressed_count", F.lit(None).cast("long")))
 
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
 
-        last, cap = object(), RateCap(per_minute, sample_s)
+def _walked(rows: DataFrame, key: str, order: Sequence[str], names: Sequence[str], start: Callable[[], object], walk: Callable[[object, np.ndarray], np.ndarray], column: str | None) -> DataFrame:
+    """Rows that a sequential machine of each key takes, with its number as ``column``; a negative number is not taken.
+
+    Rows (with ``_us``, the time in microseconds; null counts as 0) stream sorted through their task in batches, and the machine takes a key's
+    times of a batch at once. A key is one sequence and so one task's work, but its rows are never held together.
+    """
+    sorted_rows = rows.select(*names, "_us").repartition(key).sortWithinPartitions(key, *order)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema.fields) + (f", `{column}` long" if column else "")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, machine = object(), start()
         for batch in batches:
-            keep, taken = [], []
-            for f, us in zip(batch.column("fingerprint").to_pylist(), batch.column("_us").to_pylist(), strict=True):
-                if f != last:
-                    last, cap = f, RateCap(per_minute, sample_s)
-                ok, n = cap.admit((us or 0) / 1e6)
-                keep.append(ok)
-                taken.append(n or None)
-            full = pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(taken, pa.int64())], names=[*names, "suppressed_count"])
-            yield full.filter(pa.array(keep))
-
-    capped = rows.mapInArrow(run, f"{kinds}, suppressed_count long")
-    return capped.unionByName(free.select(*names).withColumn("suppressed_count", F.lit(None).cast("long")))
+            if not batch.num_rows:
+                continue
+            coded = batch.column(key).dictionary_encode(null_encoding="encode")
+            number = coded.indices.to_numpy()
+            cuts = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(number)]
+            times = pc.fill_null(batch.column("_us"), 0).to_numpy() / 1e6
+            found = np.empty(len(number), np.int64)
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                k = coded.dictionary[int(number[a])].as_py()
+                if k != last:
+                    last, machine = k, start()
+                found[a:b] = walk(machine, times[a:b])
+            full = pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found)], names=[*names, "_found"]).filter(pa.array(found >= 0))
+            yield full.rename_columns([*names, column]) if column else full.select(list(names))
+
+    return sorted_rows.mapInArrow(run, kinds)
 
 
 def total_occurrences(df: DataFrame) -> DataFrame:
@@ -129,11 +167,14 @@ class _Debounce:
     def __init__(self, window_s: float):
         self.window_s, self.end = window_s, float("-inf")
 
-    def take(self, now: float) -> int | None:
-        if now < self.end:
-            return None
-        self.end = now + self.window_s
-        return 0
+    def take_all(self, times: np.ndarray) -> np.ndarray:
+        """0 for each row that passes, -1 for others; times rise."""
+        out = np.full(len(times), -1, np.int64)
+        i = int(np.searchsorted(times, self.end))
+        while i < len(times):
+            out[i], self.end = 0, times[i] + self.window_s
+            i += 1 + int(np.searchsorted(times[i + 1 :], self.end))
+        return out
 
 
 class CountOrTime:
@@ -150,33 +191,30 @@ class CountOrTime:
             self.n = 0
         return self.number
 
+    def take_all(self, times: np.ndarray) -> np.ndarray:
+        """``take`` for rising times, a window at a time."""
+        out, i = np.empty(len(times), np.int64), 0
+        while i < len(times):
+            if not self.n:
+                self.number, self.opened = self.number + 1, times[i]
+            room = max(1, self.max_count - self.n)
+            took = times[i : i + room]
+            closing = min(int(np.searchsorted(took - self.opened, self.max_s)), room - 1)  # the row that closes the window
+            end = i + min(closing + 1, len(took))
+            out[i:end] = self.number
+            self.n = 0 if closing < len(took) else self.n + len(took)
+            i = end
+        return out
+
 
 def count_or_time_windows(df: DataFrame, key: str, max_count: int = 20, max_ms: float = 2000, time: str = "logged_at", order: Sequence[str] = ("seq",)) -> DataFrame:
     """``window_no`` of each row within its key: a window closes at ``max_count`` rows or ``max_ms`` after its first one."""
     return _anchored(df, key, time, order, lambda: CountOrTime(max_count, max_ms), "window_no")
 
 
-def _anchored(df: DataFrame, key: str, time: str, order: Sequence[str], machine, column: str | None = None) -> DataFrame:
-    """Rows that a sequential machine of each key takes, with its number as ``column``. Rows stream sorted through their task."""
-    rows = df.withColumn("_us", F.unix_micros(F.col(time).cast("timestamp"))).repartition(F.col(key)).sortWithinPartitions(key, time, *order)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + (f", {column} long" if column else "")
-    names = df.columns
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        last, state = object(), machine()
-        for batch in batches:
-            found = []
-            for k, us in zip(batch.column(key).to_pylist(), batch.column("_us").to_pylist(), strict=True):
-                if k != last:
-                    last, state = k, machine()
-                found.append(state.take((us or 0) / 1e6))
-            out = [batch.column(c) for c in names]
-            full = pa.RecordBatch.from_arrays([*out, pa.array(found, pa.int64())], names=[*names, "_found"]).filter(pa.array([x is not None for x in found]))
-            yield full.rename_columns([*names, column]) if column else full.select(names)
-
-    return rows.mapInArrow(run, kinds)
+def _anchored(df: DataFrame, key: str, time: str, order: Sequence[str], machine: Callable[[], object], column: str | None = None) -> DataFrame:
+    rows = df.withColumn("_us", F.unix_micros(F.col(time).cast("timestamp")))
+    return _walked(rows, key, (time, *order), df.columns, machine, lambda m, times: m.take_all(times), column)
 
 
 def idempotent(df: DataFrame, id_col: str, order: Sequence[str] = ()) -> DataFrame:

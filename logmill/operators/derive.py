@@ -72,10 +72,11 @@ def group_uri_calls(df: DataFrame, calls: DataFrame, stored: int = 10) -> DataFr
     """
     label = F.when(F.col("method").isNull(), F.col("component")).otherwise(F.concat("component", F.lit("::"), "method"))
     call = F.struct("seq", "component", "method", limit_str("params", 256, "…").alias("params"))
-    spans = calls.groupBy(F.col("span_id").alias("_span")).agg(
-        F.coalesce(F.max_by(label, F.when(F.col("method").isNotNull(), F.col("seq"))), F.max_by(label, F.col("seq"))).alias("_label"),
-        F.slice(F.sort_array(F.collect_list(F.when(F.col("method").isNotNull(), call))), 1, stored).alias("calls"),
-    )
+    first = W.partitionBy("span_id").orderBy("seq", "component", "method", "params")
+    kept = calls.where("method is not null").withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= stored)
+    lists = kept.groupBy(F.col("span_id").alias("_s")).agg(F.sort_array(F.collect_list(call)).alias("calls"))  # ``stored`` at most
+    spans = calls.groupBy(F.col("span_id").alias("_span")).agg(F.coalesce(F.max_by(label, F.when(F.col("method").isNotNull(), F.col("seq"))), F.max_by(label, F.col("seq"))).alias("_label"))
+    spans = spans.join(lists, F.col("_span") == F.col("_s"), "left").select("_span", "_label", F.coalesce("calls", F.array().cast(lists.schema["calls"].dataType)).alias("calls"))
     out = df.join(spans, F.col("span_id") == F.col("_span"), "left")
     method = F.regexp_extract("uri", r"^(\S+) ", 1)
     return out.withColumns({
@@ -92,9 +93,8 @@ def group_uri_operations(df: DataFrame, operations: DataFrame, prefix: str = "/g
     """Rows of spans that ran operations, named by the first one. Operations whose first root field starts with ``__`` do not count."""
     known = operations.where(~F.coalesce(F.get("root_fields", F.lit(0)).startswith("__"), F.lit(False)))
     label = operation_label(F.col("type"), F.col("name"), F.col("root_fields"), fields)
-    spans = known.groupBy(F.col("span_id").alias("_span")).agg(
-        F.min_by(label, F.col("seq")).alias("_label"), F.slice(F.sort_array(F.collect_list(F.struct("seq", label.alias("label")))), 1, stored).alias("operations")
-    )
+    kept = known.select(F.col("span_id").alias("_span"), "seq", label.alias("label")).withColumn("_k", F.row_number().over(W.partitionBy("_span").orderBy("seq", "label")))
+    spans = kept.where(F.col("_k") <= stored).groupBy("_span").agg(F.min_by("label", "seq").alias("_label"), F.sort_array(F.collect_list(F.struct("seq", "label"))).alias("operations"))
     method = F.regexp_extract("uri", r"^(\S+) ", 1)
     return df.join(spans, F.col("span_id") == F.col("_span"), "left").withColumns({
         "uri": F.when(F.col("_label").isNotNull(), F.concat(method, F.lit(f" {prefix} — "), "_label")).otherwise(F.col("uri")),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..schema import LEVELS
+from ..scratch import scratch_path
 
 
 def search_by_field(df: DataFrame, field: str, value: object) -> DataFrame:
@@ -45,13 +46,16 @@ def _times(tokens: str, word: str):
 def search_text(df: DataFrame, query: str, id_col: str, text_col: str, k: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The ``k`` best rows by BM25: id, score. Words are lower-cased runs of letters and digits; ties go by id.
 
-    Only words of the query are exploded; document lengths and frequencies are counted in the same pass.
+    Texts are split once: length and frequency of each of the query's words go to a narrow table in the shared folder, and statistics and
+    scores come from that.
     """
     words = sorted({w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()})
     if not words:
         return df.select(id_col, F.lit(0.0).alias("score")).limit(0)
     tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
-    rows = df.select(id_col, tokens.alias("t")).select(id_col, F.size("t").alias("n"), *[_times("t", w).alias(f"f{i}") for i, w in enumerate(words)])
+    path = scratch_path(df.sparkSession, "words")
+    df.select(id_col, tokens.alias("t")).select(id_col, F.size("t").alias("n"), *[_times("t", w).alias(f"f{i}") for i, w in enumerate(words)]).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
     stats = rows.agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean"), *[F.count(F.when(F.col(f"f{i}") > 0, 1)).alias(f"d{i}") for i in range(len(words))])
     met = rows.where(reduce(lambda x, y: x | y, [F.col(f"f{i}") > 0 for i in range(len(words))])).join(F.broadcast(stats))  # one row
     part = lambda i: F.log(1 + (F.col("docs") - F.col(f"d{i}") + 0.5) / (F.col(f"d{i}") + 0.5)) * F.col(f"f{i}") * (k1 + 1) / (F.col(f"f{i}") + k1 * (1 - b + b * F.col("n") / F.col("mean")))

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import occurrences
 from ..schema import ERROR
+from ..scratch import scratch_path
 from .derive import classify_events
 from .redact import KEY_PATTERNS, MASK, mask_values, redact_json
 
@@ -41,9 +42,11 @@ def trace_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def trace_markdown(df: DataFrame, key_patterns: Sequence[str] = KEY_PATTERNS, value_regexes: Sequence[str] = ()) -> DataFrame:
+def trace_markdown(df: DataFrame, key_patterns: Sequence[str] = KEY_PATTERNS, value_regexes: Sequence[str] = (), part_entries: int | None = None) -> DataFrame:
     """trace_id, markdown: metadata, request input, entries, stack traces and measures of each trace, with all secrets masked.
 
+    With ``part_entries`` a trace that does not end is several rows of at most so many entries each, numbered by ``part`` from 0; without,
+    a trace is one text.
     JSON columns are masked by key and value, plain texts by value, and in urls the values of sensitive query parameters.
     """
     json_columns = [c for c in ("context", "extra", "request_input", "job_props") if c in df.columns]
@@ -60,10 +63,14 @@ def trace_markdown(df: DataFrame, key_patterns: Sequence[str] = KEY_PATTERNS, va
     if "stacktrace" in df.columns:
         line = F.concat(line, F.when(F.col("stacktrace").isNotNull(), F.concat(F.lit("\n```\n"), "stacktrace", F.lit("\n```"))).otherwise(F.lit("")))
     head = F.concat_ws("\n", F.concat(F.lit("# Trace "), F.col("trace_id")), F.concat(F.lit("uri: "), F.coalesce("_uri", F.lit(""))), F.concat(F.lit("user: "), F.coalesce("_user", F.lit(""))), F.concat(F.lit("entries: "), F.col("_n").cast("string")))
-    groups = clean.withColumn("_line", F.struct("logged_at", "seq", line.alias("line"))).groupBy("trace_id").agg(
+    keys = ["trace_id"]
+    if part_entries:
+        keys.append("part")
+        clean = clean.withColumn("part", F.floor((F.row_number().over(W.partitionBy("trace_id").orderBy("logged_at", "seq")) - 1) / part_entries).cast("long"))
+    groups = clean.withColumn("_line", F.struct("logged_at", "seq", line.alias("line"))).groupBy(*keys).agg(
         F.sort_array(F.collect_list("_line")).alias("_lines"), F.min_by("uri", F.struct("logged_at", "seq")).alias("_uri"), F.min_by("user_id", F.struct("logged_at", "seq")).alias("_user"), F.count(F.lit(1)).alias("_n")
     )
-    return groups.select("trace_id", F.concat(head, F.lit("\n\n"), F.array_join(F.transform("_lines", lambda x: x["line"]), "\n")).alias("markdown"))
+    return groups.select(*keys, F.concat(head, F.lit("\n\n"), F.array_join(F.transform("_lines", lambda x: x["line"]), "\n")).alias("markdown"))
 
 
 def span_edges(df: DataFrame) -> DataFrame:
@@ -77,8 +84,6 @@ def span_edges(df: DataFrame) -> DataFrame:
 def span_tree(df: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Spans with root, depth and path, by a join per level while a level has spans (``max_depth`` at most, if given); spans in a circle are in
     none, so the levels end. Each is written to the shared folder."""
-    from ..plans.scratch import scratch_path
-
     def written(rows: DataFrame, name: str) -> DataFrame:
         path = scratch_path(df.sparkSession, name)
         rows.write.parquet(path)

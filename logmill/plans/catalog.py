@@ -15,10 +15,10 @@ from ..operators import filters as L
 from ..operators import redact as R
 from ..operators import search as Q
 from ..operators import traces as T
-from ..sources import batch_by_count, chunk_by_bytes, format_lines, parse_lines, read_log_stream, read_logs_jsonl, read_payloads, retain_newest, write_logs_jsonl, write_payloads
+from ..sources import batch_by_count, chunk_by_bytes, format_lines, parse_lines, read_log_stream, read_logs_jsonl, read_payloads, retain_newest, write_logs_jsonl, write_logs_parquet, write_payloads
 from ..streaming import stream_collapse, stream_count_or_time, stream_debounce, stream_n_plus_one, stream_pipeline, stream_rate_cap, write_with_reports
+from ..scratch import drained, scratch_path
 from . import views as V
-from .scratch import drained, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -66,16 +66,36 @@ def s3_log_stream(spark, d):
     return drained(read_log_stream(spark, path, 2, _ROW))
 
 
+@register(V.duck("logs") + "SELECT seq, message, logged_at FROM logs WHERE logged_at >= timestamp '2024-01-10' AND logged_at < timestamp '2024-01-12'")
+def s4_parquet_by_day(spark, d):
+    path = scratch_path(spark, "by_day")
+    write_logs_parquet(V.logs(spark, d).select("seq", "message", "logged_at"), path)
+    return spark.read.parquet(path).where("logged_on between date '2024-01-10' and date '2024-01-11'").select("seq", "message", "logged_at")
+
+
 @register(V.duck("logs") + "SELECT seq, (row_number() OVER (ORDER BY logged_at, seq) - 1) // 256 AS batch_no FROM logs")
 def s5_batch_by_count(spark, d):
     return batch_by_count(V.logs(spark, d).select("logged_at", "seq"), ["logged_at", "seq"]).select("seq", "batch_no")
 
 
-@register()
+@register(V.duck("logs", recursive=True) + """, x AS (SELECT *, row_number() OVER (PARTITION BY app_env ORDER BY seq) AS k, sum(octet_length(encode(to_json(struct_pack(seq, trace_id, app_env, message, context))::varchar))) OVER (PARTITION BY app_env ORDER BY seq) AS s
+        FROM (SELECT seq, trace_id, app_env, message, context FROM logs)),
+    c AS (SELECT app_env, 0::bigint AS chunk_no, 1::bigint AS a, max(k) AS b FROM x WHERE s <= 65536 OR k = 1 GROUP BY 1
+        UNION ALL SELECT c.app_env, c.chunk_no + 1, c.b + 1, max(x.k) FROM c JOIN x p ON p.app_env = c.app_env AND p.k = c.b JOIN x ON x.app_env = c.app_env AND x.k > c.b AND (x.s - p.s <= 65536 OR x.k = c.b + 1) GROUP BY c.app_env, c.chunk_no, c.b)
+    SELECT seq, trace_id, x.app_env AS app_env, message, context, x.app_env AS chunk_key, chunk_no FROM x JOIN c ON c.app_env = x.app_env AND x.k BETWEEN c.a AND c.b""")
 def s6_chunk_by_bytes(spark, d):
     return chunk_by_bytes(V.logs(spark, d).select("seq", "trace_id", "app_env", "message", "context"), 65_536, "app_env", ["seq"])
 
 
+@register(V.duck("logs") + "SELECT count(*) AS n, min(seq) AS first, max(seq) AS last, arg_max(message, seq) AS last_message FROM logs GROUP BY user_id, seq % 2")
+def s7_write_payloads(spark, d):
+    path = scratch_path(spark, "documents")
+    rows = V.logs(spark, d).select("seq", "message", F.col("user_id").alias("chunk_key"), (F.col("seq") % 2).alias("chunk_no"))
+    write_payloads(rows, path, ["seq"])
+    logs = F.from_json("value", "logs array<struct<seq: long, message: string>>")["logs"]
+    return spark.read.text(path).select(F.size(logs).cast("long").alias("n"), logs[0]["seq"].alias("first"), F.element_at(logs, -1)["seq"].alias("last"), F.element_at(logs, -1)["message"].alias("last_message"))
+
+
 @register(V.duck("logs") + "SELECT seq, logged_at FROM logs ORDER BY logged_at DESC, seq DESC LIMIT 5000")
 def s8_retain_newest(spark, d):
     return retain_newest(V.logs(spark, d).select("seq", "logged_at"))
@@ -410,7 +430,19 @@ def d3_rate_cap_aligned(spark, d):
     return D.rate_cap_aligned(rows, 3, 30).select("seq", "suppressed_count")
 
 
-@register()
+def _machine(rows: str, per_minute: int, sample_us: int) -> str:
+    """The cap row by row, as a recursion over the rows (fingerprint, seq, us) of each fingerprint."""
+    return f"""x AS (SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY us, seq) AS k FROM {rows}),
+    m AS (SELECT fingerprint, 0::bigint AS k, 0::bigint AS seq, 0::bigint AS hits, 0::bigint AS hits_end, 0::bigint AS slot_end, 0::bigint AS held, 0::bigint AS held_end, false AS pass, 0::bigint AS told FROM x WHERE k = 1
+        UNION ALL SELECT fingerprint, k, seq, h, he, CASE WHEN h > {per_minute} AND NOT back THEN us + {sample_us} ELSE slot_end END, CASE WHEN NOT back THEN 0 WHEN us >= held_end THEN 1 ELSE held + 1 END,
+            CASE WHEN back AND us >= held_end THEN us + 900000000 ELSE held_end END, NOT back, CASE WHEN us < held_end THEN held ELSE 0 END
+        FROM (SELECT *, h > {per_minute} AND us < slot_end AS back FROM (SELECT x.fingerprint, x.k, x.seq, x.us, m.slot_end, m.held, m.held_end,
+            CASE WHEN x.us >= m.hits_end THEN 1 ELSE m.hits + 1 END AS h, CASE WHEN x.us >= m.hits_end THEN x.us + 60000000 ELSE m.hits_end END AS he FROM m JOIN x ON x.fingerprint = m.fingerprint AND x.k = m.k + 1)))
+    """
+
+
+@register(V.duck("logs", "storm", recursive=True) + ", " + _COLLAPSED + ", u AS (SELECT fingerprint, seq, epoch_us(logged_at) // 1440 AS us FROM collapsed WHERE level >= 300), " + _machine("u", 1, 30_000_000)
+          + "SELECT seq, nullif(told, 0) AS suppressed_count FROM m WHERE pass UNION ALL SELECT seq, NULL FROM collapsed WHERE level < 300")
 def d4_rate_cap(spark, d):
     return D.rate_cap(_minutes(spark, d), 1, 30.0).select("seq", "suppressed_count")
 
@@ -420,12 +452,20 @@ def d5_occurrences(spark, d):
     return D.total_occurrences(V.logs(spark, d))
 
 
-@register()
+_DEBOUNCED = V.duck("logs", recursive=True) + """, p AS (SELECT user_id, arg_min(seq, (logged_at, seq)) AS seq, min(logged_at) AS t FROM logs GROUP BY 1
+    UNION ALL SELECT l.user_id, arg_min(l.seq, (l.logged_at, l.seq)), min(l.logged_at) FROM p JOIN logs l ON l.user_id = p.user_id AND l.logged_at >= p.t + interval 86400 second GROUP BY 1) """
+_WINDOWS = V.duck("logs", recursive=True) + """, x AS (SELECT seq, user_id, logged_at, row_number() OVER (PARTITION BY user_id ORDER BY logged_at, seq) AS k FROM logs),
+    e AS (SELECT x.user_id, x.k, coalesce(least(x.k + 4, min(y.k)), x.k + 4) AS b FROM x LEFT JOIN x y ON y.user_id = x.user_id AND y.k > x.k AND y.k < x.k + 5 AND y.logged_at >= x.logged_at + interval 86400 second GROUP BY 1, 2),
+    w AS (SELECT user_id, k AS a, b, 1::bigint AS window_no FROM e WHERE k = 1 UNION ALL SELECT e.user_id, e.k, e.b, w.window_no + 1 FROM w JOIN e ON e.user_id = w.user_id AND e.k = w.b + 1)
+    SELECT x.seq, x.user_id, x.logged_at, w.window_no FROM x JOIN w ON w.user_id = x.user_id AND x.k BETWEEN w.a AND w.b"""
+
+
+@register(_DEBOUNCED + "SELECT seq, user_id FROM p")
 def d6_debounce(spark, d):
     return D.debounce(V.logs(spark, d), "user_id", 86_400).select("seq", "user_id")
 
 
-@register()
+@register(_WINDOWS)
 def d7_count_or_time_windows(spark, d):
     return D.count_or_time_windows(V.logs(spark, d).select("seq", "user_id", "logged_at"), "user_id", 5, 86_400_000)
 
@@ -571,7 +611,9 @@ def t2_trace_summary(spark, d):
     return T.trace_summary(V.logs(spark, d))
 
 
-@register()
+@register(V.duck("logs") + f"""SELECT trace_id, concat('# Trace ', trace_id, chr(10), 'uri: ', arg_min(uri, (logged_at, seq)), chr(10), 'user: ', arg_min(user_id, (logged_at, seq)), chr(10), 'entries: ', count(*), chr(10), chr(10),
+    string_agg(concat('- ', strftime(logged_at, '%Y-%m-%d %H:%M:%S.%g'), ' **', {LEVEL}, '** ', message, chr(10) || '  - context: ' || context, chr(10) || '```' || chr(10) || stacktrace || chr(10) || '```'), chr(10) ORDER BY logged_at, seq)) AS markdown
+    FROM logs GROUP BY 1""")
 def t3_trace_markdown(spark, d):
     return T.trace_markdown(V.logs(spark, d).withColumn("level_name", X.level_name("level")))
 
@@ -664,27 +706,27 @@ _BM25 = """r AS (SELECT doc_id, len(t) AS n, len(list_filter(t, lambda x: x = 'i
     b AS (SELECT doc_id, ln(1 + (docs - d0 + 0.5) / (d0 + 0.5)) * f0 * 2.2 / (f0 + 1.2 * (0.25 + 0.75 * n / mean)) + ln(1 + (docs - d1 + 0.5) / (d1 + 0.5)) * f1 * 2.2 / (f1 + 1.2 * (0.25 + 0.75 * n / mean)) AS score FROM r, s WHERE f0 > 0 OR f1 > 0)"""
 
 
-@register("WITH " + _BM25 + " SELECT doc_id FROM b ORDER BY score DESC, doc_id LIMIT 10")
+@register("WITH " + _BM25 + " SELECT doc_id, round(score, 6) AS score FROM b ORDER BY b.score DESC, doc_id LIMIT 10")
 def q4_search_text(spark, d):
-    return Q.search_text(V.table(spark, d, "documents"), "The idiot", "doc_id", "text").select("doc_id")
+    return Q.search_text(V.table(spark, d, "documents"), "The idiot", "doc_id", "text").select("doc_id", F.round("score", 6).alias("score"))
 
 
 _VECTOR = [((i * 37) % 11 - 5) / 7 for i in range(64)]
 _COSINE = f"c AS (SELECT vec_id, list_cosine_similarity(embedding::double[], {_VECTOR}::double[]) AS score FROM embeddings)"
 
 
-@register("WITH " + _COSINE + " SELECT vec_id FROM c ORDER BY score DESC, vec_id LIMIT 10")
+@register("WITH " + _COSINE + " SELECT vec_id, round(score, 6) AS score FROM c ORDER BY c.score DESC, vec_id LIMIT 10")
 def q5_search_semantic(spark, d):
-    return Q.search_semantic(V.table(spark, d, "embeddings"), _VECTOR).select("vec_id")
+    return Q.search_semantic(V.table(spark, d, "embeddings"), _VECTOR).select("vec_id", F.round("score", 6).alias("score"))
 
 
 @register("WITH " + _BM25 + ", " + _COSINE + """, l AS (SELECT doc_id AS id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM b QUALIFY r <= 50), v AS (SELECT vec_id AS id, row_number() OVER (ORDER BY score DESC, vec_id) AS r FROM c QUALIFY r <= 50),
     h AS (SELECT id, coalesce(1.0::double / (60 + l.r), 0) + coalesce(1.0::double / (60 + v.r), 0) AS score, CASE WHEN l.r IS NULL THEN 'semantic' WHEN v.r IS NULL THEN 'lexical' ELSE 'both' END AS source FROM l FULL JOIN v USING (id))
-    SELECT id, source FROM h ORDER BY score DESC, id LIMIT 10""")
+    SELECT id, source, round(score, 6) AS score FROM h ORDER BY h.score DESC, id LIMIT 10""")
 def q6_search_hybrid(spark, d):
     lexical = Q.search_text(V.table(spark, d, "documents").withColumnRenamed("doc_id", "id"), "The idiot", "id", "text", 50)
     semantic = Q.search_semantic(V.table(spark, d, "embeddings").withColumnRenamed("vec_id", "id"), _VECTOR, "id", k=50)
-    return Q.search_hybrid(lexical, semantic, "id").select("id", "source")
+    return Q.search_hybrid(lexical, semantic, "id").select("id", "source", F.round("score", 6).alias("score"))
 
 
 # ---- Streams: the tables as a stream, drained once; results are read back from the sink ----
@@ -701,7 +743,7 @@ def w2_stream_collapse(spark, d):
     return drained(stream_collapse(V.storm_of(V.logs_stream(spark, d)), "2 days", "1 minute")).select("fingerprint", "seq", "count")
 
 
-@register()
+@register(V.duck("logs", "storm", recursive=True) + f", u AS (SELECT {FP} AS fingerprint, seq, epoch_us(logged_at) AS us FROM storm WHERE level >= 300), " + _machine("u", 1, 86_400_000_000) + "SELECT seq, nullif(told, 0) AS suppressed_count FROM m WHERE pass")
 def w3_stream_rate_cap(spark, d):
     from ..operators.dedup import fingerprint
 
@@ -709,14 +751,16 @@ def w3_stream_rate_cap(spark, d):
     return drained(stream_rate_cap(rows, 1, 86_400)).select("seq", "suppressed_count")
 
 
-@register()
+@register(_DEBOUNCED + "SELECT seq, t AS logged_at, user_id FROM p")
 def w4_stream_debounce(spark, d):
-    return drained(stream_debounce(V.logs_stream(spark, d).select("seq", "logged_at", "user_id"), "user_id", 86_400))
+    out = drained(stream_debounce(V.logs_stream(spark, d).select("seq", "logged_at", "user_id"), "user_id", 86_400))
+    return out.withColumn("logged_at", F.col("logged_at").cast("timestamp_ntz"))
 
 
-@register()
+@register(_WINDOWS)
 def w5_stream_count_or_time(spark, d):
-    return drained(stream_count_or_time(V.logs_stream(spark, d).select("seq", "logged_at", "user_id"), "user_id", 5, 86_400_000))
+    out = drained(stream_count_or_time(V.logs_stream(spark, d).select("seq", "logged_at", "user_id"), "user_id", 5, 86_400_000))
+    return out.withColumn("logged_at", F.col("logged_at").cast("timestamp_ntz"))
 
 
 @register(V.duck("statements") + f"SELECT trace_id, {NORMAL} AS statement, 5::bigint AS duplicate_count FROM statements GROUP BY 1, 2 HAVING count(*) >= 5")
@@ -724,11 +768,30 @@ def w6_stream_n_plus_one(spark, d):
     return drained(stream_n_plus_one(V.statements_stream(spark, d))).select("trace_id", "statement", "duplicate_count")
 
 
-@register(V.duck("logs") + """SELECT seq, level, message FROM logs WHERE logged_at >= timestamp '2024-01-20'
-    UNION ALL SELECT NULL, 300, concat('agent.dropped_rows: ', count(*), ' log rows were dropped client-side during an ingest outage') FROM logs WHERE logged_at < timestamp '2024-01-20'""")
+_LATE = V.duck("logs") + """SELECT seq, level, message FROM logs WHERE logged_at >= timestamp '2024-01-20'
+    UNION ALL SELECT NULL, 300, concat('agent.dropped_rows: ', count(*), ' log rows were dropped client-side during an ingest outage') FROM logs WHERE logged_at < timestamp '2024-01-20'"""
+
+
+@register(_LATE)
 def w7_stream_late_reports(spark, d):
     path = scratch_path(spark, "late")
     rows = V.logs_stream(spark, d).select("seq", "logged_at", "level", "message")
     query = write_with_reports(rows, path, scratch_path(spark, "offsets"), lambda: "2024-01-30 00:00:00", 864_000).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.option("basePath", path).parquet(path).select("seq", "level", "message")
+
+
+@register(_LATE)
+def w8_replay(spark, d):
+    """The last batch is delivered but not noted as done, as if its process had ended then, and is run again; a report callback always fails."""
+    path, checkpoint = scratch_path(spark, "late"), scratch_path(spark, "offsets")
+    rows = V.logs_stream(spark, d).select("seq", "logged_at", "level", "message")
+
+    def broken(_: DataFrame) -> None:
+        raise ValueError("no one listens")
+
+    for _ in range(2):
+        write_with_reports(rows, path, checkpoint, lambda: "2024-01-30 00:00:00", 864_000, on_report=broken).trigger(availableNow=True).start().awaitTermination()
+        noted = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+        noted.getFileSystem(spark._jsc.hadoopConfiguration()).delete(noted, True)
+    return spark.read.option("basePath", path).parquet(path).select("seq", "level", "message")

@@ -99,6 +99,6 @@ DUCK = {
 }
 
 
-def duck(*views: str) -> str:
+def duck(*views: str, recursive: bool = False) -> str:
     """WITH clause of views in DuckDB SQL."""
-    return "WITH " + ",\n".join(DUCK[v] for v in views) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(DUCK[v] for v in views) + "\n"

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names for driver and executors; only where it is unset, a temporary folder."""
+    """A new path in the folder that ``spark.checkpoint.dir`` names for driver and executors; where it is unset and all is local, a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-logmill-")
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"

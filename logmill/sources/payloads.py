@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..schema import LOG_SCHEMA
+from ..scratch import scratch_path
 
 
 def read_payloads(spark: SparkSession, path: str, schema: str = LOG_SCHEMA, whole: bool = False) -> DataFrame:
@@ -24,9 +26,12 @@ def read_payloads(spark: SparkSession, path: str, schema: str = LOG_SCHEMA, whol
 def batch_by_count(df: DataFrame, order: list[str], n: int = 256) -> DataFrame:
     """``batch_no``: rows in the total order of ``order``, ``n`` to a batch.
 
-    Rows are dealt to ranges of the order and numbered inside each; ranges meet only with their sizes, one row a range.
+    Rows are dealt to ranges of the order once and written with their range, numbered inside each; ranges meet only with their sizes, one
+    row a range.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    path = scratch_path(df.sparkSession, "ranges")
+    df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
     numbered = ranged.withColumn("_k", F.row_number().over(W.partitionBy("_range").orderBy(*order)))
     sizes = numbered.groupBy("_range").agg(F.max("_k").alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
@@ -50,15 +55,26 @@ def chunk_by_bytes(df: DataFrame, max_bytes: int = 524_288, key: str | None = No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, chunk, size = object(), 0, 0
         for batch in batches:
-            numbers = []
-            for k, n in zip(batch.column("_key").to_pylist(), batch.column("_bytes").to_pylist(), strict=True):
+            if not batch.num_rows:
+                continue
+            coded = batch.column("_key").dictionary_encode(null_encoding="encode")
+            of, numbers = coded.indices.to_numpy(), np.empty(batch.num_rows, np.int64)
+            sums = np.concatenate([[0], np.cumsum(batch.column("_bytes").to_numpy())])
+            cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            for i, stop in zip(cuts, cuts[1:], strict=False):
+                k = coded.dictionary[int(of[i])].as_py()
                 if k != last:
                     last, chunk, size = k, 0, 0
-                if size and size + n > max_bytes:
-                    chunk, size = chunk + 1, 0
-                size += n
-                numbers.append(chunk)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), batch.column("_key"), pa.array(numbers, pa.int64())], names=[*names, "chunk_key", "chunk_no"])
+                while i < stop:  # a chunk at a time
+                    end = min(stop, int(np.searchsorted(sums, sums[i] + max_bytes - size, "right")) - 1)
+                    if end <= i:
+                        if size:
+                            chunk, size = chunk + 1, 0
+                            continue
+                        end = i + 1
+                    numbers[i:end] = chunk
+                    size, i = size + int(sums[end] - sums[i]), end
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), batch.column("_key"), pa.array(numbers)], names=[*names, "chunk_key", "chunk_no"])
 
     return sized.mapInArrow(run, kinds)
 

@@ -1,8 +1,9 @@
 """Structured Streaming forms. Stateless operators run on streams as they are; the sequential ones keep a few numbers per key in the state store.
 
 Event times are timestamps; cast TIMESTAMP_NTZ columns first. Within a micro-batch the rows of a key are sorted by time before the machine
-sees them; across batches they are taken as they arrive. States go by event time, behind the watermark; rows that are later than it are
-dropped by Spark, so report them first with ``write_with_reports``.
+sees them, so a key's rows of one micro-batch are held: bound it with ``maxFilesPerTrigger`` or the like. Across batches they are taken as
+they arrive. States go by event time, behind the watermark; rows that are later than it are dropped by Spark, so report them first with
+``write_with_reports``.
 """
 
 from __future__ import annotations
@@ -43,38 +44,49 @@ def stream_collapse(stream: DataFrame, window: str = "2 seconds", watermark: str
 def _sequential(stream: DataFrame, key: str, columns: str, start: Callable[[str | None], object], save: Callable[[object], str], take: Callable[[object, float], dict | None], idle_s: float, order: Sequence[str] = ("logged_at", "seq"), watermark: str = "1 minute") -> DataFrame:
     """Rows that a machine of each key takes, with the columns it adds; its state is one JSON text that goes ``idle_s`` seconds of event time after its last row."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields) + f", {columns}"
-    names = [c.split()[0] for c in columns.split(", ")]
+    kinds = dict(c.split() for c in columns.split(", "))
+    names = list(kinds)
 
     def run(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(list(order), kind="stable")
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        by = pd.concat([b[list(order)] for b in frames], ignore_index=True).sort_values(list(order), kind="stable")
         machine = start(state.get[0] if state.exists else None)
-        added, keep = [], []
-        for t in rows["logged_at"]:
-            found = take(machine, t.timestamp() if pd.notna(t) else 0.0)
-            keep.append(found is not None)
-            added.append(found or dict.fromkeys(names))
+        found: list[dict | None] = [None] * len(by)
+        for i, t in zip(by.index, by["logged_at"], strict=True):
+            found[i] = take(machine, t.timestamp() if pd.notna(t) else 0.0)
         state.update((save(machine),))
-        last = rows["logged_at"].max()
+        last = by["logged_at"].max()
         end = (last.timestamp() if pd.notna(last) else 0.0) + idle_s
         state.setTimeoutTimestamp(max(int(end * 1000), state.getCurrentWatermarkMs() + 1))
-        more = pd.DataFrame(added, index=rows.index, columns=names)
-        yield pd.concat([rows, more], axis=1)[keep]
+        at = 0
+        for rows in frames:
+            here, at = found[at : at + len(rows)], at + len(rows)
+            keep = [x is not None for x in here]
+            kept = rows[keep].reset_index(drop=True)
+            if len(kept):
+                taken = [x for x in here if x is not None]
+                yield kept.assign(**{n: pd.Series([x[n] for x in taken], dtype="boolean" if kinds[n] == "boolean" else "Int64") for n in names})
 
     timed = stream.withWatermark("logged_at", watermark)
     return timed.groupBy(key).applyInPandasWithState(run, schema, "machine string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_rate_cap(stream: DataFrame, per_minute: int = 60, sample_s: float = 30.0) -> DataFrame:
-    """The sequential cap on a stream with ``fingerprint``; state goes after 900 s, the longest life of any of its parts."""
+    """The sequential cap on a stream with ``fingerprint``; ``suppressed_count`` is null where none was held back.
+
+    The counter lives 60 s, the tally 900 s and a sample slot ``sample_s``; the state goes once all three are over.
+    """
 
     def take(cap: RateCap, now: float) -> dict | None:
         ok, n = cap.admit(now)
-        return {"suppressed_count": n} if ok else None
+        return {"suppressed_count": n or None} if ok else None
 
-    return _sequential(stream.drop("suppressed_count"), "fingerprint", "suppressed_count long", lambda s: RateCap(per_minute, sample_s, tuple(json.loads(s)) if s else None), lambda c: json.dumps(c.state()), take, 900)
+    return _sequential(stream.drop("suppressed_count"), "fingerprint", "suppressed_count long", lambda s: RateCap(per_minute, sample_s, tuple(json.loads(s)) if s else None), lambda c: json.dumps(c.state()), take, max(60.0, 900.0, sample_s))
 
 
 def stream_debounce(stream: DataFrame, key: str, window_s: float = 10) -> DataFrame:

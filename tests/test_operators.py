@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -203,3 +204,41 @@ def test_rate_cap_keeps_every_occurrence(times, per_minute, sample_s):
         passed += ok
         told += n
     assert passed + told + cap.held == len(times)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 3000), max_size=60), st.integers(1, 4), st.integers(1, 1200), st.lists(st.integers(0, 60), max_size=3))
+def test_machines_take_many_rows_as_they_take_one(times, count, seconds, cuts):
+    """All machines over whole runs of times, cut anywhere, against the rows one by one."""
+    times = np.array(sorted(times), float)
+    parts = np.split(times, sorted(min(c, len(times)) for c in cuts))
+    one, many = dedup.RateCap(count, seconds), dedup.RateCap(count, seconds)
+    want = [n if ok else -1 for ok, n in (one.admit(t) for t in times)]
+    assert np.concatenate([many.admit_all(p) for p in parts]).tolist() == want and one.state() == many.state()
+    one, many = dedup.CountOrTime(count, seconds * 1000), dedup.CountOrTime(count, seconds * 1000)
+    assert np.concatenate([many.take_all(p) for p in parts]).tolist() == [one.take(t) for t in times]
+    end, want = float("-inf"), []
+    for t in times:
+        want.append(0 if t >= end else -1)
+        end = t + seconds if t >= end else end
+    machine = dedup._Debounce(seconds)
+    assert np.concatenate([machine.take_all(p) for p in parts]).tolist() == want
+
+
+def test_deep_and_plain_json_stays(spark):
+    deep = "[" * 5000 + '"password"' + "]" * 5000
+    texts = [deep, '{"k": 1,  "x": [1.0]}', '{"pass\\u0077ord": "p1"}', '{"Token": "t"}', "no json, a token", None]
+    got = [r.c for r in redact.redact_json(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, c string"), ["c"]).orderBy("i").collect()]
+    assert got == [deep, texts[1], '{"password":"********"}', '{"Token":"********"}', texts[4], None]
+
+
+def test_approximate_percentiles(spark):
+    df = spark.range(1000).selectExpr("cast(id as string) as trace_id", "id as duration_ms", "'r' as route_name", "100 as level", "'m' as message", "1 as count", "0 as suppressed_count")
+    stats = {r["name"]: r["value"] for r in analytics.analyze_route_performance(df, "r", accuracy=10_000).where("section = 'duration'").collect()}
+    assert abs(stats["p50"] - 500) <= 1 and abs(stats["p95"] - 950) <= 1 and stats["max"] == 999
+
+
+def test_traces_in_parts(spark):
+    df = spark.createDataFrame([("t", i, T0, "INFO", f"m{i}", "u") for i in range(5)], "trace_id string, seq int, logged_at timestamp, level_name string, message string, user_id string").withColumn("uri", F.lit("GET /x"))
+    parts = {r.part: r.markdown for r in traces.trace_markdown(df, part_entries=2).collect()}
+    assert sorted(parts) == [0, 1, 2] and "m2" in parts[1] and "m3" in parts[1] and "m4" not in parts[1]
