@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -14,8 +15,10 @@ from .fuzzy_hash import compare_with_edits
 from .lm import score_texts
 from .near_dedup import near_classes
 from .packing import pack_documents
+from .periods import periodic_runs, strongest
 from .suffix_dedup import repeat_report
 from .token_counts import count_tokens
+from .top_k import top_k_products
 from .toxicity import toxicity
 from .warc import archive_and_read_back
 
@@ -69,6 +72,31 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_products(_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20, scale=64.0)
+
+
+def made_periodic(doc_id: object, words: list[str]) -> list[str]:
+    """The words of a document; of every tenth one by a hash of its id, those from some word on repeat with a period."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_table(spark, sf_dir, "documents"), edit=made_periodic).withColumn("best", strongest())
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
@@ -80,6 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_lm_scores": op10_lm_scores,
+    "op12_top_k": op12_top_k,
+    "op13_periods": op13_periods,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -103,4 +133,16 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER (PARTITION BY text_sha256) AS kept,
                text_sha256
         FROM t""",
+    "op12_top_k": """
+        WITH v AS (
+          SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS q
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+          SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+          FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
+        r AS (
+          SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+          FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
 }
