@@ -215,8 +215,8 @@ def specials(path: str) -> Specials:
 
 
 @lru_cache(4)
-def library(path: str):
-    """The tokenizer of a .json file in the tokenizers library, for one thread."""
+def library(path: str, plain: bool = False):
+    """The tokenizer of a .json file in the tokenizers library, for one thread; with ``plain`` the strings of special tokens are ordinary text."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -225,6 +225,7 @@ def library(path: str):
     found = Tokenizer.from_file(path)
     found.no_truncation()
     found.no_padding()
+    found.encode_special_tokens = plain
     return found
 
 
@@ -232,8 +233,9 @@ LONG_RUN = 10_000  # characters of white space in a row
 
 
 @lru_cache(4)
-def fast_encoder(path: str):
-    """text -> ids of the byte-level BPE in ``path``, equal to the tokenizers library's, computed by tiktoken from the same file.
+def fast_encoder(path: str, plain: bool = False):
+    """text -> ids of the byte-level BPE in ``path``, equal to the tokenizers library's, computed by tiktoken from the same file. With ``plain``
+    the strings of special tokens are ordinary text.
 
     tiktoken takes ids as merge ranks; that holds if the merges of the file stand in the order of their products' ids, which is checked
     here. Texts with runs of white space that its pattern cannot take, and any on which it gives up, go to the tokenizers library.
@@ -249,20 +251,20 @@ def fast_encoder(path: str):
     made = [model["vocab"][a + b] for a, b in pairs]
     if made != sorted(made):
         raise ValueError(f"{path}: merges are not in the order of ids")
-    extra = specials(path).ids
+    extra = {} if plain else specials(path).ids
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=extra)
     names = set(extra)
     long_run = re.compile(rf"\s{{{LONG_RUN}}}").search
 
     def encode(text: str) -> list[int]:
         if len(text) >= LONG_RUN and long_run(text):
-            return library(path).encode(text, add_special_tokens=False).ids
+            return library(path, plain).encode(text, add_special_tokens=False).ids
         try:
             return encoding.encode(text, allowed_special=names, disallowed_special=()) if any(s in text for s in names) else encoding.encode_ordinary(text)
         except BaseException as e:
             if type(e).__name__ != "PanicException":  # of its native code; no subclass of Exception
                 raise
-            return library(path).encode(text, add_special_tokens=False).ids
+            return library(path, plain).encode(text, add_special_tokens=False).ids
 
     return encode
 

@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .align import align_tokens
 from .codec import encode_and_decode
 from .exact_dedup import exact_groups
 from .fuzzy_hash import compare_with_edits
@@ -72,6 +73,11 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_products(_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20, scale=64.0)
 
@@ -108,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_lm_scores": op10_lm_scores,
+    "op11_alignment": op11_alignment,
     "op12_top_k": op12_top_k,
     "op13_periods": op13_periods,
 }
