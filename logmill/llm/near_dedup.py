@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .bpe import code_points, mixed, word_hashes
 from .common import dropped, fresh, joined, scratch_path, slices, text_or_empty, written
@@ -37,6 +38,7 @@ WEAK, STRONG = 0.5, 0.83  # estimated similarity: a star keeps links from WEAK o
 STAR_ROUNDS = 3
 FEW = 1_000_000  # ids that may be broadcast
 LARGEST, LARGEST_BYTES = 50_000, 64 << 20  # texts, and bytes of their sets, of a component that one task takes
+PIVOTS = 32  # texts of a larger component that all others are compared with in a round
 HOT = 1000  # a bucket with over one in so many rows is hot; there are at most as many
 
 
@@ -245,15 +247,18 @@ def candidate_links(texts: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame) -> DataFrame:
-    """key, hashes, weights (both binary) for every row of ``docs`` (column text) that has words."""
+    """key, hashes, weights (both binary) for every text of ``docs`` (column text) that has words; copies within a task give one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[bytes] = set()  # keys of the texts that the task has sent
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in slices(texts):
                 text, hashes, weight, keys = shingles(texts[a:b])
                 cuts = np.searchsorted(text, np.arange(b - a + 1))
-                rows = [(keys[i], hashes[cuts[i] : cuts[i + 1]].tobytes(), weight[cuts[i] : cuts[i + 1]].astype(np.uint32).tobytes()) for i in range(b - a) if keys[i]]
+                new = [i for i in {k: i for i, k in enumerate(keys) if k and k not in done}.values()]
+                done.update(keys[i] for i in new)
+                rows = [(keys[i], hashes[cuts[i] : cuts[i + 1]].tobytes(), weight[cuts[i] : cuts[i + 1]].astype(np.uint32).tobytes()) for i in new]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in range(3)], names=["key", "hashes", "weights"])
 
     return docs.select("text").mapInArrow(run, "key binary, hashes binary, weights binary")
@@ -267,24 +272,62 @@ def _search(table: pa.Table) -> pa.Table:
     return pa.table({"a": rid[links[:, 0]], "b": rid[links[:, 1]]})
 
 
-def _to_pivots(members: DataFrame, pivots: DataFrame, salts: int = 64) -> DataFrame:
-    """``members`` (rid, component, hashes, weights) with ``far``: 1 minus the similarity to their component's pivot.
+def _with(rows: DataFrame, table: DataFrame, size: int, salts: int = 64) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has a row a component: broadcast if its ``size`` bytes are few, else by component and salt, so that
+    no task gets all rows of a component."""
+    if size <= LARGEST_BYTES:
+        return rows.join(F.broadcast(table), "component")
+    salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(salts)).cast("int")).join(salted, ["component", "salt"]).drop("salt")
 
-    Pivots are broadcast while their sets have at most ``LARGEST_BYTES``; beyond, they meet their members by a join on component and salt.
-    """
+
+def _to_pivots(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """``members`` (rid, component, hashes, weights) with ``far``: (pivot, d) for each pivot of their component, d being 1 minus the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [[np.frombuffer(x, kind) for x in batch.column(c).to_pylist()] for c, kind in (("hashes", np.uint64), ("weights", np.uint32), ("ph", np.uint64), ("pw", np.uint32))]
-            far = [1 - probability_jaccard(*x) for x in zip(*sets, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("component"), batch.column("pivot"), pa.array(far, pa.float64())], names=["rid", "component", "pivot", "far"])
-
-    if (pivots.agg(F.sum(F.octet_length("ph") + F.octet_length("pw")).alias("n")).first()["n"] or 0) <= LARGEST_BYTES:
-        met = members.join(F.broadcast(pivots), "component")
-    else:
-        salted = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        met = members.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(salts)).cast("int")).join(salted, ["component", "salt"])
-    return met.select("rid", "component", "pivot", "hashes", "weights", "ph", "pw").mapInArrow(run, "rid long, component long, pivot long, far double")
+            far = []
+            for h, w, ps in zip(*(batch.column(c).to_pylist() for c in ("hashes", "weights", "pivots")), strict=True):
+                own = np.frombuffer(h, np.uint64), np.frombuffer(w, np.uint32)
+                far.append([{"pivot": p["pivot"], "d": 1 - probability_jaccard(*own, np.frombuffer(p["ph"], np.uint64), np.frombuffer(p["pw"], np.uint32))} for p in ps])
+            kind = pa.list_(pa.struct([("pivot", pa.int64()), ("d", pa.float64())]))
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("component"), pa.array(far, kind)], names=["rid", "component", "far"])
+
+    size = pivots.agg(F.sum(F.octet_length("ph").cast("long") + F.octet_length("pw")).alias("n")).first()["n"] or 0
+    lists = pivots.groupBy("component").agg(F.collect_list(F.struct("pivot", "ph", "pw")).alias("pivots"))  # at most ``PIVOTS`` a component
+    return _with(members, lists, size).select("rid", "component", "hashes", "weights", "pivots").mapInArrow(run, "rid long, component long, far array<struct<pivot:long,d:double>>")
+
+
+def _leaving(far: DataFrame, reach: float) -> DataFrame:
+    """rid of the texts of ``far`` whose links to all texts outside their pivots' cluster are known: pivots, and texts that are too near to a pivot of
+    their cluster to be linked to any text that is not in it. Pivots that share a linked text are of one cluster."""
+    linked = F.transform(F.filter("far", lambda f: f["d"] <= reach + 1e-12), lambda f: f["pivot"])
+    near = far.withColumn("linked", linked).where("size(linked) > 0")
+    clusters = components(near.select(F.explode("linked").alias("a"), F.element_at("linked", 1).alias("b")).distinct())
+    pivots = far.select("component", F.explode("far").alias("f")).select("component", F.col("f.pivot").alias("node")).distinct()
+    named = pivots.join(clusters.withColumnRenamed("component", "cluster"), "node", "left")
+    of = written(named.groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("node", F.coalesce("cluster", "node")))).alias("of")), "clusters")
+    size = 32 * PIVOTS * of.count()
+    own = F.array_min(F.transform(linked, lambda p: F.col("of")[p]))
+    told = _with(far, of, size).withColumn("own", own)
+    beyond = told.select("component", "own", "of", F.explode("far").alias("f")).where(~F.col("own").eqNullSafe(F.col("of")[F.col("f.pivot")]))
+    least = beyond.groupBy("component", F.col("f.pivot").alias("pivot")).agg(F.min("f.d").alias("least")).groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("pivot", "least"))).alias("least"))
+    least = written(of.select("component").join(least, "component", "left"), "least")
+    inside = F.exists("far", lambda f: (F.col("of")[f["pivot"]] == F.col("own")) & (f["d"] < F.coalesce(F.col("least")[f["pivot"]], F.lit(2.0)) - reach - 1e-9))
+    is_pivot = F.exists("far", lambda f: f["pivot"] == F.col("rid"))
+    return _with(told, least, size).where(is_pivot | F.coalesce(inside, F.lit(False))).select("rid")
+
+
+def _next_pivots(large: DataFrame, far: DataFrame | None, last: DataFrame | None) -> DataFrame:
+    """component, pivot: of each component of ``large`` some texts taken by a hash of their number, and those nearest to one of the last pivots,
+    among which is the original if the others are copies of one."""
+    by = lambda *order: F.row_number().over(W.partitionBy("component").orderBy(*order))
+    some = large.select("component", "rid").withColumn("n", by(F.xxhash64("rid"), "rid")).where(F.col("n") <= (PIVOTS if far is None else PIVOTS // 2)).select("component", F.col("rid").alias("pivot"))
+    if far is None:
+        return some
+    least = far.select("rid", F.array_min(F.transform("far", lambda f: f["d"])).alias("d"))
+    near = large.select("component", "rid").join(least, "rid").withColumn("n", by("d", "rid")).where(F.col("n") <= PIVOTS // 2)
+    return some.union(near.select("component", F.col("rid").alias("pivot"))).distinct()
 
 
 def _too_large(sets: DataFrame, largest: int) -> DataFrame:
@@ -295,41 +338,54 @@ def _too_large(sets: DataFrame, largest: int) -> DataFrame:
 def verified_links(sets: DataFrame, threshold: float = THRESHOLD, largest: int = LARGEST) -> DataFrame:
     """Links a, b that span all pairs of ``threshold`` or more inside each component of ``sets`` (rid, component, hashes, weights).
 
-    A component of over ``largest`` texts or ``LARGEST_BYTES`` goes through rounds in which every text is compared with a pivot, by a join,
-    in whatever task it lies. Texts linked to the pivot leave, unless a text that stays could be linked to them by the triangle inequality.
-    The next pivot is the text that stayed or left nearest to the last one, which in a group of copies of one original is the original.
-    Every round adds its links, and the components that have become small, to tables in the shared folder.
+    A component of over ``largest`` texts or ``LARGEST_BYTES`` goes through rounds in which every text is compared with up to ``PIVOTS`` pivots, by a
+    join, in whatever task it lies. All links to pivots are kept, and the pivots leave with the texts around them that nothing outside can be
+    linked to, by the triangle inequality. Every round adds its links, and the components that have become small, to tables in the shared folder.
     """
     reach = 1 - threshold
     hot = written(_too_large(sets, largest), "hot")
     if hot.isEmpty():
+        dropped(hot)
         return sets.select("component", "rid", "hashes", "weights").groupBy("component").applyInArrow(_search, "a long, b long")
     spark = sets.sparkSession
-    paths = {name: scratch_path(spark, name) for name in ("pivots", "links", "small")}
+    paths = {name: scratch_path(spark, name) for name in ("links", "small")}
     add = lambda df, name: df.write.mode("append").parquet(paths[name])
     read = lambda name: spark.read.parquet(paths[name])
-    large = sets.join(F.broadcast(hot), "component", "left_semi")
-    add(sets.join(F.broadcast(hot), "component", "left_anti").select("component", "rid", "hashes", "weights"), "small")
-    chosen = large.groupBy("component").agg(F.min("rid").alias("pivot"))
+    large = sets.join(hot, "component", "left_semi")
+    add(sets.join(hot, "component", "left_anti").select("component", "rid", "hashes", "weights"), "small")
+    far = pivots = None
     while True:
+        before = far, pivots
+        chosen = _next_pivots(large, *before)
         pivots = written(chosen.join(large.select("component", F.col("rid").alias("pivot"), F.col("hashes").alias("ph"), F.col("weights").alias("pw")), ["component", "pivot"]), "pivots")
-        add(pivots.select("pivot"), "pivots")
         far = written(_to_pivots(large, pivots), "far")
-        add(far.where((F.col("far") <= reach + 1e-12) & (F.col("rid") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("rid").alias("b")), "links")
-        outer = far.where(F.col("far") > reach + 1e-12).groupBy("component").agg(F.min("far").alias("least"))
-        stay = far.join(outer, "component").where((F.col("far") > reach + 1e-12) | (F.col("far") >= F.col("least") - reach - 1e-9)).where(F.col("rid") != F.col("pivot"))
-        rest = written(large.join(stay.select("rid"), "rid", "left_semi"), "large")
+        for done in (d for d in before if d is not None):
+            dropped(done)
+        pair = far.select("rid", F.explode("far").alias("f")).where((F.col("f.d") <= reach + 1e-12) & (F.col("rid") != F.col("f.pivot")))
+        add(pair.select(F.col("f.pivot").alias("a"), F.col("rid").alias("b")), "links")
+        leaving = written(_leaving(far, reach), "leaving")
+        rest = written(large.join(leaving, "rid", "left_anti"), "large")
         still = written(_too_large(rest, largest), "hot")
         add(rest.join(still, "component", "left_anti").select("component", "rid", "hashes", "weights"), "small")
         large = written(rest.join(still, "component", "left_semi"), "large")
-        dropped(rest)
+        for done in (leaving, rest, still):
+            dropped(done)
         if large.isEmpty():
             break
-        near = far.join(read("pivots").withColumnRenamed("pivot", "rid"), "rid", "left_anti").join(large.select("rid"), "rid", "left_semi")
-        chosen = written(near.groupBy("component").agg(F.min_by("rid", F.struct("far", "rid")).alias("pivot")), "chosen")
     return read("small").groupBy("component").applyInArrow(_search, "a long, b long").union(read("links"))
 
 
+def _with_digests(plain: DataFrame, digests: DataFrame, counted: DataFrame) -> DataFrame:
+    """Rows of ``plain`` (text, digest) with one of ``digests``, one a text. Few digests are broadcast. Of more, those that over a thousandth of the rows
+    ``counted`` have, at most a thousand, still are; only rows with any other one are shuffled."""
+    if digests.count() <= FEW:
+        return plain.join(F.broadcast(digests), "digest", "left_semi")
+    least = max(2, counted.count() // 1000 + 1)
+    hot = written(counted.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("digest"), "hot")
+    many = plain.join(F.broadcast(hot.join(digests, "digest", "left_semi")), "digest", "left_semi")
+    return many.union(plain.join(F.broadcast(hot), "digest", "left_anti").join(digests, "digest", "left_semi"))
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, largest: int = LARGEST) -> DataFrame:
     """One row per row of ``docs``: its id, class_id (smallest id of its class), class_size (rows), copies (rows with the same words).
 
@@ -337,22 +393,22 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     class. Null ids are ignored in class_id unless a class has no other. An empty table gives an empty result; only the two named
     columns are read.
     """
-    return _classes(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")), threshold, largest).withColumnRenamed("id", id_col)
+    return _classes(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")), threshold, largest).drop("digest").withColumnRenamed("id", id_col)
 
 
 def _classes(plain: DataFrame, threshold: float = THRESHOLD, largest: int = LARGEST) -> DataFrame:
-    """``near_classes`` of ``plain`` (id, text, and any others, which are kept)."""
-    others = [c for c in plain.columns if c not in ("id", "text")]
+    """``near_classes`` of ``plain`` (id, text), with ``digest`` of the text."""
+    others = ["digest"]
+    plain = plain.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
     rows = written(signatures(plain), "signatures")
     named = rows.where("key is not null")
-    texts = written(named.dropDuplicates(["key"]).select("key", "bands", "mark", F.monotonically_increasing_id().alias("rid")), "texts")
+    texts = written(named.dropDuplicates(["key"]).select("key", "digest", "bands", "mark", F.monotonically_increasing_id().alias("rid")), "texts")
     links = written(candidate_links(texts.select("rid", "bands", "mark")), "candidates")
     groups = components(links)
-    wanted = written(texts.join(groups, texts.rid == groups.node).select("key", "rid", "component"), "wanted")
+    wanted = written(texts.join(groups, texts.rid == groups.node).select("key", "digest", "rid", "component"), "wanted")
     dropped(links)
-    ids = named.join(wanted.select("key"), "key", "left_semi").select(F.col("id").alias("i")).distinct()
-    chosen = plain.join(ids, F.col("id").eqNullSafe(F.col("i")), "left_semi")
-    sets = written(_shingle_sets(chosen).join(wanted, "key").dropDuplicates(["rid"]).select("rid", "component", "hashes", "weights"), "sets")
+    sets = _shingle_sets(_with_digests(plain, wanted.select("digest"), named)).groupBy("key").agg(F.first("hashes").alias("hashes"), F.first("weights").alias("weights"))
+    sets = written(sets.join(wanted.select("key", "rid", "component"), "key").select("rid", "component", "hashes", "weights"), "sets")
     exact = written(verified_links(sets, threshold, largest), "verified")
     dropped(sets)
     classes = components(exact).select(F.col("node").alias("rid"), "component")
@@ -378,7 +434,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     own_id, own_digest = fresh(docs, "_id", "_digest")
     digest = F.unhex(F.md5(text_or_empty(text_col).cast("binary")))
-    classes = _classes(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), digest.alias("digest")))
+    classes = _classes(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")))
     going = classes.where((F.col("class_size") > 1) & ~F.col("id").eqNullSafe(F.col("class_id"))).select(F.col("id").alias(own_id), F.col("digest").alias(own_digest)).distinct()
     going = written(going, "going")
     on = F.col(id_col).eqNullSafe(F.col(own_id)) & (digest == F.col(own_digest))

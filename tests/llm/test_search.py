@@ -78,6 +78,46 @@ def test_near_classes(spark):
     assert near_dedup.near_classes(df.limit(0)).count() == 0
 
 
+def test_a_text_with_many_copies_gives_one_set(spark, monkeypatch):
+    base = [f"word{k}" for k in range(100)]
+    rows = [(i if i % 3 else None, " ".join(base)) for i in range(4000)] + [(4000, " ".join([*base[:-1], "other"])), (4001, "nothing like it at all")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    made, real = [], near_dedup.verified_links
+    monkeypatch.setattr(near_dedup, "verified_links", lambda sets, *rest: made.append(sets.count()) or real(sets, *rest))
+    for few in (near_dedup.FEW, 0):  # digests are broadcast, or only those of hot texts
+        monkeypatch.setattr(near_dedup, "FEW", few)
+        got = collections.Counter((r.class_id, r.class_size, r.copies) for r in near_dedup.near_classes(df).collect())
+        assert got == {(1, 4001, 4000): 4000, (1, 4001, 1): 1, (4001, 1, 1): 1}
+    assert made == [2, 2]
+
+
+def test_pivots_of_a_large_component(spark, monkeypatch):
+    rnd = random.Random(8)
+    words = [f"w{k}" for k in range(3000)]
+    shared, rows = [rnd.choice(words) for _ in range(30)], []
+    for _ in range(25):  # texts unlike each other, with some copies of each
+        base = [rnd.choice(words) for _ in range(80)]
+        rows.append(base + shared)
+        for _ in range(rnd.randint(0, 4)):
+            rows.append([*base[:40], rnd.choice(words), *base[41:]] + shared)
+    rows = [(i, " ".join(t)) for i, t in enumerate(rows)]
+    hashes = [near_dedup.shingles([t])[1:3] for _, t in rows]
+    sets = spark.createDataFrame([(i, 7, h.tobytes(), w.astype(np.uint32).tobytes()) for i, (h, w) in enumerate(hashes)], "rid long, component long, hashes binary, weights binary")
+    rounds, real = [], near_dedup._to_pivots
+    monkeypatch.setattr(near_dedup, "_to_pivots", lambda *x: rounds.append(1) or real(*x))
+    monkeypatch.setattr(near_dedup, "PIVOTS", 16)
+    for bytes_ in (near_dedup.LARGEST_BYTES, 10):  # pivots are broadcast, or joined with a salt
+        monkeypatch.setattr(near_dedup, "LARGEST_BYTES", bytes_)
+        rounds.clear()
+        links = [(r.a, r.b) for r in near_dedup.verified_links(sets, largest=2).collect()]
+        root = list(range(len(rows)))
+        for _ in root:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        assert [(r, root.count(r)) for r in root] == classes(rows)
+        assert len(rounds) <= 1 + len(rows) // 8
+
+
 def test_a_row_that_shares_its_id_with_a_near_copy_stays(spark):
     base = [f"word{k}" for k in range(100)]
     texts = [(1, " ".join(base)), (2, " ".join([*base[:-1], "other"])), (2, "a clean text that nothing else is like"), (2, None), (None, " ".join(base).upper()), (None, "alone")]
