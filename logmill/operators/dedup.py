@@ -13,6 +13,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import exception_class, occurrences
 from ..schema import LEVELS
+from .sequences import CountOrTime, Debounce, sequential
 
 
 def fingerprint() -> Column:
@@ -158,63 +159,31 @@ def total_occurrences(df: DataFrame) -> DataFrame:
     return df.agg(F.sum(occurrences()).alias("occurrences"))
 
 
-def debounce(df: DataFrame, key: str, window_s: float = 10, time: str = "logged_at", order: Sequence[str] = ("seq",)) -> DataFrame:
-    """First row of each key, then the first one after its marker of ``window_s`` seconds has gone, and so on."""
-    return _anchored(df, key, time, order, lambda: _Debounce(window_s))
-
-
-class _Debounce:
-    def __init__(self, window_s: float):
-        self.window_s, self.end = window_s, float("-inf")
-
-    def take_all(self, times: np.ndarray) -> np.ndarray:
-        """0 for each row that passes, -1 for others; times rise."""
-        out = np.full(len(times), -1, np.int64)
-        i = int(np.searchsorted(times, self.end))
-        while i < len(times):
-            out[i], self.end = 0, times[i] + self.window_s
-            i += 1 + int(np.searchsorted(times[i + 1 :], self.end))
-        return out
-
+def _seconds_order(time: str, order: Sequence[str]) -> tuple[str, ...]:
+    return (time, *(c for c in order if c != time))
 
-class CountOrTime:
-    """Windows that open at their first row and close with the row that makes them full or finds them old; that row belongs to them."""
 
-    def __init__(self, max_count: int = 20, max_ms: float = 2000):
-        self.max_count, self.max_s, self.number, self.n, self.opened = max_count, max_ms / 1000, 0, 0, 0.0
-
-    def take(self, now: float) -> int:
-        if not self.n:
-            self.number, self.opened = self.number + 1, now
-        self.n += 1
-        if self.n >= self.max_count or now - self.opened >= self.max_s:
-            self.n = 0
-        return self.number
-
-    def take_all(self, times: np.ndarray) -> np.ndarray:
-        """``take`` for rising times, a window at a time."""
-        out, i = np.empty(len(times), np.int64), 0
-        while i < len(times):
-            if not self.n:
-                self.number, self.opened = self.number + 1, times[i]
-            room = max(1, self.max_count - self.n)
-            took = times[i : i + room]
-            closing = min(int(np.searchsorted(took - self.opened, self.max_s)), room - 1)  # the row that closes the window
-            end = i + min(closing + 1, len(took))
-            out[i:end] = self.number
-            self.n = 0 if closing < len(took) else self.n + len(took)
-            i = end
-        return out
+def debounce(df: DataFrame, key: str, window_s: float = 10, time: str = "logged_at", order: Sequence[str] = ("seq",)) -> DataFrame:
+    """First row of each key, then the first one after its marker of ``window_s`` seconds has gone, and so on. A null time counts as 1970.
 
+    A key of many rows is cut into ranges that are walked apart (``sequential``).
+    """
+    found = sequential(df, key, _seconds_order(time, order), Debounce(window_s), F.unix_micros(F.col(time).cast("timestamp")))
+    return found.where("_opens").drop("_opens", "_number")
 
-def count_or_time_windows(df: DataFrame, key: str, max_count: int = 20, max_ms: float = 2000, time: str = "logged_at", order: Sequence[str] = ("seq",)) -> DataFrame:
-    """``window_no`` of each row within its key: a window closes at ``max_count`` rows or ``max_ms`` after its first one."""
-    return _anchored(df, key, time, order, lambda: CountOrTime(max_count, max_ms), "window_no")
 
+def count_or_time_windows(
+    df: DataFrame, key: str, max_count: int = 20, max_ms: float = 2000, time: str = "logged_at", order: Sequence[str] = ("seq",), max_rows: int = 100, max_bytes: int = 1 << 20, size: Column | None = None
+) -> DataFrame:
+    """``window_no`` of each row within its key: a window closes at ``max_count`` rows or ``max_ms`` after its first one; the row that closes it belongs to it.
 
-def _anchored(df: DataFrame, key: str, time: str, order: Sequence[str], machine: Callable[[], object], column: str | None = None) -> DataFrame:
-    rows = df.withColumn("_us", F.unix_micros(F.col(time).cast("timestamp")))
-    return _walked(rows, key, (time, *order), df.columns, machine, lambda m, times: m.take_all(times), column)
+    Whatever these say, ``max_rows`` rows or ``max_bytes`` bytes close it too. ``size``: a row's bytes, by default those of its JSON. A key of many rows
+    is cut into ranges that are walked apart (``sequential``).
+    """
+    bytes_ = size if size is not None else F.octet_length(F.to_json(F.struct(*df.columns)))
+    rule = CountOrTime(max_count, max_ms, max_rows, max_bytes)
+    found = sequential(df, key, _seconds_order(time, order), rule, F.unix_micros(F.col(time).cast("timestamp")), F.coalesce(bytes_, F.lit(0)))
+    return found.withColumnRenamed("_number", "window_no").drop("_opens")
 
 
 def idempotent(df: DataFrame, id_col: str, order: Sequence[str] = ()) -> DataFrame:

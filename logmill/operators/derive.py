@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ..functions import level_for_status, level_value, limit_str
+from .redact import KEY_PATTERNS, masked_text
 
 # Lengths at which columns are cut.
 CUTS = {"uri": 2048, "http_method": 8, "route_action": 512, "user_agent": 512}
@@ -200,10 +201,19 @@ def slow_queries(queries: DataFrame, threshold_ms: float = 500, skip: str = "log
     })
 
 
-def diff_snapshots(before: DataFrame, after: DataFrame, keys: Sequence[str], limit: int = 200) -> DataFrame:
-    """Changes between two tables with unique keys: change (created, updated, deleted), changed columns, and both sides' changed values as maps."""
+def diff_snapshots(
+    before: DataFrame, after: DataFrame, keys: Sequence[str], limit: int = 200, model: str | None = None, models: Sequence[str] | None = None,
+    key_patterns: Sequence[str] = KEY_PATTERNS, value_regexes: Sequence[str] = (),
+) -> DataFrame:
+    """Changes between two tables with unique keys: change (created, updated, deleted), changed columns, and both sides' changed values as maps.
+
+    Values of columns whose name holds one of ``key_patterns`` are masked, in others what ``value_regexes`` find; then they are cut at ``limit``. That a
+    secret changed is told, not what it was or is. With a list ``models`` only tables are compared whose name ``model`` is in it.
+    """
+    if models is not None and model not in models:
+        before, after = before.limit(0), after.limit(0)
     values = [c for c in before.columns if c not in keys]
-    text = lambda c: limit_str(F.col(c).cast("string"), limit)
+    text = lambda c: limit_str(masked_text(F.col(c).cast("string"), c[3:], key_patterns, value_regexes), limit)  # noqa: E731  after the prefix of its side
     b = before.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in values], F.lit(True).alias("_b"))
     a = after.select(*keys, *[F.col(c).alias(f"_a_{c}") for c in values], F.lit(True).alias("_a"))
     met = b.join(a, list(keys), "full")

@@ -83,19 +83,25 @@ def fraction(text: Column | str) -> Column:
     return F.conv(F.substring(F.md5(c.cast("string").cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(0xFFFFFFFF))
 
 
-def sample_levels(df: DataFrame, rates: Mapping[str, object], row_key: str = "seq") -> DataFrame:
-    """Keep each row with its level's probability; the draw is a hash of ``row_key``, so retries agree."""
+def _draw(key: str, seed: int | None) -> Column:
+    """A stable number from 0 to 1 for a row's ``key``; another one for each ``seed``. A null key has none."""
+    c = F.col(key).cast("string")
+    return fraction(c if seed is None else F.concat(F.lit(f"{seed}|"), c))
+
+
+def sample_levels(df: DataFrame, rates: Mapping[str, object], row_key: str = "seq", seed: int | None = None) -> DataFrame:
+    """Keep each row with its level's probability; the draw is a hash of ``row_key`` and ``seed``, so retries agree and another seed draws anew."""
     drops = [(LEVELS[k.lower()], _rate(v)) for k, v in rates.items() if k.lower() in LEVELS and _rate(v) < 1]
     keep = F.lit(True)
     for value, rate in drops:
-        keep = F.when(F.col("level") == value, F.lit(False) if rate <= 0 else fraction(row_key) < rate).otherwise(keep)
+        keep = F.when(F.col("level") == value, F.lit(False) if rate <= 0 else _draw(row_key, seed) < rate).otherwise(keep)
     return df.where(keep)
 
 
-def sample_traces(df: DataFrame, patterns: Mapping[str, object], row_key: str = "seq") -> DataFrame:
-    """Keep or drop whole traces by the first pattern that matches the row's path; a row with no path or match stays."""
+def sample_traces(df: DataFrame, patterns: Mapping[str, object], row_key: str = "seq", seed: int | None = None) -> DataFrame:
+    """Keep or drop whole traces by the first pattern that matches the row's path; a row with no path or match stays. ``seed`` as in ``sample_levels``."""
     path, keep = uri_path("uri"), F.lit(True)
-    draw = F.coalesce(fraction("trace_id"), fraction(row_key))
+    draw = F.coalesce(_draw("trace_id", seed), _draw(row_key, seed))
     for pattern, rate in reversed(list(patterns.items())):
         r = _rate(rate)
         keep = F.when(glob_match(path, [pattern]), F.lit(True) if r >= 1 else F.lit(False) if r <= 0 else draw < r).otherwise(keep)
@@ -132,14 +138,28 @@ def shed_during_outage(df: DataFrame, outages: DataFrame, retain: str = "error")
     return df.join(side, inside, "left_anti"), gone.agg(F.lit("low_severity").alias("reason"), F.sum(n).alias("dropped")).where("dropped > 0")
 
 
-def drop_report(tallies: DataFrame, now: str, channel: str = "logs", by: Sequence[str] = ()) -> DataFrame:
-    """One warning row for all ``tallies`` (reason, dropped), or for each group of ``by``; none if nothing was dropped."""
+def circuit_state(outages: DataFrame, now: str) -> DataFrame:
+    """One row with the ``circuit`` of the last outage (tripped_at, status, reason) that has begun at ``now``: status, reason and time; null if none has."""
+    cols = {"status": "int", "reason": "string", "tripped_at": "timestamp"}
+    state = F.struct(*[(F.col(c) if c in outages.columns else F.lit(None)).cast(kind).alias(c) for c, kind in cols.items()])
+    begun = F.when(F.col("tripped_at").cast("timestamp") <= F.to_timestamp(F.lit(now)), F.col("tripped_at"))
+    return outages.agg(F.max_by(state, begun).alias("circuit"))
+
+
+def drop_report(tallies: DataFrame, now: str, channel: str = "logs", by: Sequence[str] = (), circuit: DataFrame | None = None) -> DataFrame:
+    """One warning row for all ``tallies`` (reason, dropped), or for each group of ``by``; none if nothing was dropped.
+
+    The context tells the counts, their total and, with the one row ``circuit`` (``circuit_state``), the outage that they belong to.
+    """
     sums = tallies.groupBy(*by, "reason").agg(F.sum("dropped").alias("n")).where("n > 0")
     one = sums.groupBy(*by).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n")))).alias("dropped"), F.sum("n").alias("total")).where("total > 0")
+    told = ["dropped", "total"]
+    if circuit is not None:
+        one, told = one.join(F.broadcast(circuit.select("circuit"))), [*told, "circuit"]  # one row
     return one.select(
         *by, F.concat(F.lit("agent.dropped_rows: "), F.col("total").cast("string"), F.lit(" log rows were dropped client-side during an ingest outage")).alias("message"),
         F.lit(LEVELS["warning"]).alias("level"), F.lit("WARNING").alias("level_name"), F.lit(channel).alias("channel"), F.lit("internal").alias("origin"),
-        F.to_json(F.struct("dropped", "total")).alias("context"), F.to_timestamp(F.lit(now)).alias("logged_at"),
+        F.to_json(F.struct(*told)).alias("context"), F.to_timestamp(F.lit(now)).alias("logged_at"),
     )
 
 

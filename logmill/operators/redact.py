@@ -50,6 +50,11 @@ def _column(c: Column, kind: T.DataType, patterns: Sequence[str], regexes: Seque
     return _values(c, regexes, mask) if isinstance(kind, T.StringType) else c
 
 
+def masked_text(c: Column, name: str, key_patterns: Sequence[str] = KEY_PATTERNS, value_regexes: Sequence[str] = (), mask: str = MASK) -> Column:
+    """The text ``c`` of a field called ``name``: the mask if the name holds a pattern and the text is not null, else with the regexes masked."""
+    return F.when(c.isNotNull(), F.lit(mask)) if _sensitive(name, key_patterns) else _values(c, _valid(value_regexes), mask)
+
+
 def redact_columns(df: DataFrame, key_patterns: Sequence[str] = KEY_PATTERNS, value_regexes: Sequence[str] = (), mask: str = MASK, columns: Sequence[str] | None = None) -> DataFrame:
     """Every column, struct field or map key whose name holds a pattern becomes ``mask``, as a text; other texts have the regexes masked.
 

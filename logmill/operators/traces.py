@@ -10,7 +10,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import occurrences
 from ..schema import ERROR
-from ..scratch import scratch_path
+from ..scratch import removed, scratch_path
 from .derive import classify_events
 from .redact import KEY_PATTERNS, MASK, mask_values, redact_json
 
@@ -42,11 +42,11 @@ def trace_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def trace_markdown(df: DataFrame, key_patterns: Sequence[str] = KEY_PATTERNS, value_regexes: Sequence[str] = (), part_entries: int | None = None) -> DataFrame:
-    """trace_id, markdown: metadata, request input, entries, stack traces and measures of each trace, with all secrets masked.
+def trace_markdown(df: DataFrame, key_patterns: Sequence[str] = KEY_PATTERNS, value_regexes: Sequence[str] = (), part_entries: int | None = 5000) -> DataFrame:
+    """trace_id, part, markdown: metadata, request input, entries, stack traces and measures of each trace, with all secrets masked.
 
-    With ``part_entries`` a trace that does not end is several rows of at most so many entries each, numbered by ``part`` from 0; without,
-    a trace is one text.
+    A long trace is several rows of at most ``part_entries`` entries each, numbered by ``part`` from 0, so that a trace that does not end is never one
+    text. With None there are no parts, and a trace is one text of any length.
     JSON columns are masked by key and value, plain texts by value, and in urls the values of sensitive query parameters.
     """
     json_columns = [c for c in ("context", "extra", "request_input", "job_props") if c in df.columns]
@@ -82,25 +82,34 @@ def span_edges(df: DataFrame) -> DataFrame:
 
 
 def span_tree(df: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """Spans with root, depth and path, by a join per level while a level has spans (``max_depth`` at most, if given); spans in a circle are in
-    none, so the levels end. Each is written to the shared folder."""
-    def written(rows: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(df.sparkSession, name)
-        rows.write.parquet(path)
-        return df.sparkSession.read.schema(rows.schema).parquet(path)
-
-    edges = written(span_edges(df), "edges")
-    level = written(edges.where("parent_span_id is null").select("trace_id", "span_id", "parent_span_id", F.col("span_id").alias("root"), F.lit(0).alias("depth"), F.col("span_id").alias("path")), "level")
-    out, depth = level, 0
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        above = level.select(F.col("trace_id").alias("_trace"), F.col("span_id").alias("_up"), F.col("root").alias("_root"), F.col("path").alias("_path"))
-        below = edges.join(above, (F.col("trace_id") == F.col("_trace")) & (F.col("parent_span_id") == F.col("_up")))
-        level = written(below.select("trace_id", "span_id", "parent_span_id", F.col("_root").alias("root"), F.lit(depth).alias("depth"), F.concat("_path", F.lit(" > "), "span_id").alias("path")), "level")
-        if level.isEmpty():
+    """Spans with root, depth and path (down to ``max_depth``, if given); spans in a circle, and those below one, are in none.
+
+    A span points at a span above it, first at its parent; each round it takes over where that one points to, so a depth of n takes about
+    log2(n) rounds. Rounds are written to the shared folder; they end when one brings no further span to its root.
+    """
+    spark, made = df.sparkSession, []
+
+    def written(rows: DataFrame) -> DataFrame:
+        made.append(scratch_path(spark, "spans"))
+        rows.write.parquet(made[-1])
+        return spark.read.schema(rows.schema).parquet(made[-1])
+
+    edges = span_edges(df)
+    is_root = F.col("parent_span_id").isNull()
+    rows = written(edges.select("trace_id", "span_id", "parent_span_id", F.col("parent_span_id").alias("_at"), F.when(is_root, F.col("span_id")).alias("root"), F.when(is_root, 0).otherwise(1).alias("depth"), F.col("span_id").alias("path")))
+    below = rows.where("_at is not null").count()
+    while below:
+        above = rows.select(F.col("trace_id").alias("_trace"), F.col("span_id").alias("_up"), F.col("_at").alias("_next"), F.col("root").alias("_root"), F.col("depth").alias("_depth"), F.col("path").alias("_path"))
+        met = rows.where("_at is not null").join(above, (F.col("trace_id") == F.col("_trace")) & (F.col("_at") == F.col("_up")))
+        moved = met.select("trace_id", "span_id", "parent_span_id", F.col("_next").alias("_at"), F.col("_root").alias("root"), (F.col("depth") + F.col("_depth")).alias("depth"), F.concat("_path", F.lit(" > "), "path").alias("path"))
+        rows = written(rows.where("_at is null").unionByName(moved))
+        removed(spark, made[-2])
+        left = rows.where("_at is not null").count()
+        if left == below:
             break
-        out = out.unionByName(level)
-    return out
+        below = left
+    out = rows.where("_at is null").drop("_at")
+    return out if max_depth is None else out.where(F.col("depth") <= max_depth)
 
 
 def link_jobs(dispatched: DataFrame, jobs: DataFrame) -> DataFrame:

@@ -15,8 +15,10 @@ from ..operators import filters as L
 from ..operators import redact as R
 from ..operators import search as Q
 from ..operators import traces as T
+from ..operators.text_index import build_text_index
+from ..operators.vector_index import build_vector_index
 from ..sources import batch_by_count, chunk_by_bytes, format_lines, parse_lines, read_log_stream, read_logs_jsonl, read_payloads, retain_newest, write_logs_jsonl, write_logs_parquet, write_payloads
-from ..streaming import stream_collapse, stream_count_or_time, stream_debounce, stream_n_plus_one, stream_pipeline, stream_rate_cap, write_with_reports
+from ..streaming import stream_collapse, stream_count_or_time, stream_debounce, stream_idempotent, stream_n_plus_one, stream_pipeline, stream_rate_cap, stream_window_closings, write_with_reports
 from ..scratch import drained, scratch_path
 from . import views as V
 
@@ -247,14 +249,16 @@ def e19_sql_table(spark, d):
     WITH b AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 17 <> 0),
     a AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 13 <> 0)
     SELECT o_orderkey, CASE WHEN b.o_totalprice IS NULL THEN 'created' WHEN a.o_totalprice IS NULL THEN 'deleted' ELSE 'updated' END AS change,
-           CASE WHEN b.o_totalprice IS NOT NULL AND a.o_totalprice IS NOT NULL THEN 'o_orderstatus' END AS changed,
-           CASE WHEN a.o_totalprice IS NULL THEN NULL ELSE a.o_orderstatus END AS status_to
+           CASE WHEN b.o_totalprice IS NOT NULL AND a.o_totalprice IS NOT NULL THEN 'o_orderstatus,api_token' END AS changed,
+           CASE WHEN a.o_totalprice IS NULL THEN NULL ELSE a.o_orderstatus END AS status_to,
+           CASE WHEN b.o_totalprice IS NOT NULL AND a.o_totalprice IS NOT NULL THEN '********' END AS token_from, CASE WHEN a.o_totalprice IS NOT NULL THEN '********' END AS token_to
     FROM b FULL JOIN a USING (o_orderkey) WHERE b.o_totalprice IS NULL OR a.o_totalprice IS NULL OR a.o_orderstatus <> b.o_orderstatus""")
 def e21_diff_snapshots(spark, d):
-    orders = V.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    before = orders.where("o_orderkey % 17 <> 0")
-    after = orders.where("o_orderkey % 13 <> 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 10 == 0, "X").otherwise(F.col("o_orderstatus")))
-    return E.diff_snapshots(before, after, ["o_orderkey"]).select("o_orderkey", "change", F.array_join("changed", ",").alias("changed"), F.col("to")["o_orderstatus"].alias("status_to"))
+    orders = V.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.concat(F.lit("t"), "o_custkey").alias("api_token"))
+    before, tenth = orders.where("o_orderkey % 17 <> 0"), F.col("o_orderkey") % 10 == 0
+    after = orders.where("o_orderkey % 13 <> 0").withColumns({"o_orderstatus": F.when(tenth, "X").otherwise(F.col("o_orderstatus")), "api_token": F.when(tenth, "new").otherwise(F.col("api_token"))})
+    found = E.diff_snapshots(before, after, ["o_orderkey"], model="Order", models=["Order"])
+    return found.select("o_orderkey", "change", F.array_join("changed", ",").alias("changed"), F.col("to")["o_orderstatus"].alias("status_to"), F.col("from")["api_token"].alias("token_from"), F.col("to")["api_token"].alias("token_to"))
 
 
 @register(V.duck("logs") + "SELECT CASE origin WHEN 'http' THEN 'request' WHEN 'schedule' THEN 'scheduled_task' END AS label, count(*) AS n, sum(duration_ms)::double AS total_ms FROM logs WHERE origin <> 'queue' GROUP BY 1")
@@ -316,6 +320,11 @@ def f8_sample_levels(spark, d):
     return L.sample_levels(V.logs(spark, d), {"debug": 0, "info": 0.4, "notice": "nonsense", "error": 5}).select("seq")
 
 
+@register(V.duck("logs") + "SELECT seq FROM logs WHERE (level <> 200 OR ('0x' || left(md5('7|' || seq), 8))::bigint / 4294967295.0::double < 0.4) AND (message NOT LIKE 'route.matched%' OR ('0x' || left(md5('7|' || trace_id), 8))::bigint / 4294967295.0::double < 0.5)")
+def u4_seeded_samples(spark, d):
+    return L.sample_traces(L.sample_levels(V.logs(spark, d), {"info": 0.4}, seed=7), {"view/*": 0.5}, seed=7).select("seq")
+
+
 @register(V.duck("logs") + "SELECT seq FROM logs WHERE message NOT LIKE 'route.matched%' OR ('0x' || left(md5(trace_id), 8))::bigint / 4294967295.0::double < 0.5")
 def f9_sample_traces(spark, d):
     return L.sample_traces(V.logs(spark, d), {"view/*": 0.5, "*": 1.0}).select("seq")
@@ -328,7 +337,7 @@ def f10_drop_stale(spark, d):
 
 
 def _outages(spark, d):
-    return V.table(spark, d, "events").where("event_id % 500 = 0").select(F.col("ts").alias("tripped_at"), F.lit(7200).alias("cooldown_s"))
+    return V.table(spark, d, "events").where("event_id % 500 = 0").select(F.col("ts").alias("tripped_at"), F.lit(7200).alias("cooldown_s"), (500 + F.col("event_id") % 4).alias("status"), F.col("event_type").alias("reason"))
 
 
 _SHED = V.duck("logs") + ", o AS (SELECT ts FROM events WHERE event_id % 500 = 0), gone AS (SELECT seq, count FROM logs WHERE level < 400 AND EXISTS (SELECT 1 FROM o WHERE logged_at >= ts AND logged_at < ts + interval 7200 second)) "
@@ -340,11 +349,15 @@ def f11_shed_during_outage(spark, d):
 
 
 @register(_SHED + """, stale AS (SELECT count(*) AS n FROM logs WHERE logged_at < timestamp '2024-01-20')
-    SELECT concat('agent.dropped_rows: ', (SELECT sum(greatest(1, count)) FROM gone) + n, ' log rows were dropped client-side during an ingest outage') AS message, 300 AS level FROM stale""")
+    SELECT concat('agent.dropped_rows: ', (SELECT sum(greatest(1, count)) FROM gone) + n, ' log rows were dropped client-side during an ingest outage') AS message, 300 AS level, c.status::int AS circuit_status, c.reason AS circuit_reason
+    FROM stale, (SELECT arg_max(500 + event_id % 4, ts) AS status, arg_max(event_type, ts) AS reason FROM events WHERE event_id % 500 = 0 AND ts <= timestamp '2024-01-30') c""")
 def f12_drop_report(spark, d):
     rows = V.logs(spark, d)
     tally = L.shed_during_outage(rows, _outages(spark, d))[1].unionByName(L.drop_stale(rows, "2024-01-30 00:00:00", 864_000)[1])
-    return L.drop_report(tally, "2024-01-30 00:00:00").select("message", "level")
+    circuit = L.circuit_state(_outages(spark, d), "2024-01-30 00:00:00")
+    report = L.drop_report(tally, "2024-01-30 00:00:00", circuit=circuit)
+    told = lambda key: F.get_json_object("context", f"$.circuit.{key}")
+    return report.select("message", "level", told("status").cast("int").alias("circuit_status"), told("reason").alias("circuit_reason"))
 
 
 @register(V.duck("statements") + "SELECT count(*) AS n FROM statements WHERE seq % 5 NOT IN (0, 1)")
@@ -470,6 +483,19 @@ def d7_count_or_time_windows(spark, d):
     return D.count_or_time_windows(V.logs(spark, d).select("seq", "user_id", "logged_at"), "user_id", 5, 86_400_000)
 
 
+_CEILING = V.duck("logs", recursive=True) + """, x AS (SELECT seq, app_env, logged_at, message, row_number() OVER w AS k, sum(octet_length(encode(message))) OVER w AS s FROM logs WINDOW w AS (PARTITION BY app_env ORDER BY logged_at, seq)),
+    c AS (SELECT app_env, 1::bigint AS window_no, 1::bigint AS a, least(100, min(k) FILTER (s >= 1500)) AS b FROM x GROUP BY 1
+        UNION ALL SELECT c.app_env, c.window_no + 1, c.b + 1, least(c.b + 100, min(x.k) FILTER (x.s - p.s >= 1500)) FROM c JOIN x p ON p.app_env = c.app_env AND p.k = c.b JOIN x ON x.app_env = c.app_env AND x.k > c.b AND x.k <= c.b + 100 GROUP BY c.app_env, c.window_no, c.b)
+    SELECT seq, x.app_env AS app_env, window_no FROM x JOIN c ON c.app_env = x.app_env AND x.k BETWEEN c.a AND c.b"""
+
+
+@register(_CEILING)
+def d7_window_ceiling(spark, d):
+    """No count or time that would close a window: 100 rows or 1,500 bytes of messages do."""
+    rows = V.logs(spark, d).select("seq", "app_env", "logged_at", "message")
+    return D.count_or_time_windows(rows, "app_env", 10**6, 10**12, max_rows=100, max_bytes=1500, size=F.octet_length("message")).select("seq", "app_env", "window_no")
+
+
 @register("SELECT user_id, min(event_id) AS event_id FROM events GROUP BY 1")
 def d8_idempotent(spark, d):
     return D.idempotent(V.table(spark, d, "events"), "user_id", ["event_id"]).select("user_id", "event_id")
@@ -483,14 +509,26 @@ def a1_count_logs(spark, d):
     return A.count_logs(V.logs(spark, d), F.col("level") >= 300, ["app_env"])
 
 
-@register(V.duck("logs") + f""", s AS (
-    SELECT 'total' AS section, NULL AS name, sum{N}::bigint AS occurrences, sum(CASE WHEN level >= 400 THEN {N} ELSE 0 END)::bigint AS errors FROM logs
-    UNION ALL SELECT 'route', route_name, sum{N}, sum(CASE WHEN level >= 400 THEN {N} ELSE 0 END) FROM logs GROUP BY 2
-    UNION ALL SELECT 'job', job_class, sum{N}, sum(CASE WHEN level >= 400 THEN {N} ELSE 0 END) FROM logs WHERE job_class IS NOT NULL GROUP BY 2
-    UNION ALL SELECT 'deploy', git_sha, sum{N}, sum(CASE WHEN level >= 400 THEN {N} ELSE 0 END) FROM logs GROUP BY 2)
-    SELECT section, name, occurrences::bigint AS occurrences, errors::bigint AS errors, (row_number() OVER (PARTITION BY section ORDER BY occurrences DESC, name))::int AS rank FROM s QUALIFY rank <= 5""")
+_SECTIONS = V.duck("logs") + f""", l AS (SELECT *, {N} AS n, CASE WHEN level >= 400 THEN {N} ELSE 0 END AS e, md5(concat(level, '|', split_part(stacktrace, ': ', 1), '|', caller_file, ':', caller_line, '|', message)) AS issue
+      FROM logs WHERE logged_at >= timestamp '2024-01-05' AND logged_at < timestamp '2024-01-25'),
+    s AS (
+    SELECT 'total' AS section, NULL AS name, NULL AS key, sum(n)::bigint AS occurrences, sum(e)::bigint AS errors FROM l
+    UNION ALL SELECT 'route', route_name, NULL, sum(n), sum(e) FROM l GROUP BY 2
+    UNION ALL SELECT 'job', job_class, NULL, sum(n), sum(e) FROM l WHERE job_class IS NOT NULL GROUP BY 2
+    UNION ALL SELECT 'deploy', git_sha, NULL, sum(n), sum(e) FROM l GROUP BY 2
+    UNION ALL SELECT 'issue', concat('exception: ', message), issue, sum(n), sum(e) FROM l WHERE stacktrace IS NOT NULL GROUP BY 2, 3)
+    SELECT section, name, occurrences::bigint AS occurrences, errors::bigint AS errors, (row_number() OVER (PARTITION BY section ORDER BY occurrences DESC, name, key))::int AS rank FROM s QUALIFY rank <= 5"""
+
+
+@register(_SECTIONS)
 def a2_traffic_overview(spark, d):
-    return A.traffic_overview(V.logs(spark, d))
+    return A.traffic_overview(V.logs(spark, d), ("2024-01-05", "2024-01-25"))
+
+
+@register(_SECTIONS)
+def a2_rollup_overview(spark, d):
+    """The same from daily roll-ups; estimates of users and traces are left out here."""
+    return A.overview_of_days(A.daily_rollup(V.logs(spark, d)), "2024-01-05", "2024-01-25").drop("users", "traces")
 
 
 @register(V.duck("logs") + f"""SELECT 'exception' AS issue_kind, md5(concat(level, '|', split_part(stacktrace, ': ', 1), '|', caller_file, ':', caller_line, '|', message)) AS issue, min(message) AS message, sum{N}::bigint AS occurrences,
@@ -540,9 +578,10 @@ def a8_analyze_measures(spark, d):
     return A.analyze_measures(_measured(spark, d))
 
 
-@register(V.duck("statements") + f"""SELECT trace_id, {NORMAL} AS statement, 'part' AS "table", count(*) AS total FROM statements GROUP BY 1, 2 HAVING count(*) >= 5""")
+@register(V.duck("statements") + f"""SELECT trace_id, {NORMAL} AS statement, 'part' AS "table", count(*) AS total, 'n+1' AS measure, 0.0::double AS measure_ms, 5 AS measure_count FROM statements GROUP BY 1, 2 HAVING count(*) >= 5""")
 def a9_detect_n_plus_one(spark, d):
-    return A.detect_n_plus_one(V.statements(spark, d)).select("trace_id", "statement", "table", "total")
+    found, first = A.detect_n_plus_one(V.statements(spark, d)), F.col("measures")[0]
+    return found.select("trace_id", "statement", "table", "total", first["label"].alias("measure"), first["duration_ms"].alias("measure_ms"), F.get_json_object(first["meta"], "$.count").cast("int").alias("measure_count"))
 
 
 @register(V.duck("logs") + "SELECT sum(duration_ms)::double AS total_ms, count(*) AS n FROM logs")
@@ -568,14 +607,20 @@ def a13_list_slow_traces(spark, d):
     return A.list_slow_traces(V.logs(spark, d), min_duration_ms=100, min_entries=2)
 
 
-@register(V.duck("logs") + """, k AS (SELECT trace_id, job_class, level AS l, logged_at, CASE WHEN starts_with(message, 'job.failed') THEN 'f' WHEN starts_with(message, 'job.completed') THEN 'c' WHEN starts_with(message, 'auth.login') THEN 's' WHEN starts_with(message, 'route.matched') THEN 'd' END AS kind FROM logs),
-    g AS (SELECT trace_id, job_class, min(logged_at) FILTER (kind = 'd') AS d, min(logged_at) FILTER (kind = 's') AS s, max(logged_at) FILTER (kind = 'c') AS c, max(logged_at) FILTER (kind = 'f') AS f FROM k WHERE kind IS NOT NULL GROUP BY 1, 2)
-    SELECT trace_id, job_class, CASE WHEN f IS NOT NULL AND (c IS NULL OR f > c) THEN 'failed' WHEN c IS NOT NULL THEN 'completed' WHEN s IS NOT NULL THEN 'lost' ELSE 'waiting' END AS outcome,
-           (epoch_us(s) - epoch_us(d)) / 1e6 AS wait_s, (epoch_us(greatest(c, f)) - epoch_us(s)) / 1e6 AS run_s FROM g""")
+@register(V.duck("logs") + """, k AS (SELECT trace_id, job_class, 1 + seq % 2 AS job_attempt, logged_at, CASE WHEN starts_with(message, 'job.failed') THEN 'f' WHEN starts_with(message, 'job.completed') THEN 'c' WHEN starts_with(message, 'auth.login') THEN 's' WHEN starts_with(message, 'route.matched') THEN 'd' WHEN starts_with(message, 'event.dispatched') THEN 'r' END AS kind FROM logs),
+    g AS (SELECT trace_id, job_class, job_attempt, min(logged_at) FILTER (kind = 'd') AS d, min(logged_at) FILTER (kind = 's') AS s, max(logged_at) FILTER (kind = 'c') AS c, max(logged_at) FILTER (kind = 'f') AS f FROM k WHERE kind <> 'r' GROUP BY 1, 2, 3),
+    r AS (SELECT trace_id, job_class, count(*) AS n FROM k WHERE kind = 'r' GROUP BY 1, 2)
+    SELECT g.trace_id AS trace_id, g.job_class AS job_class, g.job_attempt::int AS job_attempt, CASE WHEN f IS NOT NULL AND (c IS NULL OR f > c) THEN 'failed' WHEN c IS NOT NULL THEN 'completed' WHEN s IS NOT NULL THEN 'lost' ELSE 'waiting' END AS outcome,
+           (epoch_us(s) - epoch_us(d)) / 1e6 AS wait_s, (epoch_us(greatest(c, f)) - epoch_us(s)) / 1e6 AS run_s,
+           row_number() OVER (PARTITION BY g.trace_id, g.job_class ORDER BY g.job_attempt) - 1 AS retries, coalesce(r.n, 0) AS retry_requests
+    FROM g LEFT JOIN r ON r.trace_id = g.trace_id AND r.job_class IS NOT DISTINCT FROM g.job_class""")
 def a14_job_lifecycle(spark, d):
-    rows = E.classify_events(V.logs(spark, d)).withColumn("job_attempt", F.lit(1))
-    kind = F.when(F.col("event_kind") == "auth.login", "job.started").when(F.col("event_kind") == "route.matched", "job.dispatched").otherwise(F.col("event_kind"))
-    return A.job_lifecycle(rows.withColumn("event_kind", kind)).drop("job_attempt")
+    rows = E.classify_events(V.logs(spark, d)).withColumn("job_attempt", (1 + F.col("seq") % 2).cast("int"))
+    kinds = {"auth.login": "job.started", "route.matched": "job.dispatched", "event.dispatched": "job.retrying"}
+    kind = F.col("event_kind")
+    for a, b in kinds.items():
+        kind = F.when(F.col("event_kind") == a, b).otherwise(kind)
+    return A.job_lifecycle(rows.withColumn("event_kind", kind))
 
 
 @register("SELECT unnest(['cache.hit', 'mail.sent']) AS event_kind")
@@ -611,7 +656,7 @@ def t2_trace_summary(spark, d):
     return T.trace_summary(V.logs(spark, d))
 
 
-@register(V.duck("logs") + f"""SELECT trace_id, concat('# Trace ', trace_id, chr(10), 'uri: ', arg_min(uri, (logged_at, seq)), chr(10), 'user: ', arg_min(user_id, (logged_at, seq)), chr(10), 'entries: ', count(*), chr(10), chr(10),
+@register(V.duck("logs") + f"""SELECT trace_id, 0::bigint AS part, concat('# Trace ', trace_id, chr(10), 'uri: ', arg_min(uri, (logged_at, seq)), chr(10), 'user: ', arg_min(user_id, (logged_at, seq)), chr(10), 'entries: ', count(*), chr(10), chr(10),
     string_agg(concat('- ', strftime(logged_at, '%Y-%m-%d %H:%M:%S.%g'), ' **', {LEVEL}, '** ', message, chr(10) || '  - context: ' || context, chr(10) || '```' || chr(10) || stacktrace || chr(10) || '```'), chr(10) ORDER BY logged_at, seq)) AS markdown
     FROM logs GROUP BY 1""")
 def t3_trace_markdown(spark, d):
@@ -656,10 +701,10 @@ def t9_user_recent_errors(spark, d):
     return T.user_recent_errors(V.logs(spark, d), "8")
 
 
-@register(V.duck("logs") + f""", m AS (SELECT concat(message, ' ', caller_line) AS message, sum(CASE WHEN git_sha = 'aaaaaaa1' THEN {N} ELSE 0 END)::bigint AS b, sum(CASE WHEN git_sha = 'bbbbbbb2' THEN {N} ELSE 0 END)::bigint AS h FROM logs WHERE level >= 400 AND git_sha IN ('aaaaaaa1', 'bbbbbbb2') GROUP BY 1)
+@register(V.duck("logs") + f""", m AS (SELECT concat(message, ' ', user_id) AS message, sum(CASE WHEN git_sha = 'aaaaaaa1' THEN {N} ELSE 0 END)::bigint AS b, sum(CASE WHEN git_sha = 'bbbbbbb2' THEN {N} ELSE 0 END)::bigint AS h FROM logs WHERE level >= 400 AND git_sha IN ('aaaaaaa1', 'bbbbbbb2') GROUP BY 1)
     SELECT message, CASE WHEN b = 0 THEN 'new' ELSE 'gone' END AS status, b + h AS occurrences FROM m WHERE (b = 0) <> (h = 0)""")
 def t10_compare_deployments(spark, d):
-    rows = V.logs(spark, d).withColumn("message", F.concat("message", F.lit(" "), F.col("caller_line").cast("string")))
+    rows = V.logs(spark, d).withColumn("message", F.concat("message", F.lit(" "), "user_id"))
     return T.compare_deployments(rows, "aaaaaaa1", "bbbbbbb2")
 
 
@@ -700,6 +745,25 @@ def q3_search_by_json(spark, d):
     return Q.search_by_json(V.logs(spark, d), "context.k", "42").select("seq")
 
 
+_INDEXES: dict[tuple[str, str, str], object] = {}
+
+
+def _built(spark, d, name, build):
+    """An index of a table: built once a session, then read by every search."""
+    key = spark.sparkContext.applicationId, d, name
+    if key not in _INDEXES:
+        _INDEXES[key] = build(scratch_path(spark, name))
+    return _INDEXES[key]
+
+
+def _text_index(spark, d):
+    return _built(spark, d, "text_index", lambda path: build_text_index(V.table(spark, d, "documents"), "doc_id", "text", path))
+
+
+def _vector_index(spark, d):
+    return _built(spark, d, "vector_index", lambda path: build_vector_index(V.table(spark, d, "embeddings"), path))
+
+
 _BM25 = """r AS (SELECT doc_id, len(t) AS n, len(list_filter(t, lambda x: x = 'idiot')) AS f0, len(list_filter(t, lambda x: x = 'the')) AS f1
       FROM (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS t FROM documents)),
     s AS (SELECT count(*) AS docs, avg(n) AS mean, count(*) FILTER (f0 > 0) AS d0, count(*) FILTER (f1 > 0) AS d1 FROM r),
@@ -708,9 +772,21 @@ _BM25 = """r AS (SELECT doc_id, len(t) AS n, len(list_filter(t, lambda x: x = 'i
 
 @register("WITH " + _BM25 + " SELECT doc_id, round(score, 6) AS score FROM b ORDER BY b.score DESC, doc_id LIMIT 10")
 def q4_search_text(spark, d):
+    return _text_index(spark, d).search("The idiot").select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+@register("WITH " + _BM25 + " SELECT doc_id, round(score, 6) AS score FROM b ORDER BY b.score DESC, doc_id LIMIT 10")
+def q4_search_scan(spark, d):
+    """The same without an index, by one pass over all texts."""
     return Q.search_text(V.table(spark, d, "documents"), "The idiot", "doc_id", "text").select("doc_id", F.round("score", 6).alias("score"))
 
 
+@register("""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS t FROM documents),
+    h AS (SELECT doc_id, len(list_filter(range(1, len(t)), lambda i: t[i] = 'of' AND t[i + 1] = 'the')) AS hits FROM t) SELECT doc_id, hits FROM h WHERE hits > 0""")
+def q4_search_phrase(spark, d):
+    return _text_index(spark, d).phrase("of the").select(F.col("id").alias("doc_id"), "hits")
+
+
 _VECTOR = [((i * 37) % 11 - 5) / 7 for i in range(64)]
 _COSINE = f"c AS (SELECT vec_id, list_cosine_similarity(embedding::double[], {_VECTOR}::double[]) AS score FROM embeddings)"
 
@@ -720,11 +796,17 @@ def q5_search_semantic(spark, d):
     return Q.search_semantic(V.table(spark, d, "embeddings"), _VECTOR).select("vec_id", F.round("score", 6).alias("score"))
 
 
+@register()
+def q5_search_neighbours(spark, d):
+    """Approximate, so without SQL; its recall is measured when the index is built and tested against all rows."""
+    return _vector_index(spark, d).search(_VECTOR).select(F.col("id").alias("vec_id"), F.round("score", 6).alias("score"))
+
+
 @register("WITH " + _BM25 + ", " + _COSINE + """, l AS (SELECT doc_id AS id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM b QUALIFY r <= 50), v AS (SELECT vec_id AS id, row_number() OVER (ORDER BY score DESC, vec_id) AS r FROM c QUALIFY r <= 50),
     h AS (SELECT id, coalesce(1.0::double / (60 + l.r), 0) + coalesce(1.0::double / (60 + v.r), 0) AS score, CASE WHEN l.r IS NULL THEN 'semantic' WHEN v.r IS NULL THEN 'lexical' ELSE 'both' END AS source FROM l FULL JOIN v USING (id))
     SELECT id, source, round(score, 6) AS score FROM h ORDER BY h.score DESC, id LIMIT 10""")
 def q6_search_hybrid(spark, d):
-    lexical = Q.search_text(V.table(spark, d, "documents").withColumnRenamed("doc_id", "id"), "The idiot", "id", "text", 50)
+    lexical = _text_index(spark, d).search("The idiot", 50)
     semantic = Q.search_semantic(V.table(spark, d, "embeddings").withColumnRenamed("vec_id", "id"), _VECTOR, "id", k=50)
     return Q.search_hybrid(lexical, semantic, "id").select("id", "source", F.round("score", 6).alias("score"))
 
@@ -763,6 +845,22 @@ def w5_stream_count_or_time(spark, d):
     return out.withColumn("logged_at", F.col("logged_at").cast("timestamp_ntz"))
 
 
+@register(V.duck("logs", recursive=True) + """, x AS (SELECT user_id, logged_at, row_number() OVER (PARTITION BY user_id ORDER BY logged_at, seq) AS k, count(*) OVER (PARTITION BY user_id) AS n FROM logs),
+    e AS (SELECT x.user_id, x.k, x.n, x.logged_at AS t, min(y.k) FILTER (y.logged_at >= x.logged_at + interval 86400 second) AS f, max(y.logged_at) FILTER (y.k = x.k + 4) AS full_at
+        FROM x LEFT JOIN x y ON y.user_id = x.user_id AND y.k > x.k AND y.k < x.k + 5 GROUP BY 1, 2, 3, 4),
+    w AS (SELECT *, coalesce(f, k + 5) AS b FROM e WHERE k = 1 UNION ALL SELECT e.*, coalesce(e.f, e.k + 5) FROM w JOIN e ON e.user_id = w.user_id AND e.k = w.b)
+    SELECT user_id, least(b, n + 1) - k AS rows, t AS opened_at, CASE WHEN f IS NULL AND full_at IS NOT NULL THEN full_at ELSE t + interval 86400 second END AS closed_at, CASE WHEN f IS NULL AND full_at IS NOT NULL THEN 'rows' ELSE 'time' END AS closed_by
+    FROM w WHERE f IS NOT NULL OR full_at IS NOT NULL OR t + interval 86400 second <= (SELECT max(logged_at) - interval 60 second FROM logs)""")
+def w5_stream_window_closings(spark, d):
+    out = drained(stream_window_closings(V.logs_stream(spark, d).select("seq", "logged_at", "user_id"), "user_id", 5, 86_400_000)).drop("window_no")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("opened_at", "closed_at")})
+
+
+@register("SELECT DISTINCT user_id::varchar AS user_id FROM events")
+def d8_stream_idempotent(spark, d):
+    return drained(stream_idempotent(V.logs_stream(spark, d).select("logged_at", "user_id"), "user_id", "60 days")).select("user_id")
+
+
 @register(V.duck("statements") + f"SELECT trace_id, {NORMAL} AS statement, 5::bigint AS duplicate_count FROM statements GROUP BY 1, 2 HAVING count(*) >= 5")
 def w6_stream_n_plus_one(spark, d):
     return drained(stream_n_plus_one(V.statements_stream(spark, d))).select("trace_id", "statement", "duplicate_count")

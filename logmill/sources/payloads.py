@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..operators.sequences import Chunks, sequential
 from ..schema import LOG_SCHEMA
 from ..scratch import scratch_path
 
@@ -42,41 +39,13 @@ def batch_by_count(df: DataFrame, order: list[str], n: int = 256) -> DataFrame:
 def chunk_by_bytes(df: DataFrame, max_bytes: int = 524_288, key: str | None = None, order: list[str] | None = None) -> DataFrame:
     """``chunk_no``: rows of a key in order, a new chunk wherever the next row would pass ``max_bytes`` of JSON; a larger row is alone.
 
-    Without a key each task's rows are a sequence of their own and chunks are named by task.
+    Without a key each task's rows are a sequence of their own and chunks are named by task. A key of many rows is cut into ranges that are walked
+    apart (``sequential``).
     """
-    sized = df.withColumn("_bytes", F.octet_length(F.to_json(F.struct(*df.columns))))
-    sized = sized.withColumn("_key", F.col(key).cast("string") if key else F.spark_partition_id().cast("string"))
-    if key:
-        sized = sized.repartition("_key")
-    sized = sized.sortWithinPartitions("_key", *(order or []))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", chunk_key string, chunk_no long"
-    names = df.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, chunk, size = object(), 0, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            coded = batch.column("_key").dictionary_encode(null_encoding="encode")
-            of, numbers = coded.indices.to_numpy(), np.empty(batch.num_rows, np.int64)
-            sums = np.concatenate([[0], np.cumsum(batch.column("_bytes").to_numpy())])
-            cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
-            for i, stop in zip(cuts, cuts[1:], strict=False):
-                k = coded.dictionary[int(of[i])].as_py()
-                if k != last:
-                    last, chunk, size = k, 0, 0
-                while i < stop:  # a chunk at a time
-                    end = min(stop, int(np.searchsorted(sums, sums[i] + max_bytes - size, "right")) - 1)
-                    if end <= i:
-                        if size:
-                            chunk, size = chunk + 1, 0
-                            continue
-                        end = i + 1
-                    numbers[i:end] = chunk
-                    size, i = size + int(sums[end] - sums[i]), end
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), batch.column("_key"), pa.array(numbers)], names=[*names, "chunk_key", "chunk_no"])
-
-    return sized.mapInArrow(run, kinds)
+    own = F.col(key).cast("string") if key else F.spark_partition_id().cast("string")
+    rows = df.withColumn("chunk_key", own)
+    found = sequential(rows, "chunk_key", order or [], Chunks(max_bytes), size=F.octet_length(F.to_json(F.struct(*df.columns))), dealt=not key)
+    return found.withColumn("chunk_no", F.col("_number") - 1).drop("_opens", "_number")
 
 
 def write_payloads(chunks: DataFrame, path: str, order: list[str] | None = None, mode: str = "append") -> None:

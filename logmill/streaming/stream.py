@@ -8,19 +8,20 @@ they arrive. States go by event time, behind the watermark; rows that are later
 
 from __future__ import annotations
 
-import json
 import logging
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import normalize_sql
-from ..operators.dedup import CountOrTime, RateCap, fingerprint
+from ..operators.dedup import RateCap, fingerprint
 from ..operators.filters import drop_report, drop_stale, sample_levels, sample_traces
 from ..operators.redact import redact_json
+from ..operators.sequences import CountOrTime, Debounce, State, walk
 
 log = logging.getLogger(__name__)
 
@@ -41,88 +42,248 @@ def stream_collapse(stream: DataFrame, window: str = "2 seconds", watermark: str
     return groups.select("_row.*", "fingerprint", "count", F.when(F.col("count") > 1, F.col("_row.logged_at")).alias("first_at"), F.when(F.col("count") > 1, F.col("_last")).alias("last_at"))
 
 
-def _sequential(stream: DataFrame, key: str, columns: str, start: Callable[[str | None], object], save: Callable[[object], str], take: Callable[[object, float], dict | None], idle_s: float, order: Sequence[str] = ("logged_at", "seq"), watermark: str = "1 minute") -> DataFrame:
-    """Rows that a machine of each key takes, with the columns it adds; its state is one JSON text that goes ``idle_s`` seconds of event time after its last row."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields) + f", {columns}"
-    kinds = dict(c.split() for c in columns.split(", "))
-    names = list(kinds)
+class _Machine:
+    """A sequential rule of a key. ``parts``: its states, a name with the columns of each; ``columns``: what it adds to the rows that it takes."""
 
-    def run(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        frames = [b for b in batches if len(b)]
+    parts: Mapping[str, str]
+    columns: Mapping[str, str]
+
+    def step(self, old: Mapping[str, tuple], us: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, dict[str, tuple]]:
+        """(a number for each row, below 0 where it is not taken; the new states, each with the microsecond of its end at last)."""
+        raise NotImplementedError
+
+
+class _Keyed(StatefulProcessor):
+    """Runs a machine for each key. Each state goes by itself once the watermark has passed its own end; a batch of late rows never shortens a life."""
+
+    def __init__(self, machine: _Machine, order: Sequence[str]):
+        self.machine, self.order = machine, list(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.states = {name: handle.getValueState(name, f"{kinds}, until long") for name, kinds in self.machine.parts.items()}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = [b for b in rows if len(b)]
         if not frames:
             return
-        by = pd.concat([b[list(order)] for b in frames], ignore_index=True).sort_values(list(order), kind="stable")
-        machine = start(state.get[0] if state.exists else None)
-        found: list[dict | None] = [None] * len(by)
-        for i, t in zip(by.index, by["logged_at"], strict=True):
-            found[i] = take(machine, t.timestamp() if pd.notna(t) else 0.0)
-        state.update((save(machine),))
-        last = by["logged_at"].max()
-        end = (last.timestamp() if pd.notna(last) else 0.0) + idle_s
-        state.setTimeoutTimestamp(max(int(end * 1000), state.getCurrentWatermarkMs() + 1))
+        old = {name: tuple(state.get()) for name, state in self.states.items() if state.exists()}
+        by = pd.concat([b[self.order + ["bytes_of_row"]] for b in frames], ignore_index=True).sort_values(self.order, kind="stable")
+        found = np.empty(len(by), np.int64)
+        found[by.index], new = self.machine.step({n: v[:-1] for n, v in old.items()}, _micros(by["logged_at"]), by["bytes_of_row"].to_numpy())
+        now = timerValues.getCurrentWatermarkInMs()
+        for name, values in new.items():
+            until = max(-(-values[-1] // 1000), old[name][-1] if name in old else 0, now + 1)
+            self.states[name].update((*values[:-1], until))
+            if name not in old or until != old[name][-1]:
+                self.handle.registerTimer(until)
         at = 0
-        for rows in frames:
-            here, at = found[at : at + len(rows)], at + len(rows)
-            keep = [x is not None for x in here]
-            kept = rows[keep].reset_index(drop=True)
+        for b in frames:
+            here, at = found[at : at + len(b)], at + len(b)
+            kept = b.drop(columns="bytes_of_row")[here >= 0].reset_index(drop=True)
             if len(kept):
-                taken = [x for x in here if x is not None]
-                yield kept.assign(**{n: pd.Series([x[n] for x in taken], dtype="boolean" if kinds[n] == "boolean" else "Int64") for n in names})
+                yield kept.assign(**{c: here[here >= 0] for c in self.machine.columns})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        for state in self.states.values():
+            if state.exists() and state.get()[-1] <= now:
+                state.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def _micros(times: pd.Series) -> np.ndarray:
+    """Microseconds since 1970; a null time counts as 1970."""
+    return times.astype("datetime64[us]").fillna(pd.Timestamp(0)).astype("int64").to_numpy()
 
-    timed = stream.withWatermark("logged_at", watermark)
-    return timed.groupBy(key).applyInPandasWithState(run, schema, "machine string", "append", GroupStateTimeout.EventTimeTimeout)
+
+def _keyed(stream: DataFrame, key: str, processor: StatefulProcessor, schema: str, size: Column | None = None, watermark: str = "1 minute") -> DataFrame:
+    """``stream`` through a processor of each key, by event time. States lie in RocksDB, which this state API asks for. The API hands rows on as named
+    tuples, so column names must be identifiers that do not begin with an underscore."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    sized = stream.withColumn("bytes_of_row", (size if size is not None else F.lit(0)).cast("long"))
+    return sized.withWatermark("logged_at", watermark).groupBy(key).transformWithStateInPandas(processor, schema, "Append", "EventTime")
+
+
+def _sequential(stream: DataFrame, key: str, machine: _Machine, size: Column | None = None, order: Sequence[str] = ("logged_at", "seq")) -> DataFrame:
+    added = "".join(f", {n} {kind}" for n, kind in machine.columns.items())
+    return _keyed(stream, key, _Keyed(machine, order), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields) + added, size)
+
+
+class _RateCap(_Machine):
+    parts = {"counter": "hits long, ends double", "slot": "ends double", "tally": "held long, ends double"}
+    columns = {"suppressed_count": "long"}
+
+    def __init__(self, per_minute: int, sample_s: float):
+        self.per_minute, self.sample_s = per_minute, sample_s
+
+    def step(self, old, us, sizes):
+        hits, slot, held = old.get("counter", (0, 0.0)), old.get("slot", (0.0,)), old.get("tally", (0, 0.0))
+        cap = RateCap(self.per_minute, self.sample_s, (*hits, *slot, *held))
+        found = cap.admit_all(us / 1e6)
+        hits, hits_end, slot_end, held, held_end = cap.state()
+        parts = {"counter": (hits, hits_end), "slot": (slot_end,), "tally": (held, held_end)}
+        return found, {name: (*values, round(values[-1] * 1e6)) for name, values in parts.items() if values[-1] > 0}
 
 
 def stream_rate_cap(stream: DataFrame, per_minute: int = 60, sample_s: float = 30.0) -> DataFrame:
     """The sequential cap on a stream with ``fingerprint``; ``suppressed_count`` is null where none was held back.
 
-    The counter lives 60 s, the tally 900 s and a sample slot ``sample_s``; the state goes once all three are over.
+    The counter lives 60 s, the tally 900 s and a sample slot ``sample_s``; each is a state of its own that goes when its life is over.
     """
+    out = _sequential(stream.drop("suppressed_count"), "fingerprint", _RateCap(per_minute, sample_s))
+    return out.withColumn("suppressed_count", F.nullif("suppressed_count", F.lit(0).cast("long")))
+
 
-    def take(cap: RateCap, now: float) -> dict | None:
-        ok, n = cap.admit(now)
-        return {"suppressed_count": n or None} if ok else None
+class _Debounce(_Machine):
+    parts = {"marker": "start long"}
+    columns = {"is_passed": "long"}
 
-    return _sequential(stream.drop("suppressed_count"), "fingerprint", "suppressed_count long", lambda s: RateCap(per_minute, sample_s, tuple(json.loads(s)) if s else None), lambda c: json.dumps(c.state()), take, max(60.0, 900.0, sample_s))
+    def __init__(self, window_s: float):
+        self.rule = Debounce(window_s)
+
+    def step(self, old, us, sizes):
+        state = State(0, old["marker"][0], 1, 0) if old else State()
+        opens, state = walk(self.rule, state, us, sizes)
+        return np.where(opens, 1, -1), {"marker": (state.start, state.start + self.rule.us + 60_000_000)}
 
 
 def stream_debounce(stream: DataFrame, key: str, window_s: float = 10) -> DataFrame:
     """The first event of a key passes, then the first one after ``window_s`` seconds, and so on; the marker goes after window + 60 s."""
+    return _sequential(stream, key, _Debounce(window_s)).drop("is_passed")
+
 
-    def take(marker: list, now: float) -> dict | None:
-        if marker and now < marker[0]:
-            return None
-        marker[:] = [now + window_s]
-        return {"passed": True}
+class _CountOrTime(_Machine):
+    parts = {"window": "number long, start long, rows long, size long"}
+    columns = {"window_no": "long"}
 
-    return _sequential(stream, key, "passed boolean", lambda s: json.loads(s) if s else [], json.dumps, take, window_s + 60).drop("passed")
+    def __init__(self, rule: CountOrTime):
+        self.rule = rule
+
+    def step(self, old, us, sizes):
+        state = State(*old["window"]) if old else State()
+        before = state.number
+        opens, state = walk(self.rule, state, us, sizes)
+        return before + np.cumsum(opens), {"window": (*state, int(us[-1]) + max(60_000_000, self.rule.us))}
+
+
+def stream_count_or_time(stream: DataFrame, key: str, max_count: int = 20, max_ms: float = 2000, max_rows: int = 100, max_bytes: int = 1 << 20) -> DataFrame:
+    """``window_no`` of each row, by the rules of ``count_or_time_windows``; an idle key's state goes after its window's time, and with it the numbering
+    starts anew."""
+    size = F.octet_length(F.to_json(F.struct(*stream.columns)))
+    return _sequential(stream, key, _CountOrTime(CountOrTime(max_count, max_ms, max_rows, max_bytes)), size)
+
+
+class _Ticked(CountOrTime):
+    """A window ends ``max_ms`` after its first row whether a row comes or not; a row that comes then opens the next one."""
+
+    def after(self, at, start, rows, size, times, sums):
+        n = len(times)
+        old = np.searchsorted(times, start + self.us)
+        heavy = np.maximum(np.searchsorted(sums[1:], sums[at] + self.bytes - size), at) + 1
+        found = np.minimum(np.minimum(at + np.maximum(1, self.count - rows), heavy), np.where(old == n, n + 1, np.maximum(old, at + (rows == 0))))
+        return np.minimum(found, n + 1)
+
+
+class _Closings(StatefulProcessor):
+    """One row for each window that closes: by a row that makes it full, or by a timer when its time is over."""
+
+    def __init__(self, key: str, rule: _Ticked):
+        self.key, self.rule = key, rule
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("window", "number long, start long, rows long, size long")
+
+    def _told(self, key: tuple, closed: list[tuple[int, int, int, int, str]]) -> pd.DataFrame:
+        out = pd.DataFrame(closed, columns=["window_no", "opened_at", "closed_at", "rows", "closed_by"])
+        out[["opened_at", "closed_at"]] = out[["opened_at", "closed_at"]].apply(lambda c: pd.to_datetime(c, unit="us"))
+        return out.assign(**{self.key: key[0]})[[self.key, "window_no", "rows", "opened_at", "closed_at", "closed_by"]]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = [b for b in rows if len(b)]
+        if not frames:
+            return
+        by = pd.concat([b[["logged_at", "bytes_of_row"]] for b in frames], ignore_index=True).sort_values("logged_at", kind="stable")
+        us, sizes = _micros(by["logged_at"]), by["bytes_of_row"].to_numpy()
+        state = State(*self.state.get()) if self.state.exists() else State()
+        opens, after = walk(self.rule, state, us, sizes)
+        starts = np.flatnonzero(opens)
+        first = [(state.number, state.start, state.rows)] if state.rows else []
+        windows = first + [(state.number + 1 + i, int(us[s]), 0) for i, s in enumerate(starts.tolist())]
+        ends = [*(starts.tolist() if first else starts.tolist()[1:]), len(us)]
+        begins = ([0] if first else []) + starts.tolist()
+        closed = []
+        for i, ((number, start, held), begin, end) in enumerate(zip(windows, begins, ends, strict=True)):
+            if i == len(windows) - 1 and after.rows:
+                break  # open
+            full = held + end - begin >= self.rule.count or (end > begin and us[end - 1] < start + self.rule.us and self._heavy(state if held else None, sizes[begin:end]))
+            closed.append((number, start, int(us[end - 1]) if full else start + self.rule.us, held + end - begin, "rows" if full else "time"))
+        if after.rows and after.start + self.rule.us <= timerValues.getCurrentWatermarkInMs() * 1000:
+            closed.append((after.number, after.start, after.start + self.rule.us, after.rows, "time"))
+            after = State(after.number)
+        self.state.update(tuple(after))
+        self.handle.registerTimer(-(-(after.start + self.rule.us) // 1000) if after.rows else max(timerValues.getCurrentWatermarkInMs(), int(us[-1]) // 1000) + 60_000)
+        if closed:
+            yield self._told(key, closed)
+
+    def _heavy(self, state: State | None, sizes: np.ndarray) -> bool:
+        return (state.size if state else 0) + int(sizes.sum()) >= self.rule.bytes
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.state.exists():
+            return
+        state, now = State(*self.state.get()), expiredTimerInfo.getExpiryTimeInMs()
+        if not state.rows:
+            self.state.clear()  # idle for a minute: the numbering starts anew
+        elif state.start + self.rule.us <= now * 1000:
+            self.state.update((state.number, 0, 0, 0))
+            self.handle.registerTimer(now + 60_000)
+            yield self._told(key, [(state.number, state.start, state.start + self.rule.us, state.rows, "time")])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_window_closings(stream: DataFrame, key: str, max_count: int = 20, max_ms: float = 2000, max_rows: int = 100, max_bytes: int = 1 << 20) -> DataFrame:
+    """key, window_no, rows, opened_at, closed_at, closed_by (rows, time) of each window that has closed.
+
+    A timer closes an idle window once the watermark is ``max_ms`` past its first row, although no further row of its key comes; a row that does come
+    later opens the next one. The key's numbering goes a minute after its last window.
+    """
+    size = F.octet_length(F.to_json(F.struct(*stream.columns)))
+    kind = stream.schema[key].dataType.simpleString()
+    return _keyed(stream, key, _Closings(key, _Ticked(max_count, max_ms, max_rows, max_bytes)), f"`{key}` {kind}, window_no long, rows long, opened_at timestamp, closed_at timestamp, closed_by string", size)
 
 
-def stream_count_or_time(stream: DataFrame, key: str, max_count: int = 20, max_ms: float = 2000) -> DataFrame:
-    """``window_no`` of each row; an idle key's state goes after its window's time, and with it the numbering starts anew."""
+class _NPlusOne(_Machine):
+    parts = {"runs": "n long"}
+    columns = {"duplicate_count": "long"}
 
-    def start(s: str | None) -> CountOrTime:
-        machine = CountOrTime(max_count, max_ms)
-        if s:
-            machine.number, machine.n, machine.opened = json.loads(s)
-        return machine
+    def __init__(self, threshold: int, span_s: float):
+        self.threshold, self.life = threshold, round(span_s * 1e6)
 
-    return _sequential(stream, key, "window_no long", start, lambda m: json.dumps([m.number, m.n, m.opened]), lambda m, now: {"window_no": m.take(now)}, max(60.0, max_ms / 1000))
+    def step(self, old, us, sizes):
+        n = old["runs"][0] if old else 0
+        count = n + 1 + np.arange(len(us))
+        return np.where(count == self.threshold, count, -1), {"runs": (n + len(us), int(us[-1]) + self.life)}
 
 
 def stream_n_plus_one(queries: DataFrame, threshold: int = 5, span_s: float = 600) -> DataFrame:
-    """The ``threshold``-th run of a statement within a span (columns trace_id, span_id, sql, ts, seq); counts go with the span's state."""
+    """The ``threshold``-th run of a statement within a span (columns trace_id, span_id, sql, ts, seq); a count goes ``span_s`` after its last run."""
     rows = queries.withColumnRenamed("ts", "logged_at").withColumn("statement", normalize_sql("sql"))
-    rows = rows.withColumn("_key", F.md5(F.concat_ws("|", "trace_id", "span_id", "statement").cast("binary")))
+    rows = rows.withColumn("run_key", F.md5(F.concat_ws("|", "trace_id", "span_id", "statement").cast("binary")))
+    return _sequential(rows, "run_key", _NPlusOne(threshold, span_s)).drop("run_key").withColumnRenamed("logged_at", "ts")
 
-    def take(n: list, _: float) -> dict | None:
-        n[0] += 1
-        return {"duplicate_count": n[0]} if n[0] == threshold else None
 
-    return _sequential(rows, "_key", "duplicate_count long", lambda s: json.loads(s) if s else [0], json.dumps, take, span_s).drop("_key").withColumnRenamed("logged_at", "ts")
+def stream_idempotent(stream: DataFrame, id_col: str, life: str = "10 minutes") -> DataFrame:
+    """Each event id once; ids are remembered for ``life`` of event time behind their row, across batches, then an id may come again. Rows
+    without an id all pass."""
+    known = stream.where(F.col(id_col).isNotNull()).withWatermark("logged_at", life).dropDuplicatesWithinWatermark([id_col])
+    return known.unionByName(stream.where(F.col(id_col).isNull()))
 
 
 def write_with_reports(stream: DataFrame, path: str, checkpoint: str, now: Callable[[], str], max_age_s: int, recovery: bool = False, retry_max_age_s: int = 600, on_report: Callable[[DataFrame], None] | None = None):
