@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .bpe import code_points, mixed, word_hashes
-from .common import dropped, fresh, joined, scratch_path, slices, text_or_empty, written
+from .common import dropped, fresh, joined, scratch_path, slices, small_batches, text_or_empty, written
 from .graphs import components
 
 WORDS, THRESHOLD = 5, 0.8
@@ -399,6 +399,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _classes(plain: DataFrame, threshold: float = THRESHOLD, largest: int = LARGEST) -> DataFrame:
     """``near_classes`` of ``plain`` (id, text), with ``digest`` of the text."""
     others = ["digest"]
+    small_batches(plain.sparkSession)
     plain = plain.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
     rows = written(signatures(plain), "signatures")
     named = rows.where("key is not null")

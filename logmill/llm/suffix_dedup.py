@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import mixed, span_hashes
-from .common import dropped, fresh, joined, partitions, slices, text_or_empty, written
+from .common import dropped, fresh, joined, partitions, slices, small_batches, text_or_empty, written
 from .suffix_sort import big_endian_words, equal_groups, repeated
 
 LENGTH = 200
@@ -37,6 +37,7 @@ HELD = 100_000  # contexts that a task compares among themselves
 SORTED = 400_000  # starts that are sorted together; a whole context counts as ``WEIGHT`` of them
 WEIGHT = 40
 SMALL = 4_000_000  # keys that may be broadcast
+FEW_COPIES = 1_000_000  # texts that several rows hold, of which there may be so many to be broadcast
 
 
 def _window_minima(keys: np.ndarray, width: int) -> np.ndarray:
@@ -316,6 +317,7 @@ def merged_spans(first: np.ndarray, last: np.ndarray, length: int = LENGTH) -> n
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows, copies): id, text, m (md5), k (64-bit key of the text) of every row of at least ``LENGTH`` bytes, and the m of texts that occur more
     than once there, with the largest id. Texts that share a 64-bit hash get other keys, so a key stands for one text."""
+    small_batches(docs.sparkSession)
     plain = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).where(F.octet_length("text") >= LENGTH)
     keyed = plain.select("id", "text", F.md5(F.col("text").cast("binary")).alias("m"), F.xxhash64("text").alias("k"))
     texts = written(keyed.groupBy("m", "k").agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("n")), "texts")
@@ -329,12 +331,26 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     return keyed, copies
 
 
+def _one_each(keyed: DataFrame, copies: DataFrame) -> DataFrame:
+    """Rows of ``keyed`` whose text occurs once, and of others those with the largest id, with ``copied``.
+
+    Beyond ``FEW_COPIES`` the md5 meet without the texts, hot ones by broadcast, and the texts move once, by the number of their row.
+    """
+    stays = F.col("copied").isNull() | F.col("id").eqNullSafe(F.col("last"))
+    if copies.count() <= FEW_COPIES:
+        return keyed.join(F.broadcast(copies), "m", "left").where(stays)
+    rows = written(keyed.withColumn("row", F.monotonically_increasing_id()), "keyed")
+    marks = joined(rows.select("row", "id", "m"), copies, "m", "left").where(stays).select("row", "copied")
+    ones = written(rows.join(marks, "row"), "ones")
+    dropped(rows)
+    return ones
+
+
 def repeated_ranges(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(ones, copies, ranges): rows as of ``_keyed`` whose text occurs once, or is the last of its copies; the m of texts that occur more than
     once; and k, first, last of all repeated ranges of starts."""
     keyed, copies = _keyed(docs, id_col, text_col)
-    side = F.broadcast(copies) if copies.count() <= 1_000_000 else copies
-    ones = keyed.join(side, "m", "left").where(F.col("copied").isNull() | F.col("id").eqNullSafe(F.col("last")))
+    ones = _one_each(keyed, copies)
     texts = ones.select("k", "text")
     marked = written(_met(_meeting_rows(texts)), "marked")
     found = _sorted_starts(_sent_contexts(texts, marked))
@@ -407,7 +423,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.decode("utf-8", "ignore") for x in batch.column(1).to_pylist()], pa.string())], names=["m", "kept"])
 
     plain = done.mapInArrow(decode, "m string, kept string").toDF(own_m, own_kept)
-    out = docs.join(plain, F.md5(text_or_empty(text_col).cast("binary")) == F.col(own_m), "left").withColumn(text_col, F.coalesce(own_kept, F.col(text_col)))
+    out = joined(docs.withColumn(own_m, F.md5(text_or_empty(text_col).cast("binary"))), plain, own_m, "left").withColumn(text_col, F.coalesce(own_kept, F.col(text_col)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -179,6 +179,8 @@ def test_repeats(spark, monkeypatch):
     for hot in (20_000, 2):  # contexts as they are, and start by start
         monkeypatch.setattr(suffix_dedup, "HOT", hot)
         assert collections.Counter(map(tuple, suffix_dedup.repeat_report(df).collect())) == want
+    monkeypatch.setattr(suffix_dedup, "FEW_COPIES", 0)  # md5 meet without the texts
+    assert collections.Counter(map(tuple, suffix_dedup.repeat_report(df).collect())) == want
     cut = suffix_dedup.without_repeats(df)
     assert cut.columns == df.columns and cut.count() == len(rows)
     assert suffix_dedup.repeat_report(df.limit(0)).count() == 0
