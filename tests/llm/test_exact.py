@@ -32,7 +32,7 @@ def multiset(rows):
 @pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
 def test_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
     got = queries.QUERIES[name](spark, sf)
     want = con.sql(f"select {', '.join(got.columns)} from ({queries.ORACLE_SQL[name]})").fetchall()
