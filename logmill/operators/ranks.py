@@ -57,7 +57,8 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: Column | str, per
         few = with_(values, targets.where("lo < hi")).where("v >= lo and v <= hi").groupBy("key", "rank", "below").agg(F.sort_array(F.collect_list("v")).alias("vs"))  # ``small`` at most
         found = one.unionByName(few.select("key", "rank", F.element_at("vs", (F.col("rank") - F.col("below") + 1).cast("int")).alias("v")))
         told = found.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at")).join(large.select("key", "n"), "key")
-        between = lambda p: F.col("at")[ends[p][0]] + (F.col("at")[ends[p][1]] - F.col("at")[ends[p][0]]) * (p * (F.col("n") - 1) - ends[p][0])
+        at, place = (lambda e: F.col("at")[e]), (lambda p: p * (F.col("n") - 1))
+        between = lambda p: F.when(ends[p][0] == ends[p][1], at(ends[p][0])).otherwise((ends[p][1] - place(p)) * at(ends[p][0]) + (place(p) - ends[p][0]) * at(ends[p][1]))
         done = told.select("key", "n", *[between(p).alias(c) for c, p in percentiles.items()])
     out = kept(little.unionByName(done) if done is not None else little, "percentiles")
     for path in made[:-1]:

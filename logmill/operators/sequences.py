@@ -196,10 +196,10 @@ def sequential(df: DataFrame, key: str, order: Sequence[str], rule: Rule, time:
         return plain(rows)
     spark = df.sparkSession
     one = F.col(key).eqNullSafe(F.col("_hot"))  # at most a key in ``HOT`` rows
-    path = scratch_path(spark, "ranges")
-    rows.join(F.broadcast(hot), one, "left_semi").repartitionByRange(key, *order).withColumn("_range", F.spark_partition_id().cast("long")).write.parquet(path)
+    path, tasks = scratch_path(spark, "ranges"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.join(F.broadcast(hot), one, "left_semi").repartitionByRange(tasks, key, *order).withColumn("_range", F.spark_partition_id().cast("long")).write.parquet(path)
     ranged = spark.read.parquet(path)
-    in_order = lambda part: part.repartition("_range").sortWithinPartitions("_range", key, *order)
+    in_order = lambda part: part.repartition(tasks, "_range").sortWithinPartitions("_range", key, *order)
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[object, int, np.ndarray, np.ndarray]] = []

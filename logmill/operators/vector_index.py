@@ -71,7 +71,7 @@ def build_vector_index(df: DataFrame, path: str, id_col: str = "vec_id", vector_
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int32))], names=["id", "vector", "list"])
 
     kinds = f"id {rows.schema['id'].dataType.simpleString()}, vector {rows.schema['vector'].dataType.simpleString()}, list int"
-    dealt = rows.mapInArrow(assign, kinds).repartitionByRange("list", F.xxhash64("id", "vector"))  # so a large list is dealt to several tasks
+    dealt = rows.mapInArrow(assign, kinds).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "list", F.xxhash64("id", "vector"))  # so a large list is dealt to several tasks
     dealt.write.partitionBy("list").parquet(f"{path}/lists")
     asked = known[np.random.default_rng(2).choice(len(known), min(QUERIES, len(known)), replace=False)]
     index = VectorIndex(spark, path, centres, 1, 0.0)
