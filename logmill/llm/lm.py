@@ -29,6 +29,7 @@ CLASSES = 128  # of all other words
 SYMBOLS = HEAD + CLASSES
 DIM = 24
 TABLE = 1 << 17  # words whose counts tasks hold; all others' counts are joined
+LONGEST = 64  # characters of such a word, which bounds their bytes
 NOISE = 64  # noise symbols for each minibatch
 BATCH = 4096
 CHUNKS = 64  # of the parameters, when they are averaged
@@ -127,7 +128,7 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     all_ = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = most_frequent(counts, "c", TABLE).toPandas().sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
+    top = most_frequent(counts.where(F.length("word") <= LONGEST), "c", TABLE).toPandas().sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
     cps, bounds = code_points(list(top["word"]))
     hashes = span_hashes(cps, bounds[:-1], bounds[1:])
     spans = np.stack([bounds[:-1], np.where(top["word"] == END, bounds[:-1], bounds[1:])], 1)

@@ -2,7 +2,7 @@
 
 A byte-level BPE encodes each pre-token by itself, so a text has as many tokens as its pre-tokens have pieces. Pieces are counted once for
 each distinct pre-token and summed over the text's pre-token frequencies. The most frequent pre-tokens (a table of bounded size, counted
-beforehand over all documents) are looked up where the text is read. All other pre-tokens meet by a shuffle on the pre-token itself: there
+beforehand over all documents, none over ``LONGEST`` characters) are looked up where the text is read. All other pre-tokens meet by a shuffle on the pre-token itself: there
 each distinct one is encoded once, and its pieces go back to the documents that hold it as sums. Hashes only find; characters decide.
 
 Which pre-tokens are in the table decides only the way that a count takes, never the count.
@@ -23,6 +23,7 @@ from .bpe import byte_level_starts, code_points, distinct_spans, equal_spans, li
 from .common import dropped, most_frequent, partitions, slices, text_or_empty, written
 
 TABLE = 1 << 17  # pre-tokens in the table of frequent ones
+LONGEST = 64  # characters of a pre-token in that table, which bounds its bytes; longer ones meet by the shuffle
 HELD = 500_000  # distinct pre-tokens whose counts a task holds before it sends them
 
 
@@ -85,7 +86,7 @@ def frequent_pre_tokens(docs: DataFrame, path: str, text_col: str = "text", tabl
 
     plain = docs.select(text_or_empty(text_col).alias("text"))
     counts = written(plain.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1"), "pieces")
-    words = sorted(most_frequent(counts, "n", table).select("piece").toPandas()["piece"])
+    words = sorted(most_frequent(counts.where(F.length("piece") <= LONGEST), "n", table).select("piece").toPandas()["piece"])
     dropped(counts)
     cps, bounds = code_points(words)
     hashes = span_hashes(cps, bounds[:-1], bounds[1:])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .bpe import LETTER, classes, code_points, span_hashes
-from .common import fold, slices, text_or_empty
+from .common import dropped, fold, slices, small_batches, text_or_empty, written
 
 BUCKETS = 1 << 17  # of hashed n-grams
 WINDOW = 5  # words; a shorter text is filled up with zeros
@@ -231,8 +231,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_
 
     Only rows whose crc32(id as text) modulo ``folds`` is not ``held_out`` are read. A null label or id is no label; of repeated labels of
     an id the larger one counts, and of rows that share an id the one with the greatest text. Which rows are taken depends on a hash of the
-    id alone; they are whole texts of any length, taken in that order until rows or bytes are full. Both bounds hold before rows go to the
-    driver.
+    id alone; they are whole texts of any length, taken in that order until rows or bytes are full. Lengths decide that, so both bounds hold
+    before any text moves.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held_out)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     found = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -243,10 +243,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_
         part = known.where((F.col("toxic") == kind) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < near)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
     ids = ids.select(F.col("doc_id").alias("_id"), "toxic")
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
-    rows = rows.groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))  # at most ``per_class`` of each class
-    so_far = F.sum(F.octet_length("text").cast("long")).over(W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    taken = rows.withColumn("so_far", so_far).where(F.col("so_far") <= fit_bytes).select("doc_id", "text", "toxic").collect()
+    of = lambda chosen: docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # noqa: E731  at most ``per_class`` of each class
+    sizes = of(ids).groupBy("doc_id", "toxic").agg(F.max(F.octet_length("text").cast("long")).alias("n"))
+    so_far = F.sum("n").over(W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    within = written(sizes.withColumn("so_far", so_far).where(F.col("so_far") <= fit_bytes).select(F.col("doc_id").alias("_id"), "toxic"), "within")
+    taken = of(within).groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).collect()
+    dropped(within)
     taken.sort(key=lambda r: r["doc_id"])
     return [r["text"] for r in taken], np.array([r["toxic"] for r in taken], np.int64), found.get(1, 0) / total if total else 0.0
 
@@ -277,8 +279,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``threshold``, with all their columns.
 
-    Scores are computed once and joined to nothing: the text's score is a column beside it while the rows pass.
+    Scores are computed once and joined to nothing: the text's score is a column beside it while the rows pass. A null text counts as empty and
+    stays null; repeated rows go or stay together; ids are no part of it. An empty table gives an empty one, and with no labels no text is toxic.
     """
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(*training_rows(docs, labels)))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

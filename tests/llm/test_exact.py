@@ -221,8 +221,43 @@ def edit_distance(a, b):
     return row[-1]
 
 
+def fingerprint_slowly(text):
+    """Byte by byte: the hash of the last seven bytes ends a chunk, and a chunk's hash gives its character."""
+    data, mask = text.encode(), (1 << 64) - 1
+    if not data:
+        return "3::"
+
+    def mix(h):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            h = ((h ^ (h >> shift)) * factor) & mask
+        return h
+
+    roll = [mix(sum((data[i - k] + 1) * pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(min(7, i + 1))) & mask) >> 32 for i in range(len(data))]
+
+    def signature(block):
+        chunks, begin = [], 0
+        for i, h in enumerate(roll):
+            if h % block == block - 1 and len(chunks) < 63:
+                chunks.append(data[begin : i + 1])
+                begin = i + 1
+        if begin < len(data):
+            chunks.append(data[begin:])
+        letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+        spans = [np.frombuffer(c, np.uint8) for c in chunks]
+        return "".join(letters[int(span_hashes(c, np.array([0]), np.array([len(c)]))[0]) >> 58] for c in spans)
+
+    block = 3
+    while block * 64 < len(data):
+        block *= 2
+    while block > 3 and sum(h % block == block - 1 for h in roll) < 32:
+        block //= 2
+    return f"{block}:{signature(block)}:{signature(2 * block)}"
+
+
 def test_fingerprints(texts, odd, none):
     assert fuzzy_hash._distances(["abc", "", "kitten", "x"], ["abd", "xy", "sitting", ""]).tolist() == [edit_distance(*p) for p in (("abc", "abd"), ("", "xy"), ("kitten", "sitting"), ("x", ""))]
+    for t in ["", "a", "abc" * 40, "ä中😀" * 300, *[t for _, t in texts[:25]], *[t for _, t in texts if len(t) > 3000][:3]]:
+        assert fuzzy_hash.fingerprint(t) == fingerprint_slowly(t)
     whole = [t for _, t in texts if len(t) > 500][:40]
     prints = [fuzzy_hash.fingerprint(t) for t in whole]
     edited = [fuzzy_hash.fingerprint(t[: len(t) // 3] + " new words here " + t[len(t) // 3 :]) for t in whole]

@@ -271,6 +271,46 @@ def test_toxicity_held_out(spark):
     assert np.mean(english) > 0.8
 
 
+def score_slowly(model, text):
+    """Windows, words, n-grams and means one by one."""
+    low = text.lower()
+    words, word = [], ""
+    for c in low + " ":
+        inside = toxicity.classes(np.array([ord(c)], np.uint32))[0] >= toxicity.LETTER
+        if inside:
+            word += c
+        elif word:
+            words.append(word)
+            word = ""
+    bucket = lambda codes: int(toxicity.span_hashes(np.array(codes, np.uint32), np.array([0]), np.array([len(codes)]))[0]) % toxicity.BUCKETS
+    shares = []
+    for w in words:
+        codes = [1, *map(ord, w), 2]
+        grams = [codes] + [codes[i : i + n] for n in toxicity.NGRAMS for i in range(len(codes) - n + 1)]
+        shares.append(sum(model.share[bucket(g)] for g in grams) / len(grams))
+    windows = [sum(shares[i : i + toxicity.WINDOW]) / toxicity.WINDOW for i in range(max(1, len(shares) - toxicity.WINDOW + 1))]
+    return 1 / (1 + np.exp(-(model.slope * max(windows) + model.shift)))
+
+
+def test_scores_of_a_fixed_model(spark, odd, texts):
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(rng.normal(size=toxicity.BUCKETS), 3.0, -1.5)
+    some = [t for _, t in texts[:60] if t] + [r.text or "" for r in odd.collect() if len(r.text or "") < 5000] + ["", "a", "one two three four five six", "x " * 9 + "Ünï 中文字 1234567"]
+    assert np.allclose(model.scores(some), [score_slowly(model, t) for t in some], atol=1e-9)
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(list(enumerate(some)), "doc_id int, text string").repartition(3), model).collect()}
+    assert np.allclose([got[i] for i in range(len(some))], model.scores(some), atol=1e-12)
+
+
+def test_a_very_long_text_is_scored_whole(spark):
+    model = toxicity.Model(np.zeros(toxicity.BUCKETS), 1.0, 0.0)
+    word = toxicity.Words(["badword"])
+    model.share[word.buckets] = 4.0
+    long = "fine words here " * 150_000 + "badword " * 5
+    rows = spark.createDataFrame([(1, long), (2, "fine words here"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(rows, model).collect()}
+    assert got[1] > 0.95 and abs(got[2] - 0.5) < 0.2 and got[3] == 0.5
+
+
 def test_training_rows_are_bounded(spark):
     rows = [(i, f"text {i} " + "x" * (100 * i)) for i in range(40)] + [(3, "text 3 again"), (5, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
@@ -306,6 +346,13 @@ def test_pipeline(spark, sf):
     assert {"doc_id", "sequence_id", "offset", "length"} <= set(pipeline.run(spark, sf).columns)
 
 
+def test_pipeline_on_an_empty_table(spark, sf, tmp_path):
+    pipeline = importlib.import_module("corpus_pipeline")
+    for t in ("documents", "labels"):
+        spark.read.parquet(f"{sf}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_pipeline_against_brute_force(spark, sf):
     """Each stage by a few lines of Python over what the one before keeps; the classifier alone is taken as it is."""
     pipeline = importlib.import_module("corpus_pipeline")
