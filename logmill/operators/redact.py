@@ -73,11 +73,29 @@ def redact_columns(df: DataFrame, key_patterns: Sequence[str] = KEY_PATTERNS, va
     return df.select(*out)
 
 
+# A JSON object without white space whose values are texts, whole numbers or words, without escapes.
+_PAIR = r'"[^"\\\x00-\x1f]*":(?:"[^"\\\x00-\x1f]*"|-?(?:0|[1-9][0-9]*)|true|false|null)'
+_FLAT = rf"^\{{{_PAIR}(?:,{_PAIR})*\}}$"
+FLAT_LENGTH = 4096  # characters of a text that is matched as a whole
+
+
+def _flat_masked(c: Column, key_patterns: Sequence[str], mask: str) -> tuple[Column, Column]:
+    """(whether the text ``c`` is a flat object that expressions can mask, the text with its sensitive values masked)."""
+    parts = [p for p in key_patterns if p]
+    if not parts or not all(re.fullmatch(r"[A-Za-z0-9_-]+", p) for p in parts) or re.search(r'["\\\x00-\x1f]', mask):
+        return F.lit(False), c
+    # two characters have small letters that are ASCII, which a match that knows ASCII's cases alone would miss
+    flat = (F.length(c) <= FLAT_LENGTH) & c.rlike(_FLAT) & ~c.rlike("[\u0130\u212a]")
+    hit = rf'([{{,])"([^"]*(?i:{"|".join(map(re.escape, parts))})[^"]*)":(?:"[^"]*"|[^,}}]+)'
+    return flat, F.regexp_replace(c, hit, '$1"$2":"' + mask.replace("$", "\\$") + '"')
+
+
 def redact_json(df: DataFrame, columns: Sequence[str], key_patterns: Sequence[str] = KEY_PATTERNS, value_regexes: Sequence[str] = (), mask: str = MASK) -> DataFrame:
     """The same for JSON texts of any depth; a text that is no JSON, or too deep to be read, stays as it is.
 
     Without value regexes, a text that holds no part of a sensitive name and no escape has nothing to mask: it stays as it is and never leaves
-    the JVM. All others go through one function in Arrow batches, which gives them without white space.
+    the JVM; nor do flat objects without white space, escapes and fractions, which are masked by expressions (a key that an object repeats stays
+    repeated there). All others go through one function in Arrow batches, which gives them without white space.
     """
     regexes = [re.compile(r) for r in _valid(value_regexes)]
 
@@ -104,7 +122,9 @@ def redact_json(df: DataFrame, columns: Sequence[str], key_patterns: Sequence[st
         if regexes:
             return clean(c)
         some = [F.contains(F.lower(c), F.lit(p.lower())) for p in key_patterns if p]
-        return F.coalesce(clean(F.when(reduce(lambda a, b: a | b, some, F.contains(F.col(c), F.lit("\\"))), F.col(c))), F.col(c))
+        here = reduce(lambda a, b: a | b, some, F.contains(F.col(c), F.lit("\\")))
+        flat, done = _flat_masked(F.col(c), key_patterns, mask)
+        return F.when(here & flat, done).otherwise(F.coalesce(clean(F.when(here & ~flat, F.col(c))), F.col(c)))
 
     return df.withColumns({c: masked(c) for c in columns})
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..schema import LEVELS
-from ..scratch import scratch_path
+from ..scratch import removed, scratch_path
 
 
 def search_by_field(df: DataFrame, field: str, value: object) -> DataFrame:
@@ -46,8 +46,8 @@ def _times(tokens: str, word: str):
 def search_text(df: DataFrame, query: str, id_col: str, text_col: str, k: int = 10, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The ``k`` best rows by BM25: id, score. Words are lower-cased runs of letters and digits; ties go by id.
 
-    Texts are split once: length and frequency of each of the query's words go to a narrow table in the shared folder, and statistics and
-    scores come from that.
+    One pass over all texts, for a query now and then; for many, ``build_text_index``. Texts are split once: length and frequency of each of the
+    query's words go to a narrow table in the shared folder, statistics and scores come from that, and it is removed.
     """
     words = sorted({w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()})
     if not words:
@@ -60,7 +60,11 @@ def search_text(df: DataFrame, query: str, id_col: str, text_col: str, k: int =
     met = rows.where(reduce(lambda x, y: x | y, [F.col(f"f{i}") > 0 for i in range(len(words))])).join(F.broadcast(stats))  # one row
     part = lambda i: F.log(1 + (F.col("docs") - F.col(f"d{i}") + 0.5) / (F.col(f"d{i}") + 0.5)) * F.col(f"f{i}") * (k1 + 1) / (F.col(f"f{i}") + k1 * (1 - b + b * F.col("n") / F.col("mean")))
     score = reduce(lambda x, y: x + y, [part(i) for i in range(len(words))])
-    return met.select(id_col, score.alias("score")).orderBy(F.desc("score"), id_col).limit(k)
+    best = met.select(id_col, score.alias("score")).orderBy(F.desc("score"), id_col).limit(k)
+    found = scratch_path(df.sparkSession, "found")
+    best.write.parquet(found)
+    removed(df.sparkSession, path)
+    return df.sparkSession.read.schema(best.schema).parquet(found)
 
 
 def cosine(vector: str, query: Sequence[float]):

@@ -290,6 +290,34 @@ def test_deep_and_plain_json_stays(spark):
     assert got == [deep, texts[1], '{"password":"********"}', '{"Token":"********"}', texts[4], None]
 
 
+def test_flat_json_is_masked_as_any_other(spark):
+    import json
+    import random
+
+    rnd = random.Random(2)
+    names, values = ["a", "token", "apiKEY", "x secret y", "toKen", "kEy", "é", "", ",", "{", "passwor", "token,"], ["t", "", "a,b", "}", "{", 'x"y', "é\\n", 1, -20, 0, 10**30, 1.5, True, None, {"key": 1}, ["token"]]
+    texts = [json.dumps({rnd.choice(names): rnd.choice(values) for _ in range(rnd.randint(0, 5))}, ensure_ascii=rnd.random() < 0.3, separators=rnd.choice([(",", ":"), (", ", ": ")])) for _ in range(400)]
+    texts += ['{"token":01}', '{"token":"a"', '{"token":}', '{"token":"a"}x', '["token"]', '"token"', '{"token":"a","b":"' + "z" * 5000 + '"}', "{" + ",".join(f'"token{i}":{i}' for i in range(250)) + "}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, c string")
+    got = [r.c for r in redact.redact_json(df, ["c"]).orderBy("i").collect()]
+
+    def walk(x):
+        if isinstance(x, dict):
+            return {k: redact.MASK if any(p in k.lower() for p in redact.KEY_PATTERNS) else walk(v) for k, v in x.items()}
+        return [walk(v) for v in x] if isinstance(x, list) else x
+
+    for text, out in zip(texts, got, strict=True):
+        try:
+            want = json.dumps(walk(json.loads(text)), ensure_ascii=False, separators=(",", ":"))
+        except ValueError:
+            want = text
+        assert out == want or (out == text and not any(p in text.lower() for p in redact.KEY_PATTERNS) and "\\" not in text), text
+    plan = redact.redact_json(df.where("c like '{%'"), ["c"])._jdf.queryExecution().toString()
+    assert "regexp_replace" in plan
+    flat = df.select(redact._flat_masked(F.col("c"), redact.KEY_PATTERNS, redact.MASK)[0].alias("f")).where("f").count()
+    assert flat > 60
+
+
 def test_approximate_percentiles(spark):
     df = spark.range(1000).selectExpr("cast(id as string) as trace_id", "id as duration_ms", "'r' as route_name", "100 as level", "'m' as message", "1 as count", "0 as suppressed_count")
     stats = {r["name"]: r["value"] for r in analytics.analyze_route_performance(df, "r", accuracy=10_000).where("section = 'duration'").collect()}
