@@ -280,6 +280,7 @@ class ForcedBoundaryBpe:
     """
 
     LIMIT = 400_000  # words and fragments remembered; then a memory is emptied
+    LONGEST = 64  # characters of those, which bounds their bytes; longer ones are encoded each time
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -337,11 +338,14 @@ class ForcedBoundaryBpe:
             if ids is None:
                 if len(self.fragments) >= self.LIMIT:
                     self.fragments.clear()
-                ids = self.fragments[f] = self.merge(f) if len(f) <= 200 else self.merge_long(f)
+                ids = self.merge(f) if len(f) <= 200 else self.merge_long(f)
+                if len(f) <= self.LONGEST:
+                    self.fragments[f] = ids
             out += ids
         if len(self.words) >= self.LIMIT:
             self.words.clear()
-        self.words[word] = out
+        if len(word) <= self.LONGEST:
+            self.words[word] = out
         return out
 
     def merge_long(self, units: tuple[str, ...]) -> list[int]:
