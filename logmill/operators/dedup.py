@@ -13,7 +13,9 @@ from pyspark.sql.window import Window as W
 
 from ..functions import exception_class, occurrences
 from ..schema import LEVELS
-from .sequences import CountOrTime, Debounce, sequential
+from ..scratch import scratch_path
+from . import sequences
+from .sequences import CountOrTime, Debounce, Flagged, sequential
 
 
 def fingerprint() -> Column:
@@ -112,18 +114,57 @@ class RateCap:
 def rate_cap(df: DataFrame, per_minute: int = 60, sample_s: float = 30.0, min_level: str = "warning", order: Sequence[str] = ("logged_at", "seq")) -> DataFrame:
     """The exact cap on collapsed rows (with ``fingerprint``): a sequential machine per fingerprint, over rows sorted by Spark.
 
-    Rows of a fingerprint stream through their task in batches; nothing but the machine's few numbers is held. Rows below ``min_level`` pass.
+    Rows of a fingerprint stream through their task in batches; nothing but the machine's few numbers is held. Fingerprints with over
+    ``sequences.HOT`` rows are taken apart (``_cap_in_ranges``). Rows below ``min_level`` pass.
     """
     metered = df.where(F.col("level") >= LEVELS[min_level])
     free = df.where(~F.coalesce(F.col("level") >= LEVELS[min_level], F.lit(False)))
     names = [c for c in df.columns if c != "suppressed_count"]
     seconds = F.unix_micros(F.col("logged_at").cast("timestamp"))
     rows = metered.select(*names).withColumn("_us", seconds)
-    capped = _walked(rows, "fingerprint", order, names, lambda: RateCap(per_minute, sample_s), lambda cap, times: cap.admit_all(times), "suppressed_count")
+    hot = rows.groupBy(F.col("fingerprint").alias("_hot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sequences.HOT).select("_hot")
+    some = not hot.isEmpty()
+    one = F.col("fingerprint").eqNullSafe(F.col("_hot"))  # at most a fingerprint in ``HOT`` rows
+    walked = rows.join(F.broadcast(hot), one, "left_anti") if some else rows
+    capped = _walked(walked, "fingerprint", order, names, lambda: RateCap(per_minute, sample_s), lambda cap, times: cap.admit_all(times), "suppressed_count")
+    if some:
+        capped = capped.unionByName(_cap_in_ranges(rows.join(F.broadcast(hot), one, "left_semi"), order, names, per_minute, sample_s))
     capped = capped.withColumn("suppressed_count", F.nullif("suppressed_count", F.lit(0).cast("long")))
     return capped.unionByName(free.select(*names).withColumn("suppressed_count", F.lit(None).cast("long")))
 
 
+def _cap_in_ranges(rows: DataFrame, order: Sequence[str], names: Sequence[str], per_minute: int, sample_s: float) -> DataFrame:
+    """The cap as windows that follow each other, each of which ``sequential`` cuts into ranges. ``rows`` have ``_us``.
+
+    Counters are windows of 60 s over all rows; what passes a counter's limit is over. Sample slots are windows over the rows that are over: the
+    first of each passes, the others are held back. Tallies are windows of 900 s over those. A row that passes tells the rows held back since
+    the last one that passed and in the last tally, if that has not ended.
+    """
+    by = [F.col(c) for c in order]
+    plain = lambda df: df.drop("_opens", "_number", "_start")
+    in_windows = lambda df, seconds: sequential(df, "fingerprint", order, Debounce(seconds), F.col("_us"))
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(df.sparkSession, name)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    counted = in_windows(rows, 60).withColumn("_over", F.row_number().over(W.partitionBy("fingerprint", "_number").orderBy(*by)) > max(1, per_minute))
+    counted = kept(plain(counted), "counted")
+    slots = kept(in_windows(counted.where("_over"), max(1, sample_s)), "slots")
+    tallies = in_windows(plain(slots.where("not _opens")), 900)
+    held = tallies.withColumns({"_tally": F.col("_number"), "_end": F.col("_start") + 900_000_000})
+    none = {"_tally": F.lit(None).cast("long"), "_end": F.lit(None).cast("long")}
+    passing = plain(counted.where("not _over").unionByName(plain(slots.where("_opens")))).withColumns(none)
+    all_ = passing.withColumn("_pass", F.lit(1)).unionByName(plain(held).withColumn("_pass", F.lit(0)))
+    told = kept(sequential(all_, "fingerprint", order, Flagged(), F.col("_us"), F.col("_pass")), "passes")
+    groups = told.where("_pass = 0").groupBy("fingerprint", "_number", "_tally").agg(F.count(F.lit(1)).alias("_n"), F.max("_end").alias("_until"))
+    last = groups.groupBy(F.col("fingerprint").alias("_f"), (F.col("_number") + 1).alias("_next")).agg(F.max_by(F.struct("_n", "_until"), "_tally").alias("_held"))
+    met = told.where("_pass = 1").join(last, F.col("fingerprint").eqNullSafe(F.col("_f")) & (F.col("_number") == F.col("_next")), "left")
+    taken = F.when(F.col("_us") < F.col("_held._until"), F.col("_held._n")).otherwise(F.lit(0)).cast("long")
+    return met.select(*names, taken.alias("suppressed_count"))
+
+
 def _walked(rows: DataFrame, key: str, order: Sequence[str], names: Sequence[str], start: Callable[[], object], walk: Callable[[object, np.ndarray], np.ndarray], column: str | None) -> DataFrame:
     """Rows that a sequential machine of each key takes, with its number as ``column``; a negative number is not taken.
 
@@ -169,7 +210,7 @@ def debounce(df: DataFrame, key: str, window_s: float = 10, time: str = "logged_
     A key of many rows is cut into ranges that are walked apart (``sequential``).
     """
     found = sequential(df, key, _seconds_order(time, order), Debounce(window_s), F.unix_micros(F.col(time).cast("timestamp")))
-    return found.where("_opens").drop("_opens", "_number")
+    return found.where("_opens").drop("_opens", "_number", "_start")
 
 
 def count_or_time_windows(
@@ -183,7 +224,7 @@ def count_or_time_windows(
     bytes_ = size if size is not None else F.octet_length(F.to_json(F.struct(*df.columns)))
     rule = CountOrTime(max_count, max_ms, max_rows, max_bytes)
     found = sequential(df, key, _seconds_order(time, order), rule, F.unix_micros(F.col(time).cast("timestamp")), F.coalesce(bytes_, F.lit(0)))
-    return found.withColumnRenamed("_number", "window_no").drop("_opens")
+    return found.withColumnRenamed("_number", "window_no").drop("_opens", "_start")
 
 
 def idempotent(df: DataFrame, id_col: str, order: Sequence[str] = ()) -> DataFrame:

@@ -76,6 +76,14 @@ class Chunks(Rule):
         return np.where(found >= len(times), len(times) + 1, np.maximum(found, at + (rows == 0)))
 
 
+class Flagged(Rule):
+    """Every row of size 1 opens a window, and so does a key's first row."""
+
+    def after(self, at, start, rows, size, times, sums):
+        found = np.searchsorted(sums, sums[np.minimum(at + (rows == 0), len(times))] + 1) - 1
+        return np.where(found >= len(times), len(times) + 1, found)
+
+
 def _numbers(*values: int) -> tuple[np.ndarray, ...]:
     return tuple(np.array([v], np.int64) for v in values)
 
@@ -159,14 +167,15 @@ def _segments(column: pa.Array, *more: np.ndarray) -> Iterator[tuple[object, int
 
 
 def sequential(df: DataFrame, key: str, order: Sequence[str], rule: Rule, time: Column | None = None, size: Column | None = None, dealt: bool = False) -> DataFrame:
-    """``df`` with ``_opens`` (whether a row opens a window of its key) and ``_number`` (of its window, from 1), rows of a key by ``order``.
+    """``df`` with ``_opens`` (whether a row opens a window of its key), ``_number`` (of its window, from 1) and ``_start`` (microsecond of the window's first
+    row), rows of a key by ``order``.
 
     ``time``: microseconds (null counts as 0), which must rise by ``order``; ``size``: bytes. With ``dealt`` rows stay in their tasks, each of which is a
     sequence.
     """
     names = df.columns
     rows = df.withColumns({"_us": F.coalesce(time, F.lit(0)).cast("long") if time is not None else F.lit(0).cast("long"), "_size": size.cast("long") if size is not None else F.lit(0).cast("long")})
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", `_opens` boolean, `_number` long"
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", `_opens` boolean, `_number` long, `_start` long"
 
     def walked(entries: Callable[[], dict]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,15 +185,17 @@ def sequential(df: DataFrame, key: str, order: Sequence[str], rule: Rule, time:
                     continue
                 place = batch.column("_range").to_numpy() if "_range" in batch.schema.names else np.zeros(batch.num_rows, np.int64)
                 times, sizes = batch.column("_us").to_numpy(), batch.column("_size").to_numpy()
-                opens, number = np.empty(len(times), bool), np.empty(len(times), np.int64)
+                opens, number, start = np.empty(len(times), bool), np.empty(len(times), np.int64), np.empty(len(times), np.int64)
                 for k, a, b in _segments(batch.column(key), place):
                     if (k, int(place[a])) != last:
                         last = k, int(place[a])
                         state = known.get(last, State())
-                    before = state.number
+                    before = state
                     opens[a:b], state = walk(rule, state, times[a:b], sizes[a:b])
-                    number[a:b] = before + np.cumsum(opens[a:b])
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(opens), pa.array(number)], names=[*names, "_opens", "_number"])
+                    number[a:b] = before.number + np.cumsum(opens[a:b])
+                    first = np.maximum.accumulate(np.where(opens[a:b], np.arange(b - a), -1))
+                    start[a:b] = np.where(first < 0, before.start, times[a:b][np.maximum(first, 0)])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(opens), pa.array(number), pa.array(start)], names=[*names, "_opens", "_number", "_start"])
 
         return run
 

@@ -45,7 +45,7 @@ def chunk_by_bytes(df: DataFrame, max_bytes: int = 524_288, key: str | None = No
     own = F.col(key).cast("string") if key else F.spark_partition_id().cast("string")
     rows = df.withColumn("chunk_key", own)
     found = sequential(rows, "chunk_key", order or [], Chunks(max_bytes), size=F.octet_length(F.to_json(F.struct(*df.columns))), dealt=not key)
-    return found.withColumn("chunk_no", F.col("_number") - 1).drop("_opens", "_number")
+    return found.withColumn("chunk_no", F.col("_number") - 1).drop("_opens", "_number", "_start")
 
 
 def write_payloads(chunks: DataFrame, path: str, order: list[str] | None = None, mode: str = "append") -> None:

@@ -22,6 +22,8 @@ def slowly(rule, rows):
     for t, s in rows:
         if isinstance(rule, sequences.Debounce):
             opens = start is None or t >= start + rule.us
+        elif isinstance(rule, sequences.Flagged):
+            opens = n == 0 or s == 1
         elif isinstance(rule, sequences.Chunks):
             opens = n == 0 or size + s > rule.bytes
         else:
@@ -36,7 +38,7 @@ def slowly(rule, rows):
 
 
 RULES = st.one_of(
-    st.builds(sequences.Debounce, st.integers(1, 400)), st.builds(sequences.Chunks, st.integers(1, 60)),
+    st.builds(sequences.Debounce, st.integers(1, 400)), st.builds(sequences.Chunks, st.integers(1, 60)), st.builds(sequences.Flagged),
     st.builds(sequences.CountOrTime, st.integers(1, 6), st.integers(1, 400_000), st.integers(1, 6), st.integers(1, 60)),
 )
 
@@ -46,6 +48,7 @@ RULES = st.one_of(
 def test_rules_over_pieces(rule, rows, cuts):
     """Walked in pieces cut anywhere, and by maps of the pieces, as row by row."""
     rows = sorted((t * 1_000_000, s) for t, s in rows)
+    rows = [(t, s % 2) for t, s in rows] if isinstance(rule, sequences.Flagged) else rows
     want = slowly(rule, rows)
     bounds = [0, *sorted(min(c, len(rows)) for c in cuts), len(rows)]
     state = mapped = sequences.State()
@@ -72,6 +75,8 @@ def test_a_hot_key_is_cut_into_ranges(spark, monkeypatch, heads):
     makers = {
         "debounce": lambda: dedup.debounce(df, "user_id", 20).select("seq"),
         "windows": lambda: dedup.count_or_time_windows(df, "user_id", 7, 15_000, max_bytes=400).select("seq", "window_no"),
+        "cap": lambda: dedup.rate_cap(df.selectExpr("*", "300 as level", "user_id as fingerprint"), 3, 15).select("seq", "suppressed_count"),
+        "long cap": lambda: dedup.rate_cap(df.selectExpr("*", "300 as level", "user_id as fingerprint"), 1, 2000).select("seq", "suppressed_count"),
         "chunks": lambda: chunk_by_bytes(df, 900, "user_id", ["logged_at", "seq"]).select("seq", "chunk_no"),
     }
     plain = {n: sorted(map(tuple, f().collect())) for n, f in makers.items()}
