@@ -4,9 +4,10 @@ Tokens are counted over all training texts by Spark. The model's symbols are the
 their last two characters; a word of a class gets the class's probability times its own share in the class, so every word, known or not,
 has a probability. A symbol is predicted from the two before it: q = R[h1] C1 + R[h2] C2, score = q . T[w] + b[w].
 
-Training is noise-contrastive estimation in numpy. Each task trains on its share of the texts from common parameters; the tasks' parameters
-are averaged, weighted by their tokens (first after a small share of the texts, then after all of them). Scoring normalises exactly: for
-each distinct context a batched matrix product gives all symbols' scores.
+Training is noise-contrastive estimation in numpy. Texts are dealt to shares of about ``SHARE_BYTES`` by a hash of id and text. Each share trains by
+itself from common parameters, and the shares' parameters are averaged, weighted by their tokens (first after a small part of the texts, then
+after all of them). A share takes its texts in a fixed order, so the model does not depend on how the table's rows lie in files and tasks.
+Scoring normalises exactly: for each distinct context a batched matrix product gives all symbols' scores.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import code_points, distinct_spans, equal_spans, span_hashes
-from .common import fold, most_frequent, partitions, slices, text_or_empty, written
+from .common import fold, most_frequent, partitions, slices, small_batches, text_or_empty, written
 
 HEAD = 896  # words that are symbols of their own, with the end token
 CLASSES = 128  # of all other words
@@ -33,6 +36,7 @@ LONGEST = 64  # characters of such a word, which bounds their bytes
 NOISE = 64  # noise symbols for each minibatch
 BATCH = 4096
 CHUNKS = 64  # of the parameters, when they are averaged
+SHARE_BYTES = 16 << 20  # of the texts that are trained on one after the other
 END = "\n"  # no word contains it
 WARM = 16  # one text in so many is in the first round of training
 
@@ -251,22 +255,28 @@ def _end_symbol(v: Vocabulary) -> int:
     return int(v.symbols[at[0]]) if len(at) and v.symbols[at[0]] >= 0 else 0
 
 
+def in_shares(texts: DataFrame) -> DataFrame:
+    """share, text of ``texts`` (id, text), a share's texts together and in a fixed order. The number of shares follows from the texts' bytes."""
+    size = texts.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
+    shares = size // SHARE_BYTES + 1
+    dealt = texts.select("id", "text", F.xxhash64("id", "text").alias("at")).withColumn("share", F.pmod("at", F.lit(shares)))
+    return dealt.repartition(min(shares, 20 * partitions(texts.sparkSession)), "share").sortWithinPartitions("share", "at", "text").select("share", "text")
+
+
 def train_round(docs: DataFrame, shared: Broadcast, start: np.ndarray) -> np.ndarray:
-    """One pass over the texts of ``docs``: every task trains from ``start``; the average of what they end with."""
+    """One pass over the shares of ``docs`` (share, text): each trains from ``start``; the average of what they end with."""
     spark = docs.sparkSession
     begin = spark.sparkContext.broadcast(start)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = shared.value
         end = _end_symbol(v)
-        trainer = Trainer(LogBilinear(begin.value.copy()), v.noise, TaskContext.get().partitionId())
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in slices(texts, 2_000_000):
-                t = tokens_of(texts[a:b])
+        for share, texts in groupby(((s, t) for batch in batches for s, t in zip(*(c.to_pylist() for c in batch.columns), strict=True)), itemgetter(0)):
+            trainer = Trainer(LogBilinear(begin.value.copy()), v.noise, share)
+            for some in _runs(t for _, t in texts):
+                t = tokens_of(some)
                 symbols = v.find(t)[1][t.kind]
                 trainer.learn(*contexts(symbols, t.bounds, end), symbols)
-        if trainer.tokens:
             parts = np.array_split(trainer.m.vector, CHUNKS)
             yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([trainer.tokens] * CHUNKS, pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["chunk", "n", "part"])
 
@@ -281,23 +291,37 @@ def train_round(docs: DataFrame, shared: Broadcast, start: np.ndarray) -> np.nda
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([weight[k] for k in keys], pa.int64()), pa.array([(sums[k] / weight[k]).astype(np.float32).tobytes() for k in keys], pa.binary())], names=["chunk", "n", "part"])
 
     schema = "chunk int, n long, part binary"
-    rows = docs.select("text").mapInArrow(run, schema).repartition(min(CHUNKS, partitions(spark)), "chunk").mapInArrow(average, schema).collect()  # one row a chunk
+    rows = docs.select("share", "text").mapInArrow(run, schema).repartition(min(CHUNKS, partitions(spark)), "chunk").mapInArrow(average, schema).collect()  # one row a chunk
     if not rows:
         return start
     return np.concatenate([np.frombuffer(r["part"], np.float32) for r in sorted(rows, key=lambda r: r["chunk"])])
 
 
+def _runs(texts: Iterator[str], limit: int = 2_000_000) -> Iterator[list[str]]:
+    """Lists of about ``limit`` characters, one text at least, however batches fall."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 _prepared: dict[str, LogBilinear] = {}
 
 
 def train(texts: DataFrame) -> tuple[DataFrame, Vocabulary, np.ndarray]:
-    """Counts of all words of ``texts`` (column text), what tasks hold of them, and the parameters of a model trained on all texts."""
+    """Counts of all words of ``texts`` (id, text), what tasks hold of them, and the parameters of a model trained on all texts."""
+    small_batches(texts.sparkSession)
     counts = written(count_words(texts), "counts")
     v = vocabulary(counts)
     shared = texts.sparkSession.sparkContext.broadcast(v)
     vector = LogBilinear.start(v.noise).vector
-    vector = train_round(texts.where(F.pmod(F.xxhash64("text"), F.lit(WARM)) == 0), shared, vector)
-    return counts, v, train_round(texts, shared, vector)
+    vector = train_round(in_shares(texts.where(F.pmod(F.xxhash64("id", "text", F.lit(WARM)), F.lit(WARM)) == 0)), shared, vector)
+    return counts, v, train_round(in_shares(texts), shared, vector)
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1) -> DataFrame:
@@ -305,8 +329,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Learning is from the rows whose crc32(id as text) modulo ``folds`` is not ``held_out``; a null id counts as the empty text there. A
     null text counts as empty, which is one end token. Equal rows each give their own. With no training rows, counts are 0 and the model
-    is the starting one. An empty table gives an empty result. The model is an average over tasks, so it depends slightly on how
-    texts are dealt to them; for one model, scores depend on nothing but the texts.
+    is the starting one. An empty table gives an empty result. The same rows give the same model, but for the last bits of its averages, however
+    they are dealt to files and tasks. Rows with equal id and text are of one share.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), (fold(id_col, folds) == held_out).alias("held_out"))
     return score_with(rows, *train(rows.where(~F.col("held_out")))).withColumnRenamed("id", id_col)
