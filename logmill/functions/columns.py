@@ -80,8 +80,10 @@ def normalize_sql(sql: Column | str, keep_identifiers: bool = False) -> Column:
     """
     quoted, identifier, number, in_list = SQL_PATTERNS
     steps = [quoted, number] if keep_identifiers else [quoted, identifier, number]
-    out = reduce(lambda s, pattern: F.regexp_replace(s, pattern, "?"), steps, _col(sql))
-    return F.regexp_replace(out, in_list, "IN (?)")
+    text = _col(sql)
+    out = F.regexp_replace(reduce(lambda s, pattern: F.regexp_replace(s, pattern, "?"), steps, text), in_list, "IN (?)")
+    some = reduce(lambda a, b: a | b, [F.contains(text, F.lit(c)) for c in "'\"("])  # without these only numbers can be replaced
+    return F.when(some, out).otherwise(F.regexp_replace(text, number, "?"))
 
 
 def sql_table(sql: Column | str) -> Column:

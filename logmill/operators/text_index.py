@@ -9,9 +9,13 @@ Terms are lower-cased runs of letters and digits.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import zlib
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -37,21 +41,36 @@ def _share(f: Column, n: Column, mean: Column | float, k1: float, b: float) -> C
     return f * (k1 + 1) / (f + k1 * (1 - b + b * n / mean))
 
 
-def _bucket(term: Column | str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (id, row, t) the terms in ``t``, each once with its frequency, the number of terms and the positions."""
+    for batch in batches:
+        lists = batch.column("t")
+        n = np.diff(lists.offsets.to_numpy())
+        flat = lists.flatten().dictionary_encode()
+        if not len(flat):
+            continue
+        code, owner = flat.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(code)) - np.repeat(np.cumsum(n) - n, n)
+        order = np.argsort(owner * len(flat.dictionary) + code, kind="stable")
+        code, owner, at = code[order], owner[order], at[order].astype(np.int32)
+        first = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])))
+        bounds, rows = np.append(first, len(code)), pa.array(owner[first])
+        positions = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(at))
+        columns = [batch.column("id").take(rows), batch.column("row").take(rows), flat.dictionary.take(pa.array(code[first])), pa.array(n[owner[first]].astype(np.int32)), pa.array(np.diff(bounds).astype(np.int32)), positions]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "term", "n", "f", "positions"])
 
 
 def build_text_index(df: DataFrame, id_col: str, text_col: str, path: str, buckets: int = BUCKETS, block: int = BLOCK, split: int = SPLIT) -> TextIndex:
     """Index every row of ``df`` under ``path``. A null text has no terms; ids may be null or repeat, each row has postings of its own.
 
-    A row's terms are grouped where the row lies after one exchange. Terms with over ``split`` postings, at most one in ``split``, are told by
+    A row's terms are grouped where the row lies. Terms with over ``split`` postings, at most one in ``split``, are told by
     their counts and sorted in parts.
     """
     spark, raw = df.sparkSession, scratch_path(df.sparkSession, "postings")
-    rows = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), tokens(text_col).alias("t")).repartition("row")
-    one = rows.select("id", "row", F.size("t").alias("n"), F.posexplode("t").alias("at", "term"))
-    one.groupBy("row", "term").agg(F.first("id").alias("id"), F.first("n").alias("n"), F.sort_array(F.collect_list("at")).alias("positions")).withColumn("f", F.size("positions")).write.parquet(raw)
-    postings = spark.read.parquet(raw)
+    rows = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), tokens(text_col).alias("t"))
+    found = rows.mapInArrow(_postings, f"id {rows.schema['id'].dataType.simpleString()}, row long, term string, n int, f int, positions array<int>")
+    found.write.parquet(raw)
+    postings = spark.read.schema(found.schema).parquet(raw)
     found = postings.agg(F.coalesce(F.sum("f"), F.lit(0)).alias("tokens")).withColumn("docs", F.lit(df.count()))
     found.coalesce(1).write.parquet(f"{path}/stats")
     stats = spark.read.parquet(f"{path}/stats").first()
@@ -64,7 +83,7 @@ def build_text_index(df: DataFrame, id_col: str, text_col: str, path: str, bucke
     made = cut.groupBy("term", "part", "block").agg(
         F.max("f").alias("max_f"), F.min("n").alias("min_n"), F.count(F.lit(1)).alias("size"), F.collect_list(F.struct("row", "id", "f", "n", "positions")).alias("postings")
     )
-    made.withColumn("bucket", _bucket("term", buckets)).repartition("bucket", "term", "part").sortWithinPartitions("bucket", "term", "part", "block").write.partitionBy("bucket").parquet(f"{path}/blocks")
+    made.withColumn("bucket", F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(buckets)).cast("int")).repartition("bucket", "term", "part").sortWithinPartitions("bucket", "term", "part", "block").write.partitionBy("bucket").parquet(f"{path}/blocks")
     removed(spark, raw)
     return TextIndex(spark, path, buckets)
 
@@ -74,15 +93,15 @@ class TextIndex:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark, self.path, self.buckets = spark, path, buckets
+        self.schema, self.stats = spark.read.parquet(f"{path}/blocks").schema, spark.read.parquet(f"{path}/stats").first()
 
     def blocks(self, terms: Sequence[str]) -> DataFrame:
         """Blocks of some terms, from their folders alone."""
-        named = self.spark.createDataFrame([(t,) for t in terms], "term string").select(_bucket("term", self.buckets).alias("b")).distinct()
-        folders = sorted(r["b"] for r in named.collect())  # a row a word of the query
-        return self.spark.read.parquet(f"{self.path}/blocks").where(F.col("bucket").isin(folders) & F.col("term").isin(*terms))
+        folders = sorted({zlib.crc32(t.encode()) % self.buckets for t in terms})
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/blocks").where(F.col("bucket").isin(folders) & F.col("term").isin(*terms))
 
     def _empty(self, column: str, kind: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/blocks").select(F.inline("postings")).select("id", F.lit(None).cast(kind).alias(column)).limit(0)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/blocks").select(F.inline("postings")).select("id", F.lit(None).cast(kind).alias(column)).limit(0)
 
     def search(self, query: str, k: int = 10, k1: float = K1, b: float = B) -> DataFrame:
         """The ``k`` best rows by BM25: id, score; ties go by id.
@@ -94,17 +113,16 @@ class TextIndex:
         blocks = self.blocks(words) if words else None
         if not words or k < 1:
             return self._empty("score", "double")
-        stats = self.spark.read.parquet(f"{self.path}/stats").first()
-        mean = max(stats["tokens"], 1) / max(stats["docs"], 1)
+        docs, mean = self.stats["docs"], max(self.stats["tokens"], 1) / max(self.stats["docs"], 1)
         bound = _share(F.col("max_f"), F.col("min_n"), mean, k1, b)
         known = {r["term"]: r for r in blocks.groupBy("term").agg(F.sum("size").alias("df"), F.max(bound).alias("most")).collect()}  # a row a word
-        weight = {w: float(r["idf"]) for w in known for r in [self.spark.range(1).select(F.log(1 + F.lit((stats["docs"] - known[w]["df"] + 0.5) / (known[w]["df"] + 0.5))).alias("idf")).first()]}
+        weight = {w: math.log(1 + (docs - r["df"] + 0.5) / (r["df"] + 0.5)) for w, r in known.items()}
         if not known:
             return self._empty("score", "double")
         most = {w: weight[w] * known[w]["most"] for w in known}
         of = lambda values: reduce(lambda c, w: F.when(F.col("term") == w, F.lit(values[w])).otherwise(c), values, F.lit(None).cast("double"))
         scored = lambda read: self._scores(read, sorted(known), of(weight), mean, k1, b)
-        ranked = blocks.withColumn("_r", F.row_number().over(W.partitionBy("term").orderBy(F.desc(bound), "part", "block"))) if len(known) else blocks
+        ranked = blocks.withColumn("_r", F.row_number().over(W.partitionBy("term").orderBy(F.desc(bound), "part", "block")))
         first = scored(ranked.where(F.col("_r") <= -(-k // BLOCK)).drop("_r")).orderBy(F.desc("score"), "id").limit(k).agg(F.min("score").alias("s"), F.count(F.lit(1)).alias("n")).first()
         least = first["s"] if first["n"] >= k else 0.0
         total = sum(most.values())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -89,22 +89,22 @@ def span_tree(df: DataFrame, max_depth: int | None = None) -> DataFrame:
     """
     spark, made = df.sparkSession, []
 
-    def written(rows: DataFrame) -> DataFrame:
+    def written(rows: DataFrame) -> tuple[DataFrame, int]:
+        """``rows`` in the shared folder, and how many of them are not at their root."""
         made.append(scratch_path(spark, "spans"))
-        rows.write.parquet(made[-1])
-        return spark.read.schema(rows.schema).parquet(made[-1])
+        seen = Observation()
+        rows.observe(seen, F.count(F.col("_at")).alias("below")).write.parquet(made[-1])
+        return spark.read.schema(rows.schema).parquet(made[-1]), seen.get["below"]
 
     edges = span_edges(df)
     is_root = F.col("parent_span_id").isNull()
-    rows = written(edges.select("trace_id", "span_id", "parent_span_id", F.col("parent_span_id").alias("_at"), F.when(is_root, F.col("span_id")).alias("root"), F.when(is_root, 0).otherwise(1).alias("depth"), F.col("span_id").alias("path")))
-    below = rows.where("_at is not null").count()
+    rows, below = written(edges.select("trace_id", "span_id", "parent_span_id", F.col("parent_span_id").alias("_at"), F.when(is_root, F.col("span_id")).alias("root"), F.when(is_root, 0).otherwise(1).alias("depth"), F.col("span_id").alias("path")))
     while below:
         above = rows.select(F.col("trace_id").alias("_trace"), F.col("span_id").alias("_up"), F.col("_at").alias("_next"), F.col("root").alias("_root"), F.col("depth").alias("_depth"), F.col("path").alias("_path"))
         met = rows.where("_at is not null").join(above, (F.col("trace_id") == F.col("_trace")) & (F.col("_at") == F.col("_up")))
         moved = met.select("trace_id", "span_id", "parent_span_id", F.col("_next").alias("_at"), F.col("_root").alias("root"), (F.col("depth") + F.col("_depth")).alias("depth"), F.concat("_path", F.lit(" > "), "path").alias("path"))
-        rows = written(rows.where("_at is null").unionByName(moved))
+        rows, left = written(rows.where("_at is null").unionByName(moved))
         removed(spark, made[-2])
-        left = rows.where("_at is not null").count()
         if left == below:
             break
         below = left
