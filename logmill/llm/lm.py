@@ -220,7 +220,9 @@ class Trainer:
         true = np.einsum("ij,ij->i", q, t) + m.bias[symbol] - self.log_noise[symbol]
         false = q @ tn.T + (m.bias[noise] - self.log_noise[noise])
         d_true = -1 / (1 + np.exp(np.clip(true, -30, 30)))
-        d_false = 1 / (1 + np.exp(-np.clip(false, -30, 30)))
+        np.negative(np.clip(false, -30, 30, out=false), out=false)  # the largest array of a step: its logistic is taken in place
+        np.add(np.exp(false, out=false), 1, out=false)
+        d_false = np.reciprocal(false, out=false)
         dq = d_true[:, None] * t + d_false @ tn
         g.vector[...] = 0
         self._scatter(g.target, symbol, d_true[:, None] * q)
