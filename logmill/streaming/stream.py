@@ -67,10 +67,10 @@ class _Keyed(StatefulProcessor):
         frames = [b for b in rows if len(b)]
         if not frames:
             return
-        old = {name: tuple(state.get()) for name, state in self.states.items() if state.exists()}
-        by = pd.concat([b[self.order + ["bytes_of_row"]] for b in frames], ignore_index=True).sort_values(self.order, kind="stable")
+        old = {name: tuple(values) for name, state in self.states.items() if (values := state.get()) is not None}
+        by, us, sizes = _in_order(frames, self.order)
         found = np.empty(len(by), np.int64)
-        found[by.index], new = self.machine.step({n: v[:-1] for n, v in old.items()}, _micros(by["logged_at"]), by["bytes_of_row"].to_numpy())
+        found[by], new = self.machine.step({n: v[:-1] for n, v in old.items()}, us, sizes)
         now = timerValues.getCurrentWatermarkInMs()
         for name, values in new.items():
             until = max(-(-values[-1] // 1000), old[name][-1] if name in old else 0, now + 1)
@@ -80,14 +80,14 @@ class _Keyed(StatefulProcessor):
         at = 0
         for b in frames:
             here, at = found[at : at + len(b)], at + len(b)
-            kept = b.drop(columns="bytes_of_row")[here >= 0].reset_index(drop=True)
-            if len(kept):
-                yield kept.assign(**{c: here[here >= 0] for c in self.machine.columns})
+            if (here >= 0).any():
+                yield b.drop(columns=list(OWN))[here >= 0].reset_index(drop=True).assign(**{c: here[here >= 0] for c in self.machine.columns})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = expiredTimerInfo.getExpiryTimeInMs()
         for state in self.states.values():
-            if state.exists() and state.get()[-1] <= now:
+            values = state.get()
+            if values is not None and values[-1] <= now:
                 state.clear()
         yield from ()
 
@@ -95,16 +95,23 @@ class _Keyed(StatefulProcessor):
         pass
 
 
-def _micros(times: pd.Series) -> np.ndarray:
-    """Microseconds since 1970; a null time counts as 1970."""
-    return times.astype("datetime64[us]").fillna(pd.Timestamp(0)).astype("int64").to_numpy()
+OWN = ("micros_of_row", "bytes_of_row")  # columns that processors get besides the stream's
+
+
+def _in_order(frames: Sequence[pd.DataFrame], order: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, microseconds, bytes) of all rows by ``order``. Keys are many and mostly have few rows, so this is numpy."""
+    whole = lambda c: np.concatenate([b[c].to_numpy() for b in frames])
+    us, sizes = whole("micros_of_row"), whole("bytes_of_row")
+    by = np.lexsort([us if c == "logged_at" else whole(c) for c in reversed(order)]) if len(us) > 1 else np.zeros(1, np.int64)
+    return by, us[by], sizes[by]
 
 
 def _keyed(stream: DataFrame, key: str, processor: StatefulProcessor, schema: str, size: Column | None = None, watermark: str = "1 minute") -> DataFrame:
     """``stream`` through a processor of each key, by event time. States lie in RocksDB, which this state API asks for. The API hands rows on as named
     tuples, so column names must be identifiers that do not begin with an underscore."""
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    sized = stream.withColumn("bytes_of_row", (size if size is not None else F.lit(0)).cast("long"))
+    us = F.coalesce(F.unix_micros(F.col("logged_at").cast("timestamp")), F.lit(0).cast("long"))  # a null time counts as 1970
+    sized = stream.withColumns(dict(zip(OWN, (us, (size if size is not None else F.lit(0)).cast("long")), strict=True)))
     return sized.withWatermark("logged_at", watermark).groupBy(key).transformWithStateInPandas(processor, schema, "Append", "EventTime")
 
 
@@ -207,9 +214,8 @@ class _Closings(StatefulProcessor):
         frames = [b for b in rows if len(b)]
         if not frames:
             return
-        by = pd.concat([b[["logged_at", "bytes_of_row"]] for b in frames], ignore_index=True).sort_values("logged_at", kind="stable")
-        us, sizes = _micros(by["logged_at"]), by["bytes_of_row"].to_numpy()
-        state = State(*self.state.get()) if self.state.exists() else State()
+        _, us, sizes = _in_order(frames, ["logged_at"])
+        state = State(*(self.state.get() or ()))
         opens, after = walk(self.rule, state, us, sizes)
         starts = np.flatnonzero(opens)
         first = [(state.number, state.start, state.rows)] if state.rows else []
@@ -234,9 +240,10 @@ class _Closings(StatefulProcessor):
         return (state.size if state else 0) + int(sizes.sum()) >= self.rule.bytes
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.state.exists():
+        values, now = self.state.get(), expiredTimerInfo.getExpiryTimeInMs()
+        if values is None:
             return
-        state, now = State(*self.state.get()), expiredTimerInfo.getExpiryTimeInMs()
+        state = State(*values)
         if not state.rows:
             self.state.clear()  # idle for a minute: the numbering starts anew
         elif state.start + self.rule.us <= now * 1000:
