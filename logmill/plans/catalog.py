@@ -863,7 +863,8 @@ def d8_stream_idempotent(spark, d):
 
 @register(V.duck("statements") + f"SELECT trace_id, {NORMAL} AS statement, 5::bigint AS duplicate_count FROM statements GROUP BY 1, 2 HAVING count(*) >= 5")
 def w6_stream_n_plus_one(spark, d):
-    return drained(stream_n_plus_one(V.statements_stream(spark, d))).select("trace_id", "statement", "duplicate_count")
+    runs = V.statements_stream(spark, d).select("trace_id", "span_id", "sql", "ts", "seq")
+    return drained(stream_n_plus_one(runs)).select("trace_id", "statement", "duplicate_count")
 
 
 _LATE = V.duck("logs") + """SELECT seq, level, message FROM logs WHERE logged_at >= timestamp '2024-01-20'

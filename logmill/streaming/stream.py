@@ -266,24 +266,83 @@ def stream_window_closings(stream: DataFrame, key: str, max_count: int = 20, max
     return _keyed(stream, key, _Closings(key, _Ticked(max_count, max_ms, max_rows, max_bytes)), f"`{key}` {kind}, window_no long, rows long, opened_at timestamp, closed_at timestamp, closed_by string", size)
 
 
-class _NPlusOne(_Machine):
-    parts = {"runs": "n long"}
-    columns = {"duplicate_count": "long"}
+SHARES = 4096  # of the keys of counts; a stream keeps the number that it began with
 
-    def __init__(self, threshold: int, span_s: float):
-        self.threshold, self.life = threshold, round(span_s * 1e6)
 
-    def step(self, old, us, sizes):
-        n = old["runs"][0] if old else 0
-        count = n + 1 + np.arange(len(us))
-        return np.where(count == self.threshold, count, -1), {"runs": (n + len(us), int(us[-1]) + self.life)}
+class _Counts(StatefulProcessor):
+    """Tells the row with which a key has come ``threshold`` times. Keys are too many for a state each, so those of a share are one: their digests, counts
+    and ends of life, packed. A timer at the earliest end takes out all keys whose life is over."""
+
+    def __init__(self, threshold: int, life_s: float):
+        self.threshold, self.life = threshold, round(life_s * 1e6)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("runs", "keys binary, counts binary, ends binary, due long")
+
+    def _known(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int | None]:
+        keys, counts, ends, due = self.state.get() or (b"", b"", b"", None)
+        return np.frombuffer(keys, np.uint64).reshape(-1, 2), np.frombuffer(counts, np.int64), np.frombuffer(ends, np.int64), due
+
+    def _keep(self, keys: np.ndarray, counts: np.ndarray, ends: np.ndarray, due: int | None) -> None:
+        first = int(ends.min())
+        if due is None or first < due:
+            due = first
+            self.handle.registerTimer(due)
+        self.state.update((keys.tobytes(), counts.tobytes(), ends.tobytes(), due))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = [b for b in rows if len(b)]
+        if not frames:
+            return
+        keys, counts, ends, due = self._known()
+        us, seq = (np.concatenate([b[c].to_numpy() for b in frames]) for c in (OWN[0], "seq"))
+        come = np.frombuffer(b"".join(d for b in frames for d in b["run_key"]), np.uint64).reshape(-1, 2)
+        both = np.concatenate([keys, come])
+        order = np.lexsort((both[:, 1], both[:, 0]))
+        first = np.append(True, (both[order][1:] != both[order][:-1]).any(1))
+        code = np.empty(len(both), np.int64)
+        code[order] = np.cumsum(first) - 1
+        n, until = np.zeros((2, int(first.sum())), np.int64)
+        n[code[: len(keys)]], until[code[: len(keys)]] = counts, ends
+        own = code[len(keys) :]
+        by = np.lexsort((seq, us, own))
+        begins = np.searchsorted(own[by], np.arange(len(n)))
+        hit = np.zeros(len(own), bool)
+        hit[by] = n[own[by]] + 1 + np.arange(len(by)) - begins[own[by]] == self.threshold
+        np.maximum.at(until, own, np.maximum(-(-(us + self.life) // 1000), timerValues.getCurrentWatermarkInMs() + 1))
+        self._keep(both[order[first]], n + np.bincount(own, minlength=len(n)), until, due)
+        at = 0
+        for b in frames:
+            here, at = hit[at : at + len(b)], at + len(b)
+            if here.any():
+                yield b.drop(columns=[*OWN, "run_key", "share_of_key"])[here].reset_index(drop=True).assign(duplicate_count=self.threshold)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        keys, counts, ends, _ = self._known()
+        left = ends > timerValues.getCurrentWatermarkInMs()
+        if left.any():
+            self._keep(keys[left], counts[left], ends[left], None)
+        else:
+            self.state.clear()
+        yield from ()
 
-def stream_n_plus_one(queries: DataFrame, threshold: int = 5, span_s: float = 600) -> DataFrame:
-    """The ``threshold``-th run of a statement within a span (columns trace_id, span_id, sql, ts, seq); a count goes ``span_s`` after its last run."""
-    rows = queries.withColumnRenamed("ts", "logged_at").withColumn("statement", normalize_sql("sql"))
-    rows = rows.withColumn("run_key", F.md5(F.concat_ws("|", "trace_id", "span_id", "statement").cast("binary")))
-    return _sequential(rows, "run_key", _NPlusOne(threshold, span_s)).drop("run_key").withColumnRenamed("logged_at", "ts")
+    def close(self) -> None:
+        pass
+
+
+def stream_n_plus_one(queries: DataFrame, threshold: int = 5, span_s: float = 600, shares: int = SHARES) -> DataFrame:
+    """The ``threshold``-th run of a statement within a span (columns trace_id, span_id, sql, ts, seq); a count goes ``span_s`` after its last run.
+
+    All columns go through Python workers, so select those that are wanted. A share's rows of a micro-batch are held, and its state is written anew with
+    each batch that has a row of it.
+    """
+    rows, statement = queries.withColumnRenamed("ts", "logged_at"), normalize_sql("sql")
+    keyed = rows.withColumn("run_key", F.unhex(F.md5(F.concat_ws("|", "trace_id", "span_id", statement).cast("binary"))))
+    keyed = keyed.withColumn("share_of_key", F.pmod(F.xxhash64("run_key"), F.lit(shares)).cast("int"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", duplicate_count long"
+    found = _keyed(keyed, "share_of_key", _Counts(threshold, span_s), schema)
+    return found.select(*(F.col(f"`{c}`").alias("ts" if c == "logged_at" else c) for c in rows.columns), statement.alias("statement"), "duplicate_count")
 
 
 def stream_idempotent(stream: DataFrame, id_col: str, life: str = "10 minutes") -> DataFrame:

@@ -116,6 +116,20 @@ def test_n_plus_one_over_batches(spark, tmp_path):
     assert [(r.seq, r.duplicate_count) for r in rows] == [(4, 5)] and len(states(spark, path, "runs")) == 1
 
 
+def test_many_statements_share_states(spark, tmp_path):
+    """300 keys over three batches lie in at most four states; each is told at its third run, whatever shares its state, and goes by its own life."""
+    from logmill.streaming import stream_n_plus_one
+
+    parts = [[(1000 * k + i, at(k), f"t{i}") for i in range(300) if i % (k + 2)] for k in range(5)]
+    parts += [[(9000, at(2000), "next")], [(9001, at(2000), "t0")], [(9002, at(2001), "t0")]]
+    queries = stream_of(spark, tmp_path, parts).selectExpr("seq", "logged_at as ts", "fingerprint as trace_id", "fingerprint as span_id", "concat('select ', seq) as sql")
+    rows, path = ran(stream_n_plus_one(queries, 3, 600, shares=4), tmp_path)
+    want = {r[2]: r[0] for i in range(300) if len(r3 := [r for p in parts[:5] for r in p if r[2] == f"t{i}"][:3]) == 3 for r in r3[2:]}
+    assert {r.trace_id: r.seq for r in rows} == want and len(want) == len(rows) > 200
+    left = spark.read.format("statestore").option("path", path).option("stateVarName", "runs").load().select("value.*").collect()
+    assert len(left) <= 4 and sum(len(r["counts"]) // 8 for r in left) == 2  # next, and t0 anew
+
+
 def test_windows_over_batches(spark, tmp_path):
     import random
 
