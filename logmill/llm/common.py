@@ -9,6 +9,8 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import BATCH_BYTES, small_batches  # noqa: F401  also for the other modules of this subpackage
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
@@ -55,16 +57,6 @@ def removed(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-BATCH_BYTES = 4 << 20  # of an Arrow batch of texts
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Have Arrow batches end at ``BATCH_BYTES``, so that a worker and the JVM beside it hold few texts at a time, however long these are."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(str(spark.conf.get(name)).lower().rstrip("b")) > BATCH_BYTES:
-        spark.conf.set(name, BATCH_BYTES)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

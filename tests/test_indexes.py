@@ -103,3 +103,21 @@ def test_percentiles_by_ranks(spark, monkeypatch, few):
     assert [tuple(r) for r in all_] == [tuple(df.where("g = 'normal'").agg(*[F.percentile("v", p) for p in wanted.values()], F.count("v")).first())]
     assert [tuple(r) for r in ranks.exact_percentiles(df.limit(0), [], "v", wanted).collect()] == [(None, None, None, None, 0)]
     assert ranks.exact_percentiles(df.limit(0), ["g"], "v", wanted).collect() == []
+
+
+def test_blocks_do_not_depend_on_batches(spark, index):
+    """A batch of texts is one row a term, and a term's runs may lie in several Arrow batches; these end at 4 MiB."""
+    import pyarrow as pa
+
+    from logmill.operators import text_index
+
+    texts = [["a", "b", "a"], [], ["b"], ["a"] * 5, ["c", "a"]]
+    batch = pa.record_batch([pa.array([5, None, 7, 7, 9]), pa.array([10, 11, 12, 13, 14]), pa.array(texts)], names=["id", "row", "t"])
+    runs = pa.Table.from_batches(text_index._runs([batch, batch.slice(2, 3)])).to_pandas()
+    assert sorted(runs["term"]) == ["a", "a", "b", "b", "c", "c"] and runs["row"].map(len).sum() == 6 + 4
+    found = pa.Table.from_pandas(runs.sort_values("term", kind="stable").assign(bucket=0, part=0), preserve_index=False)
+    cut = lambda rows: pa.Table.from_batches(text_index._blocks(found.to_batches(max_chunksize=rows), 2.0, 2)).to_pylist()
+    blocks = cut(1)
+    assert blocks == cut(100) and [(b["term"], b["block"], b["size"]) for b in blocks] == [("a", 0, 2), ("a", 1, 2), ("a", 2, 1), ("b", 0, 2), ("b", 1, 1), ("c", 0, 2)]
+    assert all(len(p["positions"]) == p["f"] <= b["max_f"] and p["n"] >= b["min_n"] for b in blocks for p in b["postings"])
+    assert int(str(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")).lower().rstrip("b")) <= 4 << 20
