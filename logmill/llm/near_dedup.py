@@ -6,7 +6,7 @@ process with its weight as rate, each arrival at a random register; a register k
 soon as it cannot be first anywhere. Two documents agree in a register with their similarity as probability.
 
 1. Documents with the same words are one text from here on (copies, however many, cost nothing further).
-2. Texts that agree in a band of registers share a bucket. A bucket is a star around its first text: signatures prune the star, and the
+2. Texts that agree in a band of registers share a bucket. A bucket is a star around its most central text, the first one: signatures prune the star, and the
    texts that the first one cannot speak for stay in the bucket for another round. No pairs within a bucket are made. A text and a first
    one are one row, with the list of their common buckets, however many these are.
 3. Components of these stars are candidates only. Inside a component the shingle sets decide exactly: a search over unvisited texts
@@ -202,13 +202,20 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def _stars(members: DataFrame) -> DataFrame:
     """rid, first, buckets of ``members`` (rid, bucket): each text with the first ones of its buckets, a row for each of these and the list of
-    the buckets where it is first. First ones, and texts alone in a bucket, have no row there."""
-    many = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first")).where("n > 1"), "buckets")
+    the buckets where it is first. First ones, and texts alone in a bucket, have no row there.
+
+    First in a bucket is the text that meets most others in all its buckets, so one speaks for most buckets of a group of near copies.
+    """
+    many = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     least = (many.agg(F.sum("n").alias("n")).first()["n"] or 0) // HOT + 1
-    hot, other = many.where(F.col("n") >= least).select("bucket", "first"), many.where(F.col("n") < least).select("bucket", "first")
+    hot, other = many.where(F.col("n") >= least), many.where(F.col("n") < least)
     tagged = members.join(F.broadcast(hot), "bucket", "left")
-    met = tagged.where("first is not null").unionByName(tagged.where("first is null").drop("first").join(other, "bucket"))
-    return met.where("rid <> first").groupBy("rid", "first").agg(F.collect_list("bucket").alias("buckets"))
+    met = written(tagged.where("n is not null").unionByName(tagged.where("n is null").drop("n").join(other, "bucket")), "met")
+    central = met.join(met.groupBy("rid").agg(F.sum("n").alias("others")), "rid").groupBy("bucket", "n").agg(F.min(F.struct(-F.col("others"), "rid"))["rid"].alias("first"))
+    central = written(central, "central")
+    few, rest = F.broadcast(central.where(F.col("n") >= least).drop("n")), central.where(F.col("n") < least).drop("n")
+    of = met.where(F.col("n") >= least).drop("n").join(few, "bucket").unionByName(met.where(F.col("n") < least).drop("n").join(rest, "bucket"))
+    return of.where("rid <> first").groupBy("rid", "first").agg(F.collect_list("bucket").alias("buckets"))
 
 
 def _estimates(stars: DataFrame, marks: DataFrame) -> DataFrame:
@@ -238,7 +245,7 @@ def candidate_links(texts: DataFrame) -> DataFrame:
         dropped(stars)
         kept = link(likely.where(F.col("likely") >= WEAK))
         found = kept if found is None else found.union(kept)
-        members = likely.where(F.col("likely") < STRONG).select("rid", F.explode("buckets").alias("bucket"))
+        members = written(likely.where(F.col("likely") < STRONG).select("rid", F.explode("buckets").alias("bucket")), "members")
         if members.isEmpty():
             break
     else:
